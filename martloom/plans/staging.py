@@ -28,8 +28,8 @@ def stg_pos_transactions(raw: DataFrame) -> DataFrame:
         ("txn_timestamp", "txn_timestamp", "timestamp"),
         ("txn_timestamp", "txn_date", "date"),
     ])
-    ties = [F.desc_nulls_last("total_amount_vnd"), "store_id", "items",
-            "discount_amount_vnd", "tax_amount_vnd", "payment_method"]
+    ties = [F.desc_nulls_last("total_amount_vnd"), "store_id", F.get("items", F.lit(0))["product_id"],
+            "num_items", "discount_amount_vnd", "tax_amount_vnd", "payment_method"]
     return latest_per_key(typed, ["txn_id"], "txn_timestamp", ties)
 
 

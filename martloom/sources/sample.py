@@ -8,10 +8,13 @@ padded to a minimum width; longer ones are kept whole.
 
 from __future__ import annotations
 
+import os
 import string
 
 from pyspark.sql import DataFrame, SparkSession
 
+from martloom.session import is_local
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -287,8 +290,19 @@ def inputs_of(view: str) -> list[str]:
     return sorted({name for _, name, _, _ in fields if name})
 
 
+# On one machine, a sample file above this size is spread over the cores.
+SPREAD_BYTES = 4 << 20
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """One sample table. The sample writes a table as a single row group, which only one
+    task can read; a local session spreads it once. Cluster tables have enough splits."""
+    df = spark.read.parquet(f"{folder}/{name}.parquet")
+    if is_local(spark) and os.path.isfile(path := f"{folder}/{name}.parquet"):
+        cores = spark.sparkContext.defaultParallelism
+        if os.path.getsize(path) > SPREAD_BYTES and df.rdd.getNumPartitions() < cores:
+            return df.repartition(cores)
+    return df
 
 
 def raw_view(spark: SparkSession, folder: str, view: str) -> DataFrame:
