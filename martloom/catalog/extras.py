@@ -1 +1,327 @@
-"""placeholder"""
+"""X and F rows: designed operators, and the rules as columns, SQL functions and views."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from martloom import schemas
+from martloom.catalog.registry import lake_query, query
+from martloom.functions import rules
+from martloom.functions.columns import (
+    email_normalize,
+    parse_any_date,
+    to_utc,
+)
+from martloom.functions.sql_functions import register_functions
+from martloom.operators import joins
+from martloom.operators.changes import apply_cdc, mask
+from martloom.operators.fuzzy import fuzzy_match
+from martloom.operators.identity import identity_clusters
+from martloom.operators.ranking import top_bottom
+from martloom.operators.sessions import days_of_cover, flag_bots
+from martloom.operators.shaping import union_all
+from martloom.plans.marts import delivery_sla, revenue_by_category, revenue_monthly_region
+from martloom.session import workspace
+from martloom.sources import messages, tables
+from martloom.sources.sample import raw_stream, raw_view
+from martloom.streaming import live
+from martloom.streaming.sinks import drain
+
+# --- malformed input, bots, dates -------------------------------------------
+
+
+@query("x1_quarantine_malformed", """
+    SELECT CASE WHEN event_id % 33 = 0 OR event_id % 47 = 0 OR event_id % 101 = 0 THEN 'bad' ELSE 'good' END AS kind,
+           CASE WHEN event_id % 33 = 0 OR event_id % 47 = 0 OR event_id % 101 = 0 THEN NULL ELSE event_id END AS event_id,
+           CASE WHEN event_id % 33 = 0 OR event_id % 47 = 0 OR event_id % 101 = 0 THEN body END AS body
+    FROM raw_client_payloads""")
+def _(spark, folder):
+    good, bad = messages.split_malformed(raw_view(spark, folder, "client_payloads"), "body", schemas.CLIENT_PAYLOAD)
+    return union_all(
+        good.select(F.lit("good").alias("kind"), "event_id", F.lit(None).cast("string").alias("body")),
+        bad.select(F.lit("bad").alias("kind"), F.lit(None).cast("bigint").alias("event_id"), "body"))
+
+
+@query("x2_bot_filter", """
+    SELECT *, user_id IS NOT NULL AND count(*) OVER (PARTITION BY user_id, date_trunc('minute', event_time)) > 1 AS is_bot
+    FROM raw_clickstream_events""")
+def _(spark, folder):
+    return flag_bots(raw_view(spark, folder, "clickstream_events"), "user_id", "event_time", 1)
+
+
+@query("x3_parse_mixed_dates", """
+    SELECT o_orderkey, sold_on, coalesce(try_strptime(sold_on, '%Y-%m-%d'), try_strptime(sold_on, '%d/%m/%Y')) AS sold_at
+    FROM raw_till_dates""")
+def _(spark, folder):
+    return raw_view(spark, folder, "till_dates").withColumn("sold_at", parse_any_date("sold_on"))
+
+
+@query("x4_local_to_utc", """
+    SELECT order_id, event_time - INTERVAL 7 HOUR AS utc_time FROM raw_order_events""")
+def _(spark, folder):
+    return raw_view(spark, folder, "order_events").select("order_id", to_utc("event_time").alias("utc_time"))
+
+
+# --- matching ---------------------------------------------------------------
+
+def _settlement_sides(lake):
+    orders = lake["stg_ecommerce__orders"].select("order_id", F.col("order_date").alias("ordered_at"))
+    return orders, lake["stg_payments__consolidated"].select("payment_id", "order_ref", "paid_at")
+
+
+def _settlement_sql(hours: int) -> str:
+    return f"""
+    SELECT order_id, order_date AS ordered_at, payment_id, paid_at,
+           CASE WHEN payment_id IS NULL THEN 'unpaid_order' WHEN order_id IS NULL THEN 'unmatched_payment'
+                ELSE 'matched' END AS match_status
+    FROM stg_ecommerce__orders FULL JOIN stg_payments__consolidated
+      ON order_ref = order_id AND paid_at BETWEEN order_date AND order_date + INTERVAL {hours} HOUR"""
+
+
+@lake_query("x5_settlement_match", _settlement_sql(24))
+def _(lake):
+    return joins.match_settlements(*_settlement_sides(lake), "1 day")
+
+
+@lake_query("x5_settlement_match_same_day", _settlement_sql(12))
+def _(lake):
+    return joins.match_settlements(*_settlement_sides(lake), "12 hours")
+
+
+@query("x5_settlement_stream", """
+    SELECT o.order_id, p.payment_id, p.settled_at AS paid_at
+    FROM (SELECT DISTINCT order_id, order_date FROM raw_ecom_orders) o
+    JOIN (SELECT transaction_id AS payment_id, merchant_ref, settled_at FROM raw_payments_card) p
+      ON merchant_ref = order_id AND settled_at BETWEEN order_date AND order_date + INTERVAL 1 DAY""")
+def _(spark, folder):
+    orders = table_stream_orders(spark, folder)
+    payments = raw_stream(spark, folder, "payments_card").select(
+        F.col("transaction_id").alias("payment_id"), F.col("merchant_ref").alias("order_ref"),
+        F.col("settled_at").alias("paid_at"))
+    matched = joins.match_settlements_stream(orders, payments, "1 day").where("payment_id IS NOT NULL")
+    return drain(matched.select("order_id", "payment_id", "paid_at"), "x5")
+
+
+def table_stream_orders(spark, folder):
+    """Each order once, as the order service first announces it."""
+    return (raw_stream(spark, folder, "ecom_orders").where("updated_at = created_at")
+            .select("order_id", F.col("order_date").alias("ordered_at")))
+
+
+_TYPO = """CASE points_balance % 4 WHEN 0 THEN replace(full_name, '#', '') WHEN 1 THEN concat(full_name, 'x')
+           WHEN 2 THEN replace(full_name, 'Customer', 'Cstmr') ELSE full_name END"""
+
+
+@lake_query("x6_fuzzy_name_match", f"""
+    SELECT c.ecom_customer_id, m.loyalty_member_id, c.phone_normalized,
+           1 - levenshtein(c.full_name, m.name) / greatest(length(c.full_name), length(m.name)) AS similarity
+    FROM stg_ecommerce__customers c
+    JOIN (SELECT loyalty_member_id, phone_normalized, {_TYPO} AS name FROM stg_loyalty__members) m
+      ON c.phone_normalized = m.phone_normalized
+    WHERE (greatest(length(c.full_name), length(m.name)) - levenshtein(c.full_name, m.name)) * 100
+          > 90 * greatest(length(c.full_name), length(m.name))
+    QUALIFY row_number() OVER (PARTITION BY c.ecom_customer_id ORDER BY similarity DESC, m.loyalty_member_id) = 1""")
+def _(lake):
+    members = lake["stg_loyalty__members"].withColumn("full_name", F.expr(_TYPO))
+    return fuzzy_match(lake["stg_ecommerce__customers"], members, "phone_normalized", "full_name",
+                       "ecom_customer_id", "loyalty_member_id")
+
+
+_RECORDS = """
+    SELECT 'ecom:' || ecom_customer_id AS record_id, phone_normalized AS phone, email FROM stg_ecommerce__customers
+    UNION ALL SELECT 'loyalty:' || loyalty_member_id, phone_normalized, email FROM stg_loyalty__members
+    UNION ALL SELECT DISTINCT 'pos:' || customer_phone, customer_phone, NULL FROM stg_pos__transactions
+              WHERE customer_phone IS NOT NULL"""
+
+
+@lake_query("x16_identity_clusters", f"""
+    WITH RECURSIVE records AS ({_RECORDS}),
+    held AS (SELECT record_id, 'p' || phone AS k FROM records WHERE phone IS NOT NULL
+             UNION SELECT record_id, 'e' || email FROM records WHERE email IS NOT NULL),
+    reach(record_id, other) AS (
+        SELECT record_id, record_id FROM records
+        UNION SELECT r.record_id, b.record_id FROM reach r JOIN held a ON a.record_id = r.other JOIN held b ON b.k = a.k)
+    SELECT record_id, min(other) AS person_id FROM reach GROUP BY record_id""")
+def _(lake):
+    shops = lake["stg_pos__transactions"].select("customer_phone").where("customer_phone IS NOT NULL").distinct()
+    records = union_all(
+        lake["stg_ecommerce__customers"].select(
+            F.concat(F.lit("ecom:"), "ecom_customer_id").alias("record_id"), F.col("phone_normalized").alias("phone"), "email"),
+        lake["stg_loyalty__members"].select(
+            F.concat(F.lit("loyalty:"), "loyalty_member_id").alias("record_id"), F.col("phone_normalized").alias("phone"), "email"),
+        shops.select(F.concat(F.lit("pos:"), "customer_phone").alias("record_id"), F.col("customer_phone").alias("phone"),
+                     F.lit(None).cast("string").alias("email")))
+    return identity_clusters(records, "record_id", {"phone": "phone", "email": "email"})
+
+
+# --- revenue grains, stock, delivery ----------------------------------------
+
+@lake_query("x7_revenue_by_category", """
+    SELECT txn_date AS date_key, store_id, 'pos' AS channel, category_l1, CAST(sum(quantity) AS BIGINT) AS quantity,
+           CAST(sum(amount) AS BIGINT) AS revenue_vnd
+    FROM (SELECT txn_date, store_id, product_id, num_items AS quantity, total_amount_vnd - 10000 AS amount
+          FROM stg_pos__transactions
+          UNION ALL SELECT txn_date, store_id,
+                 'P' || lpad(CAST(CAST(substr(product_id, 2) AS BIGINT) + 1 AS VARCHAR), 7, '0'), 1, 10000
+          FROM stg_pos__transactions)
+    LEFT JOIN dim_products USING (product_id) GROUP BY 1, 2, 3, 4""")
+def _(lake):
+    return revenue_by_category(lake["stg_pos__transactions"], lake["dim_products"])
+
+
+@query("x8_sliding_stock_alerts", """
+    SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, store_id, sku, min(qty_available) AS min_qty,
+           CASE WHEN min(qty_available) <= 0 THEN 'OUT_OF_STOCK' WHEN min(qty_available) <= max(safety_stock) THEN 'LOW_STOCK'
+                ELSE 'REORDER' END AS alert_type
+    FROM (SELECT *, time_bucket(INTERVAL 1 MINUTE, event_time) - to_minutes(k) AS window_start
+          FROM raw_stock_events, (SELECT unnest([0, 1, 2, 3, 4]) AS k))
+    GROUP BY 1, 2, 3, 4
+    HAVING min(qty_available) <= max(reorder_point)
+       AND window_start + INTERVAL 5 MINUTE <= (SELECT max(event_time) - INTERVAL 10 SECOND FROM raw_stock_events)""")
+def _(spark, folder):
+    return drain(live.stock_sliding(raw_stream(spark, folder, "stock_events")), "x8")
+
+
+_COVER_AS_OF = dt.date(2001, 8, 1)
+
+
+@lake_query("x9_stockout_forecast", f"""
+    WITH closing AS (
+        SELECT store_id, sku, snapshot_date AS day, qty_available FROM stg_inventory__stock_levels
+        WHERE snapshot_date <= DATE '{_COVER_AS_OF}' AND snapshot_date > DATE '{_COVER_AS_OF}' - 730
+        QUALIFY row_number() OVER (PARTITION BY store_id, sku, snapshot_date
+                                   ORDER BY snapshot_time DESC, qty_available, product_id) = 1),
+    steps AS (SELECT *, greatest(coalesce(lag(qty_available) OVER (PARTITION BY store_id, sku ORDER BY day) - qty_available, 0), 0) AS fall
+              FROM closing),
+    items AS (SELECT store_id, sku, arg_max(qty_available, day) AS qty_available, CAST(sum(fall) AS BIGINT) AS consumed,
+                     CAST(date_diff('day', min(day), max(day)) AS INTEGER) AS days_observed FROM steps GROUP BY 1, 2)
+    SELECT *, qty_available / nullif(consumed / nullif(days_observed, 0), 0) AS days_of_cover,
+           coalesce(qty_available / nullif(consumed / nullif(days_observed, 0), 0) <= 3, qty_available <= 0) AS stockout_risk
+    FROM items""")
+def _(lake):
+    stock = lake["stg_inventory__stock_levels"].select("store_id", "sku", "product_id", "qty_available", "snapshot_time")
+    return days_of_cover(stock, ["qty_available", "product_id"], 730, F.lit(_COVER_AS_OF))
+
+
+@lake_query("x10_monthly_by_region", """
+    SELECT CAST(date_trunc('month', date_key) AS DATE) AS month_key,
+           CASE WHEN channel = 'ecommerce' THEN 'Online' ELSE region END AS region,
+           CAST(sum(total_orders) AS BIGINT) AS total_orders, CAST(sum(total_revenue_vnd) AS BIGINT) AS total_revenue_vnd,
+           CAST(sum(net_revenue_vnd) AS BIGINT) AS net_revenue_vnd
+    FROM fct_revenue_daily LEFT JOIN dim_stores USING (store_id) GROUP BY 1, 2""")
+def _(lake):
+    return revenue_monthly_region(lake["fct_revenue_daily"], lake["dim_stores"])
+
+
+@query("x11_incremental_merge", """
+    SELECT order_id, status, total_amount, updated_at, CAST(year(updated_at) AS INTEGER) AS yr FROM raw_ecom_orders
+    QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY updated_at DESC) = 1""")
+def _(spark, folder):
+    path = workspace(spark, "merge-target")
+    versions = raw_view(spark, folder, "ecom_orders").select(
+        "order_id", "status", "total_amount", "updated_at", "created_at", F.year("updated_at").alias("yr"))
+    first = versions.where("updated_at = created_at").drop("created_at")
+    newer = versions.where("updated_at > created_at").drop("created_at")
+    tables.append_table(first, path, ["yr"])
+    for _attempt in range(2):
+        tables.merge_table(spark, path, newer, ["order_id"], "updated_at", "yr")
+    return spark.read.parquet(path)
+
+
+@query("x12_cdc_unwrap", """
+    SELECT order_id, status, total_amount FROM raw_order_changes
+    QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY seq DESC) = 1 AND op <> 'd'""")
+def _(spark, folder):
+    image = F.struct("order_id", "status", "total_amount")
+    envelopes = raw_view(spark, folder, "order_changes").select(
+        F.when(F.col("op") != "c", image).alias("before"), F.when(F.col("op") != "d", image).alias("after"), "op", "seq")
+    return apply_cdc(envelopes, "order_id", "seq")
+
+
+@query("x13_delivery_sla", """
+    SELECT partner, CAST(ordered_at AS DATE) AS date_key, count(*) AS shipments,
+           count(*) FILTER (delivered_at <= ordered_at + INTERVAL 720 HOUR) AS on_time,
+           CAST(count(*) FILTER (delivered_at <= ordered_at + INTERVAL 720 HOUR) AS DOUBLE) / count(*) AS on_time_rate
+    FROM raw_shipments GROUP BY 1, 2""")
+def _(spark, folder):
+    return delivery_sla(raw_view(spark, folder, "shipments"), 720)
+
+
+@query("x14_mask_pii", """
+    SELECT sha256(customer_id) AS customer_id, regexp_replace(lower(trim(email)), '^[^@]*', '***') AS email,
+           repeat('*', greatest(length(phone) - 3, 0)) || right(phone, 3) AS phone, registration_source
+    FROM raw_ecom_customers""")
+def _(spark, folder):
+    people = raw_view(spark, folder, "ecom_customers").select(
+        "customer_id", "full_name", email_normalize("email").alias("email"), "phone", "registration_source")
+    return mask(people, {"customer_id": "hash", "email": "email", "phone": "tail", "full_name": "drop"})
+
+
+@lake_query("x15_top_bottom_stores", """
+    WITH weekly AS (SELECT CAST(date_trunc('week', txn_date) AS DATE) AS week_start, store_id,
+                           CAST(sum(total_amount_vnd) AS BIGINT) AS revenue_vnd FROM stg_pos__transactions GROUP BY 1, 2)
+    SELECT *, CAST(row_number() OVER (PARTITION BY week_start ORDER BY revenue_vnd DESC, store_id) AS INTEGER) AS position,
+           'top' AS side FROM weekly QUALIFY position <= 10
+    UNION ALL
+    SELECT *, CAST(row_number() OVER (PARTITION BY week_start ORDER BY revenue_vnd, store_id) AS INTEGER) AS position,
+           'bottom' FROM weekly QUALIFY position <= 10""")
+def _(lake):
+    week = F.to_date(F.date_trunc("week", "txn_date")).alias("week_start")
+    weekly = lake["stg_pos__transactions"].groupBy(week, "store_id").agg(F.sum("total_amount_vnd").alias("revenue_vnd"))
+    return top_bottom(weekly, ["week_start"], "revenue_vnd", "store_id", 10)
+
+
+@query("x17_compact_files", "SELECT *, CAST(event_time AS DATE) AS dt FROM raw_order_events")
+def _(spark, folder):
+    scattered, packed = workspace(spark, "scattered"), workspace(spark, "packed")
+    events = raw_view(spark, folder, "order_events").withColumn("dt", F.to_date("event_time"))
+    events.repartition(8).write.partitionBy("dt").parquet(scattered)
+    tables.compact(spark, scattered, packed, ["dt"])
+    return spark.read.parquet(packed)
+
+
+# --- the rules in every form ------------------------------------------------
+
+_RULES_SQL = """
+    SELECT order_id, order_id IS NOT NULL AND customer_id IS NOT NULL AND amount > 0 AS is_valid,
+           status IN ('delivered', 'completed') AS is_completed, status IN ('cancelled', 'returned') AS is_cancelled,
+           CASE WHEN CAST(amount AS DOUBLE) > 3 THEN 'CRITICAL' WHEN CAST(amount AS DOUBLE) > 1 THEN 'WARNING' ELSE 'OK' END AS alert,
+           CASE WHEN CAST(amount AS INTEGER) <= 0 THEN 'OUT_OF_STOCK' WHEN CAST(amount AS INTEGER) <= 10 THEN 'LOW_STOCK'
+                WHEN CAST(amount AS INTEGER) <= 20 THEN 'REORDER' END AS stock_alert
+    FROM (SELECT * REPLACE (CAST(floor(amount) AS DECIMAL(18,2)) AS amount) FROM raw_order_events)"""
+
+
+def _whole_amounts(spark, folder):
+    return raw_view(spark, folder, "order_events").withColumn("amount", F.floor("amount").cast("decimal(18,2)"))
+
+
+@query("f1_rule_columns", _RULES_SQL)
+def _(spark, folder):
+    return _whole_amounts(spark, folder).select(
+        "order_id", rules.order_filter().alias("is_valid"), rules.is_completed().alias("is_completed"),
+        rules.is_cancelled().alias("is_cancelled"),
+        rules.reconciliation_alert(F.col("amount").cast("double")).alias("alert"),
+        rules.inventory_alert(F.col("amount").cast("int"), F.lit(10), F.lit(20)).alias("stock_alert"))
+
+
+@query("f2_rule_sql_functions", _RULES_SQL)
+def _(spark, folder):
+    register_functions(spark)
+    return spark.sql("""
+        SELECT order_id, is_valid_order(order_id, customer_id, amount) AS is_valid, is_completed(status) AS is_completed,
+               is_cancelled(status) AS is_cancelled, reconciliation_alert(CAST(amount AS DOUBLE)) AS alert,
+               inventory_alert(CAST(amount AS INT), 10, 20) AS stock_alert FROM {events}""",
+                     events=_whole_amounts(spark, folder))
+
+
+@lake_query("f3_model_views", """
+    SELECT region, CAST(sum(total_revenue_vnd) AS BIGINT) AS revenue_vnd, count(DISTINCT store_id) AS stores
+    FROM fct_revenue_daily JOIN dim_stores USING (store_id) WHERE channel = 'pos' GROUP BY region""")
+def _(lake):
+    for model in ("fct_revenue_daily", "dim_stores"):
+        lake[model].createOrReplaceTempView(f"lake_{model}")
+    return lake.spark.sql("""
+        SELECT region, sum(total_revenue_vnd) AS revenue_vnd, count(DISTINCT store_id) AS stores
+        FROM lake_fct_revenue_daily JOIN lake_dim_stores USING (store_id) WHERE channel = 'pos' GROUP BY region""")

@@ -1 +1,215 @@
-"""placeholder"""
+"""S rows: sources, sinks and ingest. Drops and tables are written to the shared
+scratch folder from the sample tables and read back with the library's readers."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from martloom import schemas
+from martloom.catalog.registry import query
+from martloom.operators.shaping import union_all
+from martloom.session import workspace
+from martloom.sources import landing, messages, tables
+from martloom.sources.sample import raw_view, table
+
+DAY = "2024-01-01"
+MID = "2024-01-16"
+
+
+def _dropped(spark, folder, entity, root, date=DAY, rows=None):
+    """Write an entity as one landing drop."""
+    source, fmt = schemas.LANDING[entity]
+    df = raw_view(spark, folder, entity) if rows is None else rows
+    tables.write_records(df.select(*schemas.RAW[entity].names), root, source, date, fmt)
+    return source
+
+
+@query("s1_read_csv_landing", "SELECT * FROM raw_pos_transactions")
+def _(spark, folder):
+    root = workspace(spark, "landing")
+    source = _dropped(spark, folder, "pos_transactions", root)
+    rows = landing.read_csv_landing(spark, root, source, DAY, schemas.POS_TRANSACTIONS)
+    return rows.where("_corrupt_record IS NULL").drop("_corrupt_record")
+
+
+@query("s2_read_json_landing", "SELECT * FROM raw_clickstream_events")
+def _(spark, folder):
+    root = workspace(spark, "landing")
+    source = _dropped(spark, folder, "clickstream_events", root)
+    return landing.read_json_landing(spark, root, source, DAY, schemas.CLICKSTREAM_EVENTS)
+
+
+@query("s3_read_payment_gateways", """
+    SELECT 'vnpay' AS gateway, vnp_txn_ref AS id, vnp_amount AS amount, vnp_pay_date AS paid_at FROM raw_payments_vnpay
+    UNION ALL SELECT 'momo', trans_id, amount, response_time FROM raw_payments_momo
+    UNION ALL SELECT 'card', transaction_id, gross_amount, settled_at FROM raw_payments_card""")
+def _(spark, folder):
+    root = workspace(spark, "landing")
+    for gateway in landing.GATEWAYS:
+        _dropped(spark, folder, f"payments_{gateway}", root)
+    shapes = {"vnpay": ("vnp_txn_ref", "vnp_amount", "vnp_pay_date"), "momo": ("trans_id", "amount", "response_time"),
+              "card": ("transaction_id", "gross_amount", "settled_at")}
+    frames = landing.read_payments(spark, root, DAY)
+    return union_all(*[
+        frames[g].select(F.lit(g).alias("gateway"), F.col(i).alias("id"), F.col(a).alias("amount"), F.col(t).alias("paid_at"))
+        for g, (i, a, t) in shapes.items()])
+
+
+def _dated_events(spark, folder):
+    return raw_view(spark, folder, "order_events").withColumn("dt", F.to_date("event_time"))
+
+
+@query("s4_read_parquet_partition", """
+    SELECT *, CAST(event_time AS DATE) AS dt FROM raw_order_events WHERE CAST(event_time AS DATE) = DATE '2024-01-10'""")
+def _(spark, folder):
+    root = workspace(spark, "raw")
+    tables.append_table(_dated_events(spark, folder), f"{root}/order_events", ["dt"])
+    return landing.read_partition(spark, root, "order_events", "2024-01-10")
+
+
+@query("s5_read_updated_day", """
+    SELECT * FROM raw_ecom_orders WHERE updated_at >= TIMESTAMP '1998-03-02' AND updated_at < TIMESTAMP '1998-03-03'""")
+def _(spark, folder):
+    path = workspace(spark, "operational")
+    tables.append_table(raw_view(spark, folder, "ecom_orders"), path)
+    return landing.read_updated_day(spark, {"path": path}, dt.date(1998, 3, 2), fmt="parquet")
+
+
+@query("s6_append_partitioned", "SELECT *, CAST(event_time AS DATE) AS dt FROM raw_order_events")
+def _(spark, folder):
+    path = workspace(spark, "raw")
+    events = _dated_events(spark, folder)
+    for part in (events.where(F.col("dt") < MID), events.where(F.col("dt") >= MID)):
+        tables.append_table(part, path, ["dt"])
+    return spark.read.parquet(path)
+
+
+@query("s7_overwrite_day", """
+    SELECT * EXCLUDE (amount), CASE WHEN event_time >= TIMESTAMP '2024-01-16' THEN amount + 1 ELSE amount END
+           ::DECIMAL(18,2) AS amount, CAST(event_time AS DATE) AS dt FROM raw_order_events""")
+def _(spark, folder):
+    path = workspace(spark, "raw")
+    events = _dated_events(spark, folder)
+    tables.append_table(events, path, ["dt"])
+    corrected = events.where(F.col("dt") >= MID).withColumn("amount", (F.col("amount") + 1).cast("decimal(18,2)"))
+    for _attempt in range(2):
+        tables.overwrite_partitions(corrected, path, ["dt"])
+    return spark.read.parquet(path)
+
+
+@query("s8_replace_table", """
+    SELECT *, CAST(event_time AS DATE) AS _partition_date FROM raw_order_events WHERE event_time >= TIMESTAMP '2024-01-16'""")
+def _(spark, folder):
+    path = workspace(spark, "staging")
+    events = raw_view(spark, folder, "order_events").withColumn("_partition_date", F.to_date("event_time"))
+    tables.replace_table(events, path, ["_partition_date"])
+    tables.replace_table(events.where(F.col("_partition_date") >= MID), path, ["_partition_date"])
+    return spark.read.parquet(path)
+
+
+@query("s9_ingest_audit_columns", """
+    SELECT order_id, true AS stamped, '2024-01-01' AS _partition_date FROM raw_order_events""")
+def _(spark, folder):
+    return tables.with_audit(raw_view(spark, folder, "order_events"), DAY).select(
+        "order_id", F.col("_ingested_at").isNotNull().alias("stamped"), "_partition_date")
+
+
+def _landed(entity: str, source: str) -> str:
+    return (f"SELECT '{source}' AS source, DATE '{DAY}' AS landing_date, count(*) AS row_count FROM raw_{entity} "
+            f"UNION ALL SELECT '{source}', DATE '2024-01-02', count(*) FROM raw_{entity}")
+
+
+@query("s10_ingest_new_files", " UNION ALL ".join(_landed(e, s) for e, (s, _f) in schemas.LANDING.items()))
+def _(spark, folder):
+    root, lake = workspace(spark, "landing"), workspace(spark, "raw")
+    for date in (DAY, "2024-01-02"):  # two rounds: the second must take only the new drop
+        runs = []
+        for entity, (source, fmt) in schemas.LANDING.items():
+            _dropped(spark, folder, entity, root, date)
+            runs.append(landing.ingest_new_files(
+                spark, root, source, schemas.RAW[entity], fmt, f"{lake}/_checkpoints/{entity}", f"{lake}/{entity}"))
+        for run in runs:
+            run.awaitTermination()
+    return union_all(*[
+        spark.read.parquet(f"{lake}/{entity}").groupBy(F.lit(source).alias("source"), "landing_date")
+        .agg(F.count("*").alias("row_count")) for entity, (source, _fmt) in schemas.LANDING.items()])
+
+
+@query("s11_write_records", """
+    SELECT *, 'json' AS fmt FROM raw_order_events UNION ALL SELECT *, 'parquet' FROM raw_order_events""")
+def _(spark, folder):
+    root = workspace(spark, "records")
+    events = raw_view(spark, folder, "order_events")
+    frames = []
+    for fmt in ("json", "parquet"):
+        path = tables.write_records(events, root, f"orders_{fmt}", DAY, fmt)
+        frames.append(spark.read.schema(schemas.ORDER_EVENTS).format(fmt).load(path).withColumn("fmt", F.lit(fmt)))
+    return union_all(*frames)
+
+
+_MESSAGE = ("order_id", "customer_id", "store_id", "channel", "status")
+
+
+@query("s12_kafka_encode", """
+    SELECT order_id AS "key", concat('{"order_id":"', order_id, '","customer_id":',
+        CASE WHEN customer_id IS NULL THEN 'null' ELSE concat('"', customer_id, '"') END,
+        ',"store_id":"', store_id, '","channel":"', channel, '","status":"', status, '"}') AS value
+    FROM raw_order_events""")
+def _(spark, folder):
+    return messages.kafka_encode(raw_view(spark, folder, "order_events").select(*_MESSAGE))
+
+
+@query("s13_kafka_decode", "SELECT * FROM raw_order_events")
+def _(spark, folder):
+    encoded = messages.kafka_encode(raw_view(spark, folder, "order_events"))
+    return messages.kafka_decode(encoded, schemas.ORDER_EVENTS)
+
+
+@query("s14_insert_if_absent", "SELECT c_custkey AS customer FROM customer UNION SELECT o_custkey FROM orders")
+def _(spark, folder):
+    path = workspace(spark, "customers")
+    buyers = table(spark, folder, "orders").select(F.col("o_custkey").alias("customer")).distinct()
+    tables.append_table(buyers, path)
+    everyone = table(spark, folder, "customer").select(F.col("c_custkey").alias("customer"))
+    for _attempt in range(2):
+        tables.insert_if_absent(path, everyone, "customer")
+    return spark.read.parquet(path)
+
+
+@query("s15_read_seed", "SELECT * FROM raw_stores")
+def _(spark, folder):
+    root = workspace(spark, "seeds")
+    path = tables.write_records(raw_view(spark, folder, "stores"), root, "stores", DAY, "csv")
+    return landing.read_seed(spark, path, schemas.STORES)
+
+
+@query("s16_ingest_counts", """
+    SELECT 'pos' AS source, CAST(txn_timestamp AS DATE) AS day, count(*) AS row_count FROM raw_pos_transactions GROUP BY 2
+    UNION ALL SELECT 'ecommerce', CAST(order_date AS DATE), count(*) FROM raw_ecom_orders GROUP BY 2
+    UNION ALL SELECT 'clickstream', CAST(event_time AS DATE), count(*) FROM raw_clickstream_events GROUP BY 2""")
+def _(spark, folder):
+    return tables.ingest_counts({
+        "pos": (raw_view(spark, folder, "pos_transactions"), F.col("txn_timestamp")),
+        "ecommerce": (raw_view(spark, folder, "ecom_orders"), F.col("order_date")),
+        "clickstream": (raw_view(spark, folder, "clickstream_events"), F.col("event_time"))})
+
+
+@query("s17_backfill_range", """
+    SELECT CAST(event_time AS DATE) AS dt, store_id, count(*) AS orders,
+           CASE WHEN CAST(event_time AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'
+                THEN CAST(sum(amount) AS DECIMAL(28,2)) ELSE CAST(0 AS DECIMAL(28,2)) END AS amount
+    FROM raw_order_events GROUP BY 1, 2""")
+def _(spark, folder):
+    path = workspace(spark, "daily")
+    events = _dated_events(spark, folder)
+
+    def daily(rows):
+        return rows.groupBy("dt", "store_id").agg(F.count("*").alias("orders"), F.sum("amount").alias("amount"))
+
+    # The table starts out with wrong amounts everywhere; the backfill corrects its range.
+    wrong = daily(events).withColumn("amount", F.lit(0).cast("decimal(28,2)"))
+    tables.append_table(wrong, path, ["dt"])
+    tables.backfill(events, daily, path, "event_time", dt.date(2024, 1, 5), dt.date(2024, 1, 20), "dt")
+    return spark.read.parquet(path)

@@ -1 +1,198 @@
-"""placeholder"""
+"""Q and R rows: data checks and reconciliation."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from martloom.catalog.registry import lake_query, query
+from martloom.catalog.relational import both_paths
+from martloom.operators import quality, reconcile
+from martloom.operators.quality import Check, run_checks
+from martloom.operators.shaping import union_all
+from martloom.plans.checks import GATEWAYS, PAYMENT_STATUSES, PHONE, declared_checks, source_freshness
+from martloom.sources.sample import raw_view, table
+
+AS_OF = dt.datetime(2001, 12, 31)
+
+
+def _row(check: str, measured: str, source: str, ok: str = "= 0") -> str:
+    """One report line. ``measured`` is an aggregate over ``source``."""
+    return (f"SELECT '{check}' AS \"check\", measured, CASE WHEN measured {ok} THEN 'pass' ELSE 'fail' END AS status "
+            f"FROM (SELECT CAST({measured} AS DOUBLE) AS measured FROM {source})")
+
+
+def _bad(condition: str) -> str:
+    return f"count(*) FILTER ({condition})"
+
+
+def _report(*rows: str) -> str:
+    return " UNION ALL ".join(rows)
+
+
+@lake_query("q1_row_count", _report(
+    _row("row_count > 0", "count(*)", "dim_stores", "> 0"), _row("row_count = 120", "count(*)", "dim_stores", "= 120")))
+def _(lake):
+    return run_checks(lake["dim_stores"], [Check.row_count(), Check.row_count("=", 120)])
+
+
+@query("q2_missing_count", _report(
+    _row("missing_count(order_id)", _bad("order_id IS NULL"), "raw_order_events"),
+    _row("missing_count(customer_id)", _bad("customer_id IS NULL"), "raw_order_events")))
+def _(spark, folder):
+    return run_checks(raw_view(spark, folder, "order_events"), [Check.missing("order_id"), Check.missing("customer_id")])
+
+
+@query("q3_duplicate_count", _report(
+    _row("duplicate_count(txn_id)", "count(*)", "(SELECT txn_id FROM raw_pos_transactions GROUP BY 1 HAVING count(*) > 1)"),
+    _row("duplicate_count(txn_id, txn_timestamp)", "count(*)",
+         "(SELECT 1 FROM raw_pos_transactions GROUP BY txn_id, txn_timestamp HAVING count(*) > 1)")))
+def _(spark, folder):
+    return run_checks(raw_view(spark, folder, "pos_transactions"),
+                      [Check.duplicates("txn_id"), Check.duplicates("txn_id", "txn_timestamp")])
+
+
+@query("q4_invalid_range", _report(
+    _row("invalid_range(amount)", _bad("amount < 0"), "raw_order_events"),
+    _row("invalid_range(discount)", _bad("discount < 0 OR discount > 1"), "raw_order_events")))
+def _(spark, folder):
+    return run_checks(raw_view(spark, folder, "order_events"),
+                      [Check.in_range("amount", low=0), Check.in_range("discount", 0, 1)])
+
+
+@lake_query("q5_invalid_regex", _report(
+    _row("invalid_regex(phone_normalized)", _bad("NOT regexp_matches(phone_normalized, '^0\\d{9}$')"), "stg_loyalty__members"),
+    _row("invalid_regex(loyalty_member_id)", _bad("NOT regexp_matches(loyalty_member_id, '^LYL-\\d{7,}$')"),
+         "stg_loyalty__members")))
+def _(lake):
+    return run_checks(lake["stg_loyalty__members"],
+                      [Check.matches("phone_normalized", PHONE), Check.matches("loyalty_member_id", r"^LYL-\d{7,}$")])
+
+
+@lake_query("q6_accepted_values", _report(
+    _row("accepted_values(gateway)", _bad("gateway NOT IN ('vnpay', 'momo', 'card')"), "stg_payments__consolidated"),
+    _row("accepted_values(status)", _bad("status NOT IN ('success', 'failed', 'pending', 'refunded')"),
+         "stg_payments__consolidated")))
+def _(lake):
+    return run_checks(lake["stg_payments__consolidated"],
+                      [Check.accepted("gateway", GATEWAYS), Check.accepted("status", PAYMENT_STATUSES)])
+
+
+@query("q7_freshness", """
+    SELECT source, 'freshness(' || ts || ')' AS "check", age AS measured,
+           CASE WHEN age < warn THEN 'pass' WHEN age < error THEN 'warn' ELSE 'fail' END AS status
+    FROM (SELECT 'pos_transactions' AS source, 'txn_timestamp' AS ts, 2 AS warn, 6 AS error,
+                 (epoch_us(TIMESTAMP '2024-01-31 02:00:00') - epoch_us(max(txn_timestamp))) / 3600000000 AS age
+          FROM raw_pos_transactions
+          UNION ALL SELECT 'clickstream_events', 'event_time', 1, 6,
+                 (epoch_us(TIMESTAMP '2024-01-31 02:00:00') - epoch_us(max(event_time))) / 3600000000
+          FROM raw_clickstream_events)""")
+def _(spark, folder):
+    now = F.lit(dt.datetime(2024, 1, 31, 2))
+    return union_all(*[
+        run_checks(raw_view(spark, folder, entity), [source_freshness(entity, ts, now)])
+        .select(F.lit(entity).alias("source"), "check", "measured", "status")
+        for entity, ts in (("pos_transactions", "txn_timestamp"), ("clickstream_events", "event_time"))])
+
+
+@query("q8_relationships", _report(
+    _row("relationship(c_custkey)", "count(*)", "(SELECT 1 FROM customer ANTI JOIN orders ON c_custkey = o_custkey)"),
+    _row("relationship(c_nationkey)", "count(*)", "(SELECT 1 FROM customer ANTI JOIN nation ON c_nationkey = n_nationkey)")))
+def _(spark, folder):
+    orders, nations = (table(spark, folder, t) for t in ("orders", "nation"))
+    return run_checks(table(spark, folder, "customer"), [
+        Check.relationship("c_custkey", orders, "o_custkey"), Check.relationship("c_nationkey", nations, "n_nationkey")])
+
+
+@lake_query("q9_agg_threshold", _report(
+    _row("min(total_revenue_vnd) >= 0", "min(total_revenue_vnd)", "fct_revenue_daily", ">= 0"),
+    _row("max(total_orders) < 2.0", "max(total_orders)", "fct_revenue_daily", "< 2")))
+def _(lake):
+    return run_checks(lake["fct_revenue_daily"], [
+        Check.metric("min(total_revenue_vnd)", ">=", 0), Check.metric("max(total_orders)", "<", 2.0)])
+
+
+@lake_query("q10_failed_rows", _row(
+    "failed_rows(alert)", _bad("reconciliation_status = 'ALERT'"), "fct_reconciliation"))
+def _(lake):
+    return run_checks(lake["fct_reconciliation"], [Check.fails("alert", "reconciliation_status = 'ALERT'")])
+
+
+_CHECKED = {
+    "stg_pos__transactions": [
+        _row("row_count > 0", "count(*)", "stg_pos__transactions", "> 0"),
+        _row("missing_count(txn_id)", _bad("txn_id IS NULL"), "stg_pos__transactions"),
+        _row("duplicate_count(txn_id)", "count(*)", "(SELECT 1 FROM stg_pos__transactions GROUP BY txn_id HAVING count(*) > 1)"),
+        _row("invalid_range(total_amount_vnd)", _bad("total_amount_vnd < 0"), "stg_pos__transactions"),
+        _row("invalid_regex(store_id)", _bad("NOT regexp_matches(store_id, '^STR-\\d{3}$')"), "stg_pos__transactions"),
+        _row("freshness(txn_timestamp)", f"(epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(max(txn_timestamp))) / 3600000000",
+             "stg_pos__transactions", "< 24")],
+    "stg_payments__consolidated": [
+        _row("row_count > 0", "count(*)", "stg_payments__consolidated", "> 0"),
+        _row("missing_count(payment_id)", _bad("payment_id IS NULL"), "stg_payments__consolidated"),
+        _row("duplicate_count(payment_id)", "count(*)",
+             "(SELECT 1 FROM stg_payments__consolidated GROUP BY payment_id HAVING count(*) > 1)"),
+        _row("invalid_range(amount_vnd)", _bad("amount_vnd < 0"), "stg_payments__consolidated"),
+        _row("accepted_values(gateway)", _bad("gateway NOT IN ('vnpay', 'momo', 'card')"), "stg_payments__consolidated"),
+        _row("accepted_values(status)", _bad("status NOT IN ('success', 'failed', 'pending', 'refunded')"),
+             "stg_payments__consolidated")],
+    "stg_loyalty__members": [
+        _row("row_count > 0", "count(*)", "stg_loyalty__members", "> 0"),
+        _row("missing_count(loyalty_member_id)", _bad("loyalty_member_id IS NULL"), "stg_loyalty__members"),
+        _row("duplicate_count(loyalty_member_id)", "count(*)",
+             "(SELECT 1 FROM stg_loyalty__members GROUP BY loyalty_member_id HAVING count(*) > 1)"),
+        _row("invalid_regex(phone_normalized)", _bad("NOT regexp_matches(phone_normalized, '^0\\d{9}$')"), "stg_loyalty__members"),
+        _row("accepted_values(tier)", _bad("tier NOT IN ('Bronze', 'Silver', 'Gold', 'Platinum')"), "stg_loyalty__members")],
+}
+
+
+@lake_query("q11_check_report", " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, * FROM ({_report(*rows)})" for name, rows in _CHECKED.items()))
+def _(lake):
+    declared = declared_checks(lake, F.lit(AS_OF))
+    return union_all(*[run_checks(lake[name], declared[name]).select(F.lit(name).alias("table_name"), "check", "measured", "status")
+                       for name in _CHECKED])
+
+
+# --- reconciliation ---------------------------------------------------------
+
+_DAILY = """
+    SELECT date_key, batch_total, stream_total,
+           round(abs(CAST(batch_total AS DOUBLE) - CAST(stream_total AS DOUBLE)) / CAST(batch_total AS DOUBLE) * 100, 4) AS discrepancy_pct
+    FROM (SELECT CAST(event_time AS DATE) AS date_key, CAST(sum(amount) AS DECIMAL(28,2)) AS batch_total,
+                 CAST(coalesce(sum(amount) FILTER (customer_id IS NOT NULL), 0) AS DECIMAL(28,2)) AS stream_total
+          FROM raw_order_events WHERE amount > 0 GROUP BY 1)"""
+
+
+@query("r1_batch_stream_daily", _DAILY)
+def _(spark, folder):
+    return reconcile.daily(*both_paths(spark, folder))
+
+
+@query("r2_drift_threshold", f"""
+    SELECT *, CASE WHEN discrepancy_pct > 3 THEN 'CRITICAL' WHEN discrepancy_pct > 1 THEN 'WARNING' ELSE 'OK' END AS alert_level,
+           discrepancy_pct <= 1 AS is_within_threshold FROM ({_DAILY})""")
+def _(spark, folder):
+    return reconcile.flag(reconcile.daily(*both_paths(spark, folder)))
+
+
+@lake_query("r3_three_way", "SELECT * FROM fct_reconciliation")
+def _(lake):
+    return lake["fct_reconciliation"]
+
+
+@query("r4_no_data_alert", """
+    SELECT * FROM (VALUES ('pos'), ('ecommerce'), ('clickstream'), ('returns')) AS expected(source)
+    WHERE source NOT IN (
+        SELECT source FROM (SELECT 'pos' AS source, max(txn_timestamp) AS seen FROM raw_pos_transactions
+                            UNION ALL SELECT 'ecommerce', max(order_date) FROM raw_ecom_orders
+                            UNION ALL SELECT 'clickstream', max(event_time) FROM raw_clickstream_events)
+        WHERE seen > TIMESTAMP '2024-01-31 01:00:00' - INTERVAL 2 HOUR)""")
+def _(spark, folder):
+    seen = quality.last_seen({
+        "pos": (raw_view(spark, folder, "pos_transactions"), "txn_timestamp"),
+        "ecommerce": (raw_view(spark, folder, "ecom_orders"), "order_date"),
+        "clickstream": (raw_view(spark, folder, "clickstream_events"), "event_time")})
+    return quality.silent_sources(spark, seen, ["pos", "ecommerce", "clickstream", "returns"],
+                                  F.lit(dt.datetime(2024, 1, 31, 1)))

@@ -6,7 +6,8 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
 
 from martloom import schemas
 
@@ -20,7 +21,7 @@ def drop_path(root: str, source: str, date: str, suffix: str) -> str:
 
 def read_csv_landing(spark: SparkSession, root: str, source: str, date: str, schema: StructType) -> DataFrame:
     """One day's CSV drop. Rows that do not fit keep their text in ``_corrupt_record``."""
-    return (spark.read.schema(schema.add(CORRUPT, "string") if CORRUPT not in schema.names else schema)
+    return (spark.read.schema(StructType([*schema.fields, StructField(CORRUPT, StringType())]))
             .option("header", True).option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT)
             .csv(drop_path(root, source, date, "csv")))
@@ -73,8 +74,8 @@ def new_files(spark: SparkSession, root: str, source: str, schema: StructType, f
 
 
 def ingest_new_files(spark: SparkSession, root: str, source: str, schema: StructType, fmt: str,
-                     checkpoint: str, out: str) -> None:
+                     checkpoint: str, out: str) -> StreamingQuery:
     """Append files not seen before. The checkpoint remembers what was taken."""
     rows = new_files(spark, root, source, schema, fmt).where("landing_date IS NOT NULL")
-    (rows.writeStream.format("parquet").partitionBy("landing_date")
-     .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out).awaitTermination())
+    return (rows.writeStream.format("parquet").partitionBy("landing_date")
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out))

@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import StructType
 
+from martloom.sources.tables import MICROS
+
 KEY_COLUMNS = ("order_id", "event_id", "reading_id")
 
 
 def kafka_encode(df: DataFrame, key_columns: Sequence[str] = KEY_COLUMNS) -> DataFrame:
     """(key, value): first non-empty id column as key, the whole row as JSON."""
     ids = [F.nullif(F.col(c).cast("string"), F.lit("")) for c in key_columns if c in df.columns]
-    value = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+    value = F.to_json(F.struct("*"), {"ignoreNullFields": "false", "timestampFormat": MICROS})
     return df.select(F.coalesce(*ids, F.lit(None).cast("string")).alias("key"), value.alias("value"))
 
 

@@ -13,6 +13,9 @@ from martloom.operators.shaping import union_all
 from martloom.session import workspace
 
 
+MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
+
 def _sized(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Gather the rows of a partition in few files. AQE splits a partition value that
     holds too much and joins small ones, so no task follows the size of one day."""
@@ -41,12 +44,11 @@ def with_audit(df: DataFrame, date: str) -> DataFrame:
 def write_records(df: DataFrame, root: str, target: str, date: str, fmt: str = "json") -> str:
     """Records under ``{root}/{target}/{date}/`` as JSON lines, CSV or Parquet."""
     path = f"{root.rstrip('/')}/{target}/{date}"
-    writer = df.write.mode("append").format(fmt)
-    if fmt == "csv":
-        writer = writer.option("header", True)
-    if fmt == "json":
-        writer = writer.option("ignoreNullFields", False)
-    writer.save(path)
+    options = {
+        "csv": {"header": True, "timestampFormat": MICROS},
+        "json": {"ignoreNullFields": False, "timestampFormat": MICROS},
+    }
+    df.write.mode("append").format(fmt).options(**options.get(fmt, {})).save(path)
     return path
 
 
