@@ -52,7 +52,8 @@ def _(lake):
 def _(lake):
     people = lake["stg_ecommerce__customers"].select("ecom_customer_id", "email", "registered_at")
     orders = lake["stg_ecommerce__orders"].select("order_id", "ecom_customer_id")
-    return joins.left_lookup(orders, people.withColumnRenamed("ecom_customer_id", "_id"), "ecom_customer_id", "_id")
+    return joins.left_lookup(orders, people.withColumnRenamed("ecom_customer_id", "_id"), "ecom_customer_id", "_id",
+                             spread_by="order_id")
 
 
 @lake_query("j2_left_join_any_key", """
@@ -64,7 +65,7 @@ def _(lake):
         "loyalty_member_id", "tier", F.col("phone_normalized").alias("phone"), F.col("email").alias("mail"))
     customers = lake["stg_ecommerce__customers"].select("ecom_customer_id", "phone_normalized", "email")
     return joins.left_join_any_key(customers, members, [("phone_normalized", "phone"), ("email", "mail")],
-                                   ["loyalty_member_id", "tier"])
+                                   ["loyalty_member_id", "tier"], spread_by="ecom_customer_id")
 
 
 @lake_query("j3_exists_flag", """
@@ -73,7 +74,7 @@ def _(lake):
 def _(lake):
     customers = lake["stg_ecommerce__customers"].select("ecom_customer_id", "phone_normalized")
     return joins.with_exists_flag(customers, "phone_normalized", lake["stg_pos__transactions"], "customer_phone",
-                                  "has_pos_activity")
+                                  "has_pos_activity", spread_by="ecom_customer_id")
 
 
 @lake_query("j4_star_lookup", """

@@ -27,24 +27,26 @@ def spread_nulls(key: Column, *by: Column) -> Column:
     return F.coalesce(key.cast("string"), F.concat(F.lit("\u0000"), slot))
 
 
-def left_lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    """Left equi-join on a nullable key; the right key column is not kept."""
+def left_lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str, spread_by: str) -> DataFrame:
+    """Left equi-join on a nullable key; the right key column is not kept.
+
+    ``spread_by`` is a well-filled column of the left side that scatters its null keys.
+    """
     keyed = right.where(F.col(right_key).isNotNull()).withColumnRenamed(right_key, "_right_key")
-    slot_from = [F.col(c) for c, kind in left.dtypes if not kind.startswith(("array", "map", "struct"))]
-    match = spread_nulls(left[left_key], *slot_from) == keyed["_right_key"].cast("string")
+    match = spread_nulls(left[left_key], left[spread_by]) == keyed["_right_key"].cast("string")
     return left.join(keyed, match, "left").drop("_right_key")
 
 
-def with_exists_flag(df: DataFrame, key: str, keys: DataFrame, keys_column: str, name: str) -> DataFrame:
+def with_exists_flag(df: DataFrame, key: str, keys: DataFrame, keys_column: str, name: str, spread_by: str) -> DataFrame:
     """Boolean column: does the key occur in the other frame?"""
     known = (keys.select(F.col(keys_column).alias("_known")).where("_known IS NOT NULL").distinct()
              .withColumn(name, F.lit(True)))
-    flagged = left_lookup(df, known, key, "_known")
+    flagged = left_lookup(df, known, key, "_known", spread_by)
     return flagged.withColumn(name, F.coalesce(F.col(name), F.lit(False)))
 
 
 def left_join_any_key(left: DataFrame, right: DataFrame, keys: Sequence[tuple[str, str]],
-                      payload: Sequence[str]) -> DataFrame:
+                      payload: Sequence[str], spread_by: str) -> DataFrame:
     """Left join on ``k1 = k1 OR k2 = k2 ...`` as one equi-join per key.
 
     A pair found by several keys is kept under the first of them only, so the parts
@@ -57,35 +59,27 @@ def left_join_any_key(left: DataFrame, right: DataFrame, keys: Sequence[tuple[st
         *[F.col(r).alias(name) for (_, r), name in zip(keys, right_keys)],
         *payload, F.lit(True).alias("_matched"))
 
-    def same(i: int) -> Column:
-        return F.coalesce(F.col(keys[i][0]) == F.col(right_keys[i]), F.lit(False))
-
     def found_before(i: int) -> Column:
-        return reduce(Column.__or__, [same(j) for j in range(i)], F.lit(False))
+        same = [F.coalesce(F.col(keys[j][0]) == F.col(right_keys[j]), F.lit(False)) for j in range(i)]
+        return reduce(Column.__or__, same, F.lit(False))
 
     kept = [*left.columns, *payload]
-    last = len(keys) - 1
+    *inner, (last_key, _) = keys
     parts = []
-    for i in range(last):
-        pairs = left.join(side, left[keys[i][0]] == side[right_keys[i]], "inner")
+    for i, (key, _) in enumerate(inner):
+        pairs = left.join(side, left[key] == side[right_keys[i]], "inner")
         parts.append(pairs.where(~found_before(i)).select(*kept))
 
     flagged = left
-    for i in range(last):
-        flagged = with_exists_flag(flagged, keys[i][0], side, right_keys[i], f"_hit{i}")
-    any_hit = reduce(Column.__or__, [F.col(f"_hit{i}") for i in range(last)], F.lit(False))
-    outer = _outer_on(flagged, side, keys[last][0], right_keys[last])
-    keep = F.when(F.col("_matched"), ~found_before(last)).otherwise(~any_hit)
+    for i, (key, _) in enumerate(inner):
+        flagged = with_exists_flag(flagged, key, side, right_keys[i], f"_hit{i}", spread_by)
+    any_hit = reduce(Column.__or__, [F.col(f"_hit{i}") for i in range(len(inner))], F.lit(False))
+    outer = left_lookup(flagged, side, last_key, right_keys[-1], spread_by)
+    keep = F.when(F.col("_matched"), ~found_before(len(inner))).otherwise(~any_hit)
     parts.append(outer.where(keep).select(*kept))
     return union_all(*parts)
 
 
-def _outer_on(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    slot_from = [F.col(c) for c in left.columns]
-    match = spread_nulls(left[left_key], *slot_from) == right[right_key].cast("string")
-    return left.join(right.where(F.col(right_key).isNotNull()), match, "left")
-
-
 def with_dims(fact: DataFrame, *dims: tuple[DataFrame, str]) -> DataFrame:
     """Left lookups of a fact in its dimensions, one shared key column each."""
     return reduce(lambda df, dim: df.join(dim[0], dim[1], "left"), dims, fact)

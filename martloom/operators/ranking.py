@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martloom.session import cut_lineage
+from martloom.session import write_once
 
 GROUP_ROW_LIMIT = 5_000_000
 
@@ -29,7 +29,7 @@ def global_ntile(df: DataFrame, tiles: int, orders: Mapping[str, str], tie_break
     starts = [s for s in starts if s < total]
 
     narrow, names = _stacked(df, list(orders.values()), tie_break)
-    ranged = cut_lineage(narrow.repartitionByRange(*names).withColumn("_part", F.spark_partition_id()))
+    ranged = write_once(narrow.repartitionByRange(*names).withColumn("_part", F.spark_partition_id()), "ranged")
     cuts = _rows_at(ranged, names, len(orders), starts)
     if any(cut["repeated"] for cut in cuts):
         # Equal rows on both sides of a cut: only their positions can tell them apart.
@@ -112,7 +112,7 @@ def _ntile_by_position(df: DataFrame, tiles: int, orders: Mapping[str, str],
 
 def global_position(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     """1-based place of each row in a total order, one range partition per task."""
-    ranged = cut_lineage(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    ranged = write_once(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranged")
     # One row per shuffle partition: bounded by the partition count.
     sizes = ranged.groupBy("_part").count()
     offsets = sizes.select("_part", F.coalesce(
@@ -152,7 +152,7 @@ def _rank_by_counts(df: DataFrame, groups: Sequence[str], order: str, out: str)
     keys = [*groups, order]
     counted = df.groupBy(*keys).agg(F.count("*").alias("_n"))
     sort = [*[F.col(g).asc_nulls_first() for g in groups], F.col(order).desc_nulls_last()]
-    ranged = cut_lineage(counted.repartitionByRange(*sort).withColumn("_part", F.spark_partition_id()))
+    ranged = write_once(counted.repartitionByRange(*sort).withColumn("_part", F.spark_partition_id()), "ranged")
 
     # Rows of the same group in earlier partitions. At most one group crosses each
     # partition border, so the kept offsets are bounded by the partition count.

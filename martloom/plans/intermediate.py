@@ -28,12 +28,13 @@ def int_customers_unified(customers: DataFrame, members: DataFrame, pos: DataFra
                           F.col("email").alias("member_email"))
     carried = side.withColumn("by_phone", F.col("member_phone"))
     matched = left_join_any_key(base, carried, [("phone_normalized", "member_phone"), ("email", "member_email")],
-                                ["loyalty_member_id", "by_phone"])
+                                ["loyalty_member_id", "by_phone"], spread_by="ecom_customer_id")
     if best_match:
         matched = (matched.withColumn("_phone_hit", F.coalesce(F.col("by_phone") == F.col("phone_normalized"), F.lit(False)))
                    .transform(latest_per_key, ["ecom_customer_id"], "_phone_hit", ["loyalty_member_id"])
                    .drop("_phone_hit"))
-    flagged = with_exists_flag(matched.drop("by_phone"), "phone_normalized", pos, "customer_phone", "in_store")
+    flagged = with_exists_flag(matched.drop("by_phone"), "phone_normalized", pos, "customer_phone", "in_store",
+                               spread_by="ecom_customer_id")
     return flagged.select(
         surrogate_key("ecom_customer_id", "phone_normalized").alias("customer_uid"),
         "ecom_customer_id", "loyalty_member_id", "customer_name", "email", "phone_normalized", "first_seen_at",
@@ -45,12 +46,13 @@ def int_orders_all_channels(pos: DataFrame, orders: DataFrame, customers: DataFr
     """Till sales and online orders in one shape, each with its customer."""
     by_phone = customers.select("customer_uid", "phone_normalized")
     by_id = customers.select("customer_uid", "ecom_customer_id")
-    shop = left_lookup(pos.drop("items"), by_phone, "customer_phone", "phone_normalized").select(
+    shop = left_lookup(pos.drop("items"), by_phone, "customer_phone", "phone_normalized", spread_by="txn_id").select(
         F.col("txn_id").alias("order_id"), F.lit("pos").alias("channel"), "store_id", "customer_uid",
         "total_amount_vnd", "discount_amount_vnd", "tax_amount_vnd", "payment_method", "num_items",
         F.col("txn_timestamp").alias("order_timestamp"), F.col("txn_date").alias("order_date"),
         F.lit("completed").alias("status"))
-    web = left_lookup(orders, by_id.withColumnRenamed("ecom_customer_id", "_cid"), "ecom_customer_id", "_cid").select(
+    web = left_lookup(orders, by_id.withColumnRenamed("ecom_customer_id", "_cid"), "ecom_customer_id", "_cid",
+                      spread_by="order_id").select(
         "order_id", F.lit("ecommerce").alias("channel"), F.lit(None).cast("string").alias("store_id"),
         "customer_uid", "total_amount_vnd", F.col("discount_vnd").alias("discount_amount_vnd"),
         F.lit(0).cast("bigint").alias("tax_amount_vnd"), "payment_method", "num_items",

@@ -2,7 +2,7 @@
 
 Every view is one SELECT that Spark SQL and ANSI engines both accept, so a test
 can evaluate the same text elsewhere. ``{table}`` marks an input table. Money is
-an integer in units of 0.0001, which keeps price times rate exact. Numbers are
+an integer in units of 0.0001, which holds price times rate exactly. Numbers are
 padded to a minimum width; longer ones are kept whole.
 """
 
@@ -29,9 +29,9 @@ SELECT concat('POS-', l_orderkey, '-', l_linenumber) AS txn_id,
        concat('EMP-', cast(l_suppkey AS string), '-', cast(l_linenumber AS string)) AS cashier_id,
        concat('P', lpad(cast(l_partkey AS string), greatest(7, cast(length(cast(l_partkey AS string)) AS int)), '0')) AS product_id,
        cast(l_quantity AS int) AS num_items,
-       cast(cast(l_extendedprice AS decimal(18,2)) * 10000 AS bigint) AS total_amount,
-       cast(cast(l_extendedprice AS decimal(18,2)) * cast(l_discount AS decimal(4,2)) * 10000 AS bigint) AS discount_amount,
-       cast(cast(l_extendedprice AS decimal(18,2)) * cast(l_tax AS decimal(4,2)) * 10000 AS bigint) AS tax_amount,
+       cast(floor(l_extendedprice * 10000 + 0.5) AS bigint) AS total_amount,
+       cast(floor(l_extendedprice * l_discount * 10000 + 0.5) AS bigint) AS discount_amount,
+       cast(floor(l_extendedprice * l_tax * 10000 + 0.5) AS bigint) AS tax_amount,
        CASE l_returnflag WHEN 'A' THEN 'cash' WHEN 'R' THEN 'card' ELSE 'momo_qr' END AS payment_method,
        cast(l_shipdate AS timestamp) AS txn_timestamp
 FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
@@ -79,10 +79,10 @@ SELECT concat('ECOM-', lpad(cast(o_orderkey AS string), greatest(8, cast(length(
             WHEN o_orderkey % 2 = 0 THEN 'cancelled' ELSE 'returned' END AS status,
        CASE o_orderkey % 4 WHEN 0 THEN 'vnpay' WHEN 1 THEN 'momo' WHEN 2 THEN 'card' ELSE 'cod' END AS payment_method,
        cast(o_orderkey % 5 + 1 AS int) AS num_items,
-       cast(cast(o_totalprice AS decimal(18,2)) * 10000 AS bigint) AS subtotal,
+       cast(floor(o_totalprice * 10000 + 0.5) AS bigint) AS subtotal,
        cast(0 AS bigint) AS discount,
        cast(0 AS bigint) AS shipping_fee,
-       cast(cast(o_totalprice AS decimal(18,2)) * 10000 AS bigint) AS total_amount,
+       cast(floor(o_totalprice * 10000 + 0.5) AS bigint) AS total_amount,
        o_orderpriority AS shipping_address_city,
        cast(NULL AS string) AS shipping_address_district,
        cast(o_orderdate AS timestamp) AS order_date,
@@ -98,7 +98,7 @@ FROM (SELECT *, 0 AS version FROM {orders}
 VIEWS["payments_vnpay"] = """
 SELECT concat('VNP', lpad(cast(o_orderkey AS string), greatest(10, cast(length(cast(o_orderkey AS string)) AS int)), '0')) AS vnp_txn_ref,
        concat('ECOM-', lpad(cast(o_orderkey AS string), greatest(8, cast(length(cast(o_orderkey AS string)) AS int)), '0')) AS vnp_order_info,
-       cast(cast(o_totalprice AS decimal(18,2)) * 10000 AS bigint) AS vnp_amount,
+       cast(floor(o_totalprice * 10000 + 0.5) AS bigint) AS vnp_amount,
        CASE WHEN o_orderkey % 100 = 4 THEN '07' WHEN o_orderkey % 100 = 8 THEN '09'
             WHEN o_orderkey % 100 = 12 THEN '12' ELSE '00' END AS vnp_response_code,
        'VCB' AS vnp_bank_code,
@@ -110,7 +110,7 @@ WHERE o_orderkey % 4 = 0
 VIEWS["payments_momo"] = """
 SELECT concat('MOMO', lpad(cast(o_orderkey AS string), greatest(10, cast(length(cast(o_orderkey AS string)) AS int)), '0')) AS trans_id,
        concat('ECOM-', lpad(cast(o_orderkey AS string), greatest(8, cast(length(cast(o_orderkey AS string)) AS int)), '0')) AS order_id,
-       cast(cast(o_totalprice AS decimal(18,2)) * 10000 AS bigint) AS amount,
+       cast(floor(o_totalprice * 10000 + 0.5) AS bigint) AS amount,
        CASE WHEN o_orderkey % 100 = 5 THEN 1006 WHEN o_orderkey % 100 = 9 THEN 1005 ELSE 0 END AS result_code,
        cast(o_orderdate AS timestamp) AS response_time
 FROM (SELECT * FROM {orders} UNION ALL SELECT * FROM {orders} WHERE o_orderkey % 40 = 1) sent
@@ -121,8 +121,8 @@ WHERE o_orderkey % 4 = 1
 VIEWS["payments_card"] = """
 SELECT concat('CARD', lpad(cast(o_orderkey AS string), greatest(10, cast(length(cast(o_orderkey AS string)) AS int)), '0')) AS transaction_id,
        concat('ECOM-', lpad(cast(o_orderkey AS string), greatest(8, cast(length(cast(o_orderkey AS string)) AS int)), '0')) AS merchant_ref,
-       cast(cast(o_totalprice AS decimal(18,2)) * 10000 AS bigint) AS gross_amount,
-       cast(floor(cast(o_totalprice AS decimal(18,2)) * 220) AS bigint) AS fee,
+       cast(floor(o_totalprice * 10000 + 0.5) AS bigint) AS gross_amount,
+       cast(floor(floor(o_totalprice * 10000 + 0.5) * 22 / 1000) AS bigint) AS fee,
        CASE WHEN o_orderkey % 100 = 2 THEN 'DECLINED' WHEN o_orderkey % 100 = 6 THEN 'PENDING'
             WHEN o_orderkey % 100 = 10 THEN 'REFUNDED' ELSE 'SETTLED' END AS status,
        'TCB' AS issuer_bank,
@@ -218,8 +218,8 @@ SELECT concat('P', lpad(cast(p_partkey AS string), greatest(7, cast(length(cast(
        concat('SKU-', lpad(cast(p_partkey % 100 AS string), 5, '0')) AS sku,
        p_name AS product_name, p_type AS category_l1,
        concat('size', cast(p_size AS string)) AS category_l2, p_brand AS brand,
-       cast(cast(p_retailprice AS decimal(18,2)) * 10000 AS bigint) AS price_vnd,
-       cast(cast(p_retailprice AS decimal(18,2)) * 7000 AS bigint) AS cost_vnd,
+       cast(floor(p_retailprice * 10000 + 0.5) AS bigint) AS price_vnd,
+       cast(floor(p_retailprice * 7000 + 0.5) AS bigint) AS cost_vnd,
        concat('SUP', cast(p_partkey % 10 AS string)) AS supplier_id,
        cast(NULL AS string) AS supplier_name,
        cast(NULL AS double) AS weight_kg,
@@ -242,7 +242,7 @@ SELECT concat('ECOM-', lpad(cast(o_orderkey AS string), greatest(8, cast(length(
        kind AS op,
        o_orderkey * 10 + step AS seq,
        CASE kind WHEN 'd' THEN NULL WHEN 'u' THEN 'delivered' ELSE 'pending' END AS status,
-       CASE kind WHEN 'd' THEN NULL ELSE cast(cast(o_totalprice AS decimal(18,2)) * 10000 AS bigint) + step END AS total_amount
+       CASE kind WHEN 'd' THEN NULL ELSE cast(floor(o_totalprice * 10000 + 0.5) AS bigint) + step END AS total_amount
 FROM (SELECT *, 'c' AS kind, 1 AS step FROM {orders}
       UNION ALL
       SELECT *, 'u' AS kind, 2 AS step FROM {orders} WHERE o_orderstatus <> 'O'
@@ -277,8 +277,8 @@ ITEMS_SQL = """array(
     named_struct('sku', concat('SKU-', lpad(cast(l_partkey % 100 AS string), 5, '0')),
                  'product_id', concat('P', lpad(cast(l_partkey AS string), greatest(7, cast(length(cast(l_partkey AS string)) AS int)), '0')),
                  'quantity', cast(l_quantity AS int),
-                 'unit_price_vnd', cast(cast(l_extendedprice AS decimal(18,2)) * 10000 AS bigint),
-                 'amount_vnd', cast(cast(l_extendedprice AS decimal(18,2)) * 10000 AS bigint) - 10000),
+                 'unit_price_vnd', cast(floor(l_extendedprice * 10000 + 0.5) AS bigint),
+                 'amount_vnd', cast(floor(l_extendedprice * 10000 + 0.5) AS bigint) - 10000),
     named_struct('sku', concat('SKU-', lpad(cast((l_partkey + 1) % 100 AS string), 5, '0')),
                  'product_id', concat('P', lpad(cast(l_partkey + 1 AS string), greatest(7, cast(length(cast(l_partkey + 1 AS string)) AS int)), '0')),
                  'quantity', 1, 'unit_price_vnd', cast(10000 AS bigint),
@@ -301,7 +301,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     if is_local(spark) and os.path.isfile(path := f"{folder}/{name}.parquet"):
         cores = spark.sparkContext.defaultParallelism
         if os.path.getsize(path) > SPREAD_BYTES and df.rdd.getNumPartitions() < cores:
-            return df.repartition(cores)
+            return df.repartition(cores, df.columns[0])  # by hash: round robin would sort first
     return df
 
 

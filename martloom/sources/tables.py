@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from martloom.operators.changes import merge_by_key
 from martloom.operators.shaping import union_all
-from martloom.session import workspace
+from martloom.session import cut_lineage, workspace
 
 
 MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
@@ -86,7 +86,7 @@ def merge_table(spark: SparkSession, path: str, updates: DataFrame, key: Sequenc
     """
     target = spark.read.parquet(path)
     holding = target.join(updates.select(*key).distinct(), list(key), "left_semi").select(partition)
-    touched = holding.union(updates.select(partition)).distinct()
+    touched = cut_lineage(holding.union(updates.select(partition)).distinct())
     old = target.join(touched, partition, "left_semi")
     merged = merge_by_key(old, updates.select(*target.columns), key, version, tie_break)
     staged = workspace(spark, "merge")
