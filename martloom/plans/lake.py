@@ -109,13 +109,13 @@ class Lake:
         return [prefix + model for model in MODELS]
 
 
-def build_all(lake: Lake, root: str, checks: dict[str, list[Check]] | None = None) -> None:
+def build_all(lake: Lake, root: str, checks: dict[str, list[Check]] | None = None,
+              partitions: dict[str, str | None] = BUILD) -> None:
     """Full build: write every table in order; a failed check stops what depends on it."""
-    for model, partition in BUILD.items():
+    for model, partition in partitions.items():
         path = f"{root.rstrip('/')}/{model}"
         frame = lake[model]
         replace_table(frame, path, [partition] if partition else [])
         lake._frames[model] = lake.spark.read.schema(frame.schema).parquet(path)
-        for table, listed in (checks or {}).items():
-            if table == model:
-                gate(model, run_checks(lake[model], listed))
+        if checks and model in checks:
+            gate(model, run_checks(lake[model], checks[model]))

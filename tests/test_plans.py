@@ -18,14 +18,11 @@ PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGro
 
 
 @pytest.mark.parametrize("model", sorted(MODELS))
-def test_models_have_no_pairwise_join_and_no_python(lake, model):
+def test_models_have_no_pairwise_join_python_or_single_task(lake, model):
     plan = plan_of(lake[model])
     assert not [node for node in (*BAD_JOINS, *PYTHON_NODES) if node in plan]
-
-
-@pytest.mark.parametrize("model", sorted(set(MODELS) - {"fct_revenue_monthly"}))
-def test_only_the_monthly_series_meets_in_one_task(lake, model):
-    assert "SinglePartition" not in plan_of(lake[model])
+    # The monthly series has one row per month, so ordering it in one task is fine.
+    assert model == "fct_revenue_monthly" or "SinglePartition" not in plan
 
 
 def test_no_join_is_hinted_to_broadcast(spark, lake):
@@ -53,8 +50,8 @@ def test_dedup_drops_copies_before_the_shuffle(spark):
 def test_unused_columns_are_not_read(lake):
     plan = plan_of(lake["int_orders_all_channels"].groupBy("channel").count())
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
-    assert not [s for s in schemas if "l_returnflag" in s and "l_comment" in s]
-    assert all("o_orderpriority" not in s for s in schemas)
+    assert schemas
+    assert not [s for s in schemas if "o_orderpriority" in s or "c_acctbal" in s or "l_linestatus" in s]
 
 
 def test_day_filter_prunes_partitions(spark, tmp_path):

@@ -80,7 +80,8 @@ def test_full_build_writes_every_table_and_checks_run(spark, small, tmp_path):
     fresh = Lake.over_sample(spark, small)
     declared = declared_checks(fresh, F.lit(dt.datetime(2001, 12, 31)))
     assert set(declared) <= set(MODELS)
-    build_all(fresh, str(tmp_path), {"fct_revenue_daily": [Check.row_count(), Check.missing("total_revenue_vnd")]})
+    build_all(fresh, str(tmp_path), {"fct_revenue_daily": [Check.row_count(), Check.missing("total_revenue_vnd")]},
+              {**dict.fromkeys(BUILD), "int_sessions": "session_date"})
     built = {m: spark.read.parquet(f"{tmp_path}/{m}") for m in BUILD}
     lazy = Lake.over_sample(spark, small)
     for model in ("fct_revenue_daily", "dim_customers", "fct_store_performance"):
@@ -93,7 +94,7 @@ def test_full_build_writes_every_table_and_checks_run(spark, small, tmp_path):
 def test_failed_gate_stops_the_build(spark, small, tmp_path):
     fresh = Lake.over_sample(spark, small)
     with pytest.raises(QualityGateError):
-        build_all(fresh, str(tmp_path), {"int_customers_unified": [Check.duplicates("customer_uid")]})
+        build_all(fresh, str(tmp_path), {"int_customers_unified": [Check.duplicates("customer_uid")]}, dict.fromkeys(BUILD))
     assert not (tmp_path / "int_orders_all_channels").exists()
 
 
