@@ -12,10 +12,15 @@ from martloom.operators import quality, reconcile
 from martloom.operators.quality import Check, run_checks
 from martloom.operators.shaping import union_all
 from martloom.plans.checks import GATEWAYS, PAYMENT_STATUSES, PHONE, declared_checks, source_freshness
-from martloom.sources.sample import raw_view, table
+from martloom.sources.sample import raw_stream, raw_view, table
+from martloom.streaming import live
+from martloom.streaming.sinks import drain
 
 AS_OF = dt.datetime(2001, 12, 31)
 
+# The newest live window is still open when the stream has been drained.
+CLOSED = "(SELECT max(event_time) - INTERVAL 5 SECOND FROM raw_order_events WHERE customer_id IS NOT NULL AND amount > 0)"
+
 
 def _row(check: str, measured: str, source: str, ok: str = "= 0") -> str:
     """One report line. ``measured`` is an aggregate over ``source``."""
@@ -170,6 +175,20 @@ def _(spark, folder):
     return reconcile.daily(*both_paths(spark, folder))
 
 
+@query("r1_batch_vs_drained_stream", f"""
+    SELECT date_key, batch_total, stream_total,
+           round(abs(CAST(batch_total AS DOUBLE) - CAST(stream_total AS DOUBLE)) / CAST(batch_total AS DOUBLE) * 100, 4) AS discrepancy_pct
+    FROM (SELECT CAST(event_time AS DATE) AS date_key, CAST(sum(amount) AS DECIMAL(28,2)) AS batch_total,
+                 CAST(coalesce(sum(amount) FILTER (customer_id IS NOT NULL
+                     AND time_bucket(INTERVAL 1 MINUTE, event_time) + INTERVAL 1 MINUTE <= {CLOSED}), 0) AS DECIMAL(28,2)) AS stream_total
+          FROM raw_order_events WHERE amount > 0 GROUP BY 1)""")
+def _(spark, folder):
+    batch, _stream = both_paths(spark, folder)
+    windows = drain(live.revenue_realtime(raw_stream(spark, folder, "order_events")), "r1")
+    stream = windows.select(F.to_date("window_start").alias("date_key"), F.col("gross_revenue").alias("revenue"))
+    return reconcile.daily(batch, stream)
+
+
 @query("r2_drift_threshold", f"""
     SELECT *, CASE WHEN discrepancy_pct > 3 THEN 'CRITICAL' WHEN discrepancy_pct > 1 THEN 'WARNING' ELSE 'OK' END AS alert_level,
            discrepancy_pct <= 1 AS is_within_threshold FROM ({_DAILY})""")

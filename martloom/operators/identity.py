@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.operators.shaping import union_all
-from martloom.session import cut_lineage
+from martloom.session import cut_lineage, write_once
 
 
 def identity_clusters(records: DataFrame, record_id: str, keys: Mapping[str, str], out: str = "person_id") -> DataFrame:
@@ -20,6 +20,7 @@ def identity_clusters(records: DataFrame, record_id: str, keys: Mapping[str, str
     neighbours below it do. The number of rounds grows with the logarithm of the
     graph, not with its longest chain, and each round is written out.
     """
+    records = write_once(records.select(record_id, *keys.values()), "records")
     ids = records.select(F.col(record_id).alias("rec")).where("rec IS NOT NULL").distinct()
     kinds = [F.struct(F.lit(kind).alias("kind"), F.col(column).alias("value")) for kind, column in keys.items()]
     held = (records.select(F.col(record_id).alias("rec"), F.inline(F.array(*kinds)))

@@ -50,34 +50,24 @@ def left_join_any_key(left: DataFrame, right: DataFrame, keys: Sequence[tuple[st
     """Left join on ``k1 = k1 OR k2 = k2 ...`` as one equi-join per key.
 
     A pair found by several keys is kept under the first of them only, so the parts
-    are disjoint: no row ids and no distinct over the pairs are needed. The last
-    join is outer and also yields the left rows without any partner, which it
-    recognises by flags saying whether an earlier key occurs on the right.
+    are disjoint: no row ids and no distinct over the pairs are needed. Left rows
+    without any partner are found by flags against the distinct keys of the right
+    side. All pair joins are inner, so AQE can split a hot key on either side.
     """
     right_keys = [f"_rk{i}" for i in range(len(keys))]
-    side = right.select(
-        *[F.col(r).alias(name) for (_, r), name in zip(keys, right_keys)],
-        *payload, F.lit(True).alias("_matched"))
-
-    def found_before(i: int) -> Column:
-        same = [F.coalesce(F.col(keys[j][0]) == F.col(right_keys[j]), F.lit(False)) for j in range(i)]
-        return reduce(Column.__or__, same, F.lit(False))
-
-    kept = [*left.columns, *payload]
-    *inner, (last_key, _) = keys
-    parts = []
-    for i, (key, _) in enumerate(inner):
-        pairs = left.join(side, left[key] == side[right_keys[i]], "inner")
-        parts.append(pairs.where(~found_before(i)).select(*kept))
-
-    flagged = left
-    for i, (key, _) in enumerate(inner):
-        flagged = with_exists_flag(flagged, key, side, right_keys[i], f"_hit{i}", spread_by)
-    any_hit = reduce(Column.__or__, [F.col(f"_hit{i}") for i in range(len(inner))], F.lit(False))
-    outer = left_lookup(flagged, side, last_key, right_keys[-1], spread_by)
-    keep = F.when(F.col("_matched"), ~found_before(len(inner))).otherwise(~any_hit)
-    parts.append(outer.where(keep).select(*kept))
-    return union_all(*parts)
+    side = right.select(*[F.col(r).alias(name) for (_, r), name in zip(keys, right_keys)], *payload)
+    types = dict(right.dtypes)
+
+    parts, unmatched, earlier = [], left, F.lit(False)
+    for i, (key, _) in enumerate(keys):
+        same = F.col(key) == F.col(right_keys[i])
+        pairs = left.join(side, same & ~earlier, "inner")
+        parts.append(pairs.select(*left.columns, *payload))
+        earlier = earlier | F.coalesce(same, F.lit(False))
+        flagged = with_exists_flag(unmatched, key, side, right_keys[i], "_hit", spread_by)
+        unmatched = flagged.where(~F.col("_hit")).drop("_hit")
+    empty = [F.lit(None).cast(types[c]).alias(c) for c in payload]
+    return union_all(*parts, unmatched.select(*left.columns, *empty))
 
 
 def with_dims(fact: DataFrame, *dims: tuple[DataFrame, str]) -> DataFrame:

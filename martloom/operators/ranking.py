@@ -29,9 +29,10 @@ def global_ntile(df: DataFrame, tiles: int, orders: Mapping[str, str], tie_break
     starts = [s for s in starts if s < total]
 
     narrow, names = _stacked(df, list(orders.values()), tie_break)
-    ranged = write_once(narrow.repartitionByRange(*names).withColumn("_part", F.spark_partition_id()), "ranged")
-    cuts = _rows_at(ranged, names, len(orders), starts)
-    if any(cut["repeated"] for cut in cuts):
+    ranged = _ranged(narrow, names)
+    found = _rows_at(ranged, names, len(orders), sorted({*starts, *[s - 1 for s in starts]}))
+    cuts = [found[which, s] for which in range(len(orders)) for s in starts]
+    if any(found[which, s] == found[which, s - 1] for which in range(len(orders)) for s in starts):
         # Equal rows on both sides of a cut: only their positions can tell them apart.
         return _ntile_by_position(df, tiles, orders, tie_break, total)
 
@@ -59,27 +60,35 @@ def _stacked(df: DataFrame, columns: Sequence[str], tie_break: Sequence[str]) ->
     return stacked, stacked.columns
 
 
-def _rows_at(ranged: DataFrame, names: Sequence[str], orderings: int, starts: Sequence[int]) -> list:
-    """The rows standing at the given places of each ordering."""
+def _ranged(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
+    """Range partitions as a table, each row with its partition number. A running id
+    comes last in the order, so even identical rows divide over several partitions."""
+    salted = df.withColumn("_salt", F.monotonically_increasing_id())
+    placed = salted.repartitionByRange(*order, "_salt").withColumn("_part", F.spark_partition_id())
+    return write_once(placed.drop("_salt"), "ranged")
+
+
+def _rows_at(ranged: DataFrame, names: Sequence[str], orderings: int, starts: Sequence[int]) -> dict:
+    """The rows standing at the given places of each ordering, by (ordering, place)."""
     # One row per shuffle partition and ordering: bounded by the partition count.
     sizes = ranged.groupBy("_which", "_part").count().orderBy("_which", "_part").collect()
     wanted = []
     for which in range(orderings):
         before = 0
         for row in (r for r in sizes if r["_which"] == which):
-            wanted += [(which, row["_part"], s - before + 1) for s in starts
+            wanted += [(which, row["_part"], s - before + 1, s) for s in starts
                        if before <= s < before + row["count"]]
             before += row["count"]
     if not wanted:
-        return []
+        return {}
     here = Window.partitionBy("_which", "_part").orderBy(*names)
-    numbered = (
-        ranged.where(F.col("_part").isin(sorted({part for _, part, _ in wanted})))
-        .withColumn("_row", F.row_number().over(here))
-        .withColumn("repeated", F.coalesce(F.lag(F.struct(*names)).over(here) == F.struct(*names), F.lit(False)))
-    )
-    hit = [(F.col("_which") == w) & (F.col("_part") == p) & (F.col("_row") == r) for w, p, r in wanted]
-    return numbered.where(reduce(Column.__or__, hit)).collect()
+    parts = sorted({part for _, part, _, _ in wanted})
+    numbered = ranged.where(F.col("_part").isin(parts)).withColumn("_row", F.row_number().over(here))
+    hit = [(F.col("_which") == w) & (F.col("_part") == p) & (F.col("_row") == r) for w, p, r, _ in wanted]
+    place = {(w, p, r): s for w, p, r, s in wanted}
+    # At most two rows per tile border.
+    rows = numbered.where(reduce(Column.__or__, hit)).collect()
+    return {(r["_which"], place[r["_which"], r["_part"], r["_row"]]): r.asDict() | {"_part": 0, "_row": 0} for r in rows}
 
 
 def _at_or_after(df: DataFrame, column: str, tie_break: Sequence[str], cut, which: int) -> Column:
@@ -112,7 +121,7 @@ def _ntile_by_position(df: DataFrame, tiles: int, orders: Mapping[str, str],
 
 def global_position(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     """1-based place of each row in a total order, one range partition per task."""
-    ranged = write_once(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranged")
+    ranged = _ranged(df, order)
     # One row per shuffle partition: bounded by the partition count.
     sizes = ranged.groupBy("_part").count()
     offsets = sizes.select("_part", F.coalesce(
@@ -152,7 +161,7 @@ def _rank_by_counts(df: DataFrame, groups: Sequence[str], order: str, out: str)
     keys = [*groups, order]
     counted = df.groupBy(*keys).agg(F.count("*").alias("_n"))
     sort = [*[F.col(g).asc_nulls_first() for g in groups], F.col(order).desc_nulls_last()]
-    ranged = write_once(counted.repartitionByRange(*sort).withColumn("_part", F.spark_partition_id()), "ranged")
+    ranged = _ranged(counted, sort)
 
     # Rows of the same group in earlier partitions. At most one group crosses each
     # partition border, so the kept offsets are bounded by the partition count.

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from martloom.operators.dedup import latest_per_key
-from martloom.session import workspace
+from martloom.session import workspace, write_once
 from martloom.sources.tables import append_table, merge_table
 
 
@@ -41,10 +41,11 @@ def upsert(df: DataFrame, out: str, checkpoint: str, key: Sequence[str], version
         session = rows.sparkSession
         folder = session.sparkContext._jvm.org.apache.hadoop.fs.Path(out)
         exists = folder.getFileSystem(session.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+        taken = write_once(rows, "batch")  # the merge reads the batch several times
         if exists:
-            merge_table(session, out, rows, key, version, partition)
-        elif not rows.isEmpty():
-            append_table(latest_per_key(rows, key, version, []), out, [partition])
+            merge_table(session, out, taken, key, version, partition)
+        elif not taken.isEmpty():
+            append_table(latest_per_key(taken, key, version, []), out, [partition])
 
     return (df.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).foreachBatch(write).start())
