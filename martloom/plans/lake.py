@@ -36,7 +36,8 @@ MODELS: dict[str, Callable[[Lake], DataFrame]] = {
     "int_customer_metrics": lambda x: intermediate.int_customer_metrics(
         x["int_orders_all_channels"], F.lit(x.as_of)),
     "int_sessions": lambda x: intermediate.int_sessions(x["stg_clickstream__events"]),
-    "dim_customers": lambda x: marts.dim_customers(x["int_customers_unified"], x["int_customer_metrics"]),
+    # The unified customers are needed three times here, the order lookups included.
+    "dim_customers": lambda x: marts.dim_customers(x.materialise("int_customers_unified"), x["int_customer_metrics"]),
     "dim_stores": lambda x: marts.dim_stores(x.raw("stores")),
     "dim_products": lambda x: marts.dim_products(x.raw("products")),
     "dim_date": lambda x: marts.dim_date(x.spark),
@@ -81,6 +82,7 @@ class Lake:
         self.as_of = as_of
         self._raw = raw
         self._frames: dict[str, DataFrame] = {}
+        self._tables: set[str] = set()
 
     @classmethod
     def over_sample(cls, spark: SparkSession, folder: str, as_of: dt.date = SAMPLE_AS_OF) -> Lake:
@@ -99,9 +101,14 @@ class Lake:
 
     def materialise(self, model: str) -> DataFrame:
         """Write a model once; later models read the table instead of recomputing it."""
-        self._frames[model] = write_once(self[model], model)
+        if model not in self._tables:
+            self.use_table(model, write_once(self[model], model))
         return self._frames[model]
 
+    def use_table(self, model: str, table: DataFrame) -> None:
+        self._frames[model] = table
+        self._tables.add(model)
+
     def register_views(self, prefix: str = "") -> list[str]:
         """Temp views of all models for ad-hoc SQL."""
         for model in MODELS:
@@ -116,6 +123,6 @@ def build_all(lake: Lake, root: str, checks: dict[str, list[Check]] | None = Non
         path = f"{root.rstrip('/')}/{model}"
         frame = lake[model]
         replace_table(frame, path, [partition] if partition else [])
-        lake._frames[model] = lake.spark.read.schema(frame.schema).parquet(path)
+        lake.use_table(model, lake.spark.read.schema(frame.schema).parquet(path))
         if checks and model in checks:
             gate(model, run_checks(lake[model], checks[model]))
