@@ -47,13 +47,6 @@ def surrogate_key(*parts: ColumnLike) -> Column:
     return F.md5(F.concat_ws("-", *filled))
 
 
-def name_similarity(a: ColumnLike, b: ColumnLike) -> Column:
-    """1 - edit distance / longer length."""
-    left, right = as_col(a), as_col(b)
-    longest = F.greatest(F.length(left), F.length(right))
-    return F.lit(1.0) - F.levenshtein(left, right).cast("double") / F.nullif(longest, F.lit(0))
-
-
 # --- arithmetic -------------------------------------------------------------
 
 def safe_ratio(numerator: ColumnLike, denominator: ColumnLike) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from martloom.operators import joins, ranking
-from martloom.operators.changes import apply_cdc, mask, merge_by_key, retain, summing_read
+from martloom.operators.changes import above_high_water, apply_cdc, mask, merge_by_key, retain, summing_read
 from martloom.operators.dedup import dedup_any, latest_per_key
 from martloom.operators.fuzzy import fuzzy_match
 from martloom.operators.identity import identity_clusters
@@ -226,6 +226,13 @@ def test_merge_keeps_newest_of_both(spark):
     assert rows(merge_by_key(old, new, ["k"], "t", [])) == [("a", 9, 2), ("b", 2, 5), ("c", 3, 1)]
 
 
+def test_high_water_mark(spark):
+    target = spark.createDataFrame([("a", at(5)), ("b", at(9))], "k string, t timestamp")
+    updates = spark.createDataFrame([("a", at(9)), ("c", at(10))], "k string, t timestamp")
+    assert rows(above_high_water(updates, target, "t").select("k")) == [("c",)]
+    assert above_high_water(updates, target.limit(0), "t").count() == 2
+
+
 def test_summing_recomputes_means(spark):
     df = spark.createDataFrame([("w", 2, 10.0, 5.0), ("w", 1, 2.0, 2.0)], "k string, n bigint, total double, mean double")
     assert rows(summing_read(df, ["k"], ["n", "total"], {"mean": ("total", "n")})) == [("w", 3, 12.0, 4.0)]
