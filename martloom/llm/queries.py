@@ -7,19 +7,31 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from martloom.llm import prefix_bpe
+from martloom.llm import fm_decontaminate, prefix_bpe, simhash_blocks
 from martloom.llm.common import table
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 BPE_PATTERN = public_tokenizers.PATTERN
 
 
+def op2_simhash_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_blocks.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op3_fm_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fm_decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_bpe.encode_documents(table(spark, sf_dir, "documents"), BPE_RANKS, BPE_PATTERN)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_simhash_blocks": op2_simhash_blocks,
+    "op3_fm_decontaminate": op3_fm_decontaminate,
     "op7_prefix_bpe": op7_prefix_bpe,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_fm_decontaminate": fm_decontaminate.SQL,
+}
