@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from martloom.llm import fm_decontaminate, prefix_bpe, simhash_blocks
+from martloom.llm import channel_toxicity, fm_decontaminate, prefix_bpe, secret_cnn, simhash_blocks
 from martloom.llm.common import table
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -22,14 +22,24 @@ def op3_fm_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fm_decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_secret_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_cnn.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_bpe.encode_documents(table(spark, sf_dir, "documents"), BPE_RANKS, BPE_PATTERN)
 
 
+def op8_channel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return channel_toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_blocks": op2_simhash_blocks,
     "op3_fm_decontaminate": op3_fm_decontaminate,
+    "op6_secret_cnn": op6_secret_cnn,
     "op7_prefix_bpe": op7_prefix_bpe,
+    "op8_channel_toxicity": op8_channel_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {
