@@ -198,7 +198,7 @@ def _fit(rows: list[tuple[int, int, list[tuple[int, int]]]], size: int) -> tuple
             x[i, 2 * j:2 * j + 2] = presence_and_density(count, n)
     x[:, -1] = 1
     w = np.zeros(x.shape[1])
-    penalty = np.full(len(w), 0.05)
+    penalty = np.full(len(w), 0.01)
     penalty[-1] = 1e-3
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from martloom.llm import channel_toxicity, fm_decontaminate, prefix_bpe, secret_cnn, simhash_blocks
+from martloom.llm import channel_toxicity, fm_decontaminate, prefix_bpe, secret_cnn, simhash_blocks, slot_shards, warc_members
 from martloom.llm.common import table
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -34,12 +34,22 @@ def op8_channel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return channel_toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_warc_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_members.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op10_slot_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return slot_shards.place(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_blocks": op2_simhash_blocks,
     "op3_fm_decontaminate": op3_fm_decontaminate,
     "op6_secret_cnn": op6_secret_cnn,
     "op7_prefix_bpe": op7_prefix_bpe,
     "op8_channel_toxicity": op8_channel_toxicity,
+    "op9_warc_members": op9_warc_members,
+    "op10_slot_shards": op10_slot_shards,
 }
 
 ORACLE_SQL: dict[str, str] = {
