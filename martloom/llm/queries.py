@@ -7,7 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from martloom.llm import channel_toxicity, fm_decontaminate, prefix_bpe, secret_cnn, simhash_blocks, slot_shards, warc_members
+from martloom.llm import (
+    boosted_quality,
+    channel_toxicity,
+    fm_decontaminate,
+    html_labeller,
+    prefix_bpe,
+    secret_cnn,
+    simhash_blocks,
+    slot_shards,
+    warc_members,
+)
 from martloom.llm.common import table
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -22,6 +32,14 @@ def op3_fm_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fm_decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_html_labeller(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_labeller.extract(table(spark, sf_dir, "pages"))
+
+
+def op5_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boosted_quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_secret_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_cnn.scan(table(spark, sf_dir, "documents"))
 
@@ -45,6 +63,8 @@ def op10_slot_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_blocks": op2_simhash_blocks,
     "op3_fm_decontaminate": op3_fm_decontaminate,
+    "op4_html_labeller": op4_html_labeller,
+    "op5_boosted_quality": op5_boosted_quality,
     "op6_secret_cnn": op6_secret_cnn,
     "op7_prefix_bpe": op7_prefix_bpe,
     "op8_channel_toxicity": op8_channel_toxicity,
