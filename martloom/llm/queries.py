@@ -11,6 +11,7 @@ from martloom.llm import (
     boosted_quality,
     channel_toxicity,
     fm_decontaminate,
+    gated_lm,
     html_labeller,
     prefix_bpe,
     secret_cnn,
@@ -24,6 +25,10 @@ BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 BPE_PATTERN = public_tokenizers.PATTERN
 
 
+def op1_gated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gated_lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op2_simhash_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_blocks.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -61,6 +66,7 @@ def op10_slot_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_gated_lm": op1_gated_lm,
     "op2_simhash_blocks": op2_simhash_blocks,
     "op3_fm_decontaminate": op3_fm_decontaminate,
     "op4_html_labeller": op4_html_labeller,
