@@ -159,7 +159,7 @@ def _(spark, folder):
     FROM lineitem""")
 def _(spark, folder):
     lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_returnflag")
-    return rank_within(lines, {"quantity_rank": ["l_returnflag"]}, "l_quantity", group_row_limit=1000).drop("l_returnflag")
+    return rank_within(lines, {"quantity_rank": ["l_returnflag"]}, "l_quantity").drop("l_returnflag")
 
 
 @query("w3_ntile_global", """

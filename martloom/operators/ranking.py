@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 
 from martloom.session import write_once
 
-GROUP_ROW_LIMIT = 5_000_000
-
 
 # --- tiles over all rows ----------------------------------------------------
 
@@ -134,21 +132,13 @@ def global_position(df: DataFrame, order: Sequence[Column], name: str) -> DataFr
 
 # --- rank inside groups -----------------------------------------------------
 
-def rank_within(df: DataFrame, ranks: Mapping[str, Sequence[str]], order: str,
-                group_row_limit: int = GROUP_ROW_LIMIT) -> DataFrame:
-    """Descending ``rank()`` per group for several groupings of one frame.
+def rank_within(df: DataFrame, ranks: Mapping[str, Sequence[str]], order: str) -> DataFrame:
+    """Descending ``rank()`` per group for several groupings of one frame, nulls last.
 
-    Group sizes are counted first. Groups a task can sort use the window function;
-    when one is larger, its ranks are built from running counts over range
-    partitions instead. Pass a materialised frame, because it is read again.
+    Pass a materialised frame, because it is read once more per grouping.
     """
     for out, groups in ranks.items():
-        largest = df.groupBy(*groups).count().agg(F.max("count")).first()[0] or 0
-        if largest <= group_row_limit:
-            best_first = Window.partitionBy(*groups).orderBy(F.col(order).desc_nulls_last())
-            df = df.withColumn(out, F.rank().over(best_first))
-        else:
-            df = _rank_by_counts(df, groups, order, out)
+        df = _rank_by_counts(df, groups, order, out)
     return df
 
 

@@ -43,9 +43,6 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
-    if is_local(spark) and spark.conf.get("spark.sql.shuffle.partitions") == "200":
-        # Streaming state does not coalesce: 200 stores on one machine are all overhead.
-        spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
     return spark
 
 
@@ -86,3 +83,20 @@ def write_once(df: DataFrame, label: str) -> DataFrame:
     path = workspace(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    """The file system that holds a path, as Spark sees it, and the path's handle."""
+    handle = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return handle.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), handle
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, handle = _file_system(spark, path)
+    return files.exists(handle)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote and no later plan reads."""
+    files, handle = _file_system(spark, path)
+    files.delete(handle, True)

@@ -8,13 +8,10 @@ padded to a minimum width; longer ones are kept whole.
 
 from __future__ import annotations
 
-import os
 import string
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martloom.session import is_local
-
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -290,19 +287,9 @@ def inputs_of(view: str) -> list[str]:
     return sorted({name for _, name, _, _ in fields if name})
 
 
-# On one machine, a sample file above this size is spread over the cores.
-SPREAD_BYTES = 4 << 20
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One sample table. The sample writes a table as a single row group, which only one
-    task can read; a local session spreads it once. Cluster tables have enough splits."""
-    df = spark.read.parquet(f"{folder}/{name}.parquet")
-    if is_local(spark) and os.path.isfile(path := f"{folder}/{name}.parquet"):
-        cores = spark.sparkContext.defaultParallelism
-        if os.path.getsize(path) > SPREAD_BYTES and df.rdd.getNumPartitions() < cores:
-            return df.repartition(cores, df.columns[0])  # by hash: round robin would sort first
-    return df
+    """One sample table, a file or a folder of part files."""
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def raw_view(spark: SparkSession, folder: str, view: str) -> DataFrame:
@@ -314,10 +301,12 @@ def raw_view(spark: SparkSession, folder: str, view: str) -> DataFrame:
 
 
 def raw_stream(spark: SparkSession, folder: str, view: str, max_files: int | None = None) -> DataFrame:
-    """The same projection over a stream of the view's single input file set."""
+    """The same projection over a stream of exactly what ``table`` reads.
+
+    A stream takes one file for its path only by a pattern; this one matches nothing but the table's own name.
+    """
     (name,) = inputs_of(view)
-    reader = (spark.readStream.schema(table(spark, folder, name).schema)
-              .option("pathGlobFilter", f"{name}*.parquet"))
+    reader = spark.readStream.schema(table(spark, folder, name).schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return spark.sql(VIEWS[view], **{name: reader.parquet(folder)})
+    return spark.sql(VIEWS[view], **{name: reader.parquet(f"{folder}/{name}.parque[t]")})

@@ -85,7 +85,7 @@ def test_rank_of_large_groups_equals_rank(spark):
     picks = random.Random(7)
     data = [(i, picks.choice("abc"), picks.choice([None, 1, 2, 2, 2, 3, 9])) for i in range(300)]
     df = spark.createDataFrame(data + [(999, None, 2)], "id int, g string, v int")
-    got = ranking.rank_within(df, {"r": ["g"]}, "v", group_row_limit=5).select("id", "r")
+    got = ranking.rank_within(df, {"r": ["g"]}, "v").select("id", "r")
     want = df.select("id", F.rank().over(Window.partitionBy("g").orderBy(F.desc_nulls_last("v"))).alias("r"))
     assert rows(got) == rows(want)
 
