@@ -27,7 +27,7 @@ from martloom.session import workspace
 from martloom.sources import messages, tables
 from martloom.sources.sample import raw_stream, raw_view
 from martloom.streaming import live
-from martloom.streaming.sinks import drain
+from martloom.streaming.sinks import drain, upsert
 
 # --- malformed input, bots, dates -------------------------------------------
 
@@ -226,10 +226,39 @@ def _(spark, folder):
     newer = versions.where("updated_at > created_at").drop("created_at")
     tables.append_table(first, path, ["yr"])
     for _attempt in range(2):
-        tables.merge_table(spark, path, newer, ["order_id"], "updated_at", "yr")
+        tables.merge_table(spark, path, newer, ["order_id"], "updated_at", "yr", ["status"])
     return spark.read.parquet(path)
 
 
+@query("x11_merge_odd_partitions", """
+    SELECT order_id, total_amount, updated_at,
+           CASE WHEN status = 'shipped' THEN NULL ELSE 'is:' || status || '/' || CAST(year(updated_at) AS VARCHAR) END AS place
+    FROM raw_ecom_orders
+    QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY updated_at DESC) = 1""")
+def _(spark, folder):
+    """Partition values that are null or need escaping, and keys that move between them."""
+    path = workspace(spark, "merge-odd")
+    place = F.when(F.col("status") != "shipped", F.concat(F.lit("is:"), "status", F.lit("/"), F.year("updated_at").cast("string")))
+    versions = raw_view(spark, folder, "ecom_orders").select("order_id", "total_amount", "updated_at", "created_at", place.alias("place"))
+    tables.append_table(versions.where("updated_at = created_at").drop("created_at"), path, ["place"])
+    for _attempt in range(2):
+        tables.merge_table(spark, path, versions.where("updated_at > created_at").drop("created_at"), ["order_id"], "updated_at",
+                           "place", ["total_amount"])
+    return spark.read.parquet(path)
+
+
+@query("t10_upsert_sink", """
+    SELECT order_id, status, total_amount, updated_at, CAST(year(updated_at) AS INTEGER) AS yr FROM raw_ecom_orders
+    QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY updated_at DESC) = 1""")
+def _(spark, folder):
+    """The replacing sink, fed by a stream of all order versions."""
+    root = workspace(spark, "upsert")
+    versions = raw_stream(spark, folder, "ecom_orders").select(
+        "order_id", "status", "total_amount", "updated_at", F.year("updated_at").alias("yr"))
+    upsert(versions, f"{root}/out", f"{root}/checkpoint", ["order_id"], "updated_at", "yr", ["status"]).awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
 @query("x12_cdc_unwrap", """
     SELECT order_id, status, total_amount FROM raw_order_changes
     QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY seq DESC) = 1 AND op <> 'd'""")

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from martloom.operators.dedup import latest_per_key
-from martloom.session import workspace, write_once
-from martloom.sources.tables import append_table, merge_table
+from martloom.session import path_exists, remove_path, workspace
+from martloom.sources.tables import merge_table, replace_table
 
 
 def start(df: DataFrame, out: str, checkpoint: str, every: str | None = None,
@@ -32,20 +32,30 @@ def drain(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(f"{folder}/out")
 
 
-def upsert(df: DataFrame, out: str, checkpoint: str, key: Sequence[str], version: str, partition: str) -> StreamingQuery:
+def upsert(df: DataFrame, out: str, checkpoint: str, key: Sequence[str], version: str, partition: str,
+           tie_break: Sequence[Column | str]) -> StreamingQuery:
     """Keep the newest version per key in a partitioned table, batch by batch.
 
-    Replaying a batch after a failure merges the same rows again, which changes nothing.
+    Replaying a batch after a failure merges the same rows again, which changes nothing: ``tie_break``
+    orders rows of one key and version. A first batch that died while writing left no success
+    marker, so its replay starts the table afresh. The batch's copy goes once it is merged.
     """
+    return (df.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).foreachBatch(upsert_batch(out, key, version, partition, tie_break)).start())
+
+
+def upsert_batch(out: str, key: Sequence[str], version: str, partition: str,
+                 tie_break: Sequence[Column | str]) -> Callable[[DataFrame, int], None]:
+    """What ``upsert`` does with each batch."""
     def write(rows: DataFrame, batch: int) -> None:
         session = rows.sparkSession
-        folder = session.sparkContext._jvm.org.apache.hadoop.fs.Path(out)
-        exists = folder.getFileSystem(session.sparkContext._jsc.hadoopConfiguration()).exists(folder)
-        taken = write_once(rows, "batch")  # the merge reads the batch several times
-        if exists:
-            merge_table(session, out, taken, key, version, partition)
+        copy = workspace(session, "batch")  # the merge reads the batch several times
+        rows.write.parquet(copy)
+        taken = session.read.schema(rows.schema).parquet(copy)
+        if path_exists(session, f"{out.rstrip('/')}/_SUCCESS"):
+            merge_table(session, out, taken, key, version, partition, tie_break)
         elif not taken.isEmpty():
-            append_table(latest_per_key(taken, key, version, []), out, [partition])
+            replace_table(latest_per_key(taken, key, version, tie_break), out, [partition])
+        remove_path(session, copy)
 
-    return (df.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).foreachBatch(write).start())
+    return write
