@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from martloom.catalog.oracle import RFM_SQL
 from martloom.catalog.registry import lake_query, query
 from martloom.functions import columns as C
 from martloom.functions import rules
@@ -179,24 +180,19 @@ def _(lake):
 
 def _scores(spark, folder):
     key = F.col("c_custkey")
-    digit = lambda n: (F.floor(key / n) % 5 + 1).cast("int")
+    # Every seventh value in turn is null, a different one for each score.
+    digit = lambda n, gap: F.when(key % 7 != gap, (F.floor(key / n) % 5 + 1).cast("int"))
     return table(spark, folder, "customer").select(
-        "c_custkey", digit(1).alias("recency_score"), digit(5).alias("frequency_score"),
-        digit(25).alias("monetary_score"))
+        "c_custkey", digit(1, 0).alias("recency_score"), digit(5, 1).alias("frequency_score"),
+        digit(25, 2).alias("monetary_score"))
 
 
-_SCORES_SQL = """(SELECT c_custkey, CAST(c_custkey % 5 + 1 AS INTEGER) AS recency_score,
-    CAST(c_custkey // 5 % 5 + 1 AS INTEGER) AS frequency_score,
-    CAST(c_custkey // 25 % 5 + 1 AS INTEGER) AS monetary_score FROM customer)"""
+_SCORES_SQL = """(SELECT c_custkey, CASE WHEN c_custkey % 7 <> 0 THEN CAST(c_custkey % 5 + 1 AS INTEGER) END AS recency_score,
+    CASE WHEN c_custkey % 7 <> 1 THEN CAST(c_custkey // 5 % 5 + 1 AS INTEGER) END AS frequency_score,
+    CASE WHEN c_custkey % 7 <> 2 THEN CAST(c_custkey // 25 % 5 + 1 AS INTEGER) END AS monetary_score FROM customer)"""
 
 
-@query("p20_rfm_segment", f"""
-    SELECT *, CASE WHEN least(recency_score, frequency_score, monetary_score) > 3 THEN 'Champion'
-        WHEN least(recency_score, frequency_score) > 2 THEN 'Loyal'
-        WHEN recency_score > 3 AND frequency_score < 3 THEN 'New Customer'
-        WHEN frequency_score > 2 AND recency_score < 3 THEN 'At Risk'
-        WHEN greatest(recency_score, frequency_score) < 3 AND monetary_score > 2 THEN 'Hibernating'
-        WHEN recency_score = 1 THEN 'Lost' ELSE 'Regular' END AS rfm_segment FROM {_SCORES_SQL}""")
+@query("p20_rfm_segment", f"SELECT *, {RFM_SQL} AS rfm_segment FROM {_SCORES_SQL}")
 def _(spark, folder):
     return _scores(spark, folder).withColumn("rfm_segment", rules.rfm_segment())
 

@@ -112,3 +112,20 @@ def test_sql_functions_agree_with_columns(spark):
         (F.expr("inventory_alert(q, 3, 9)") == rules.inventory_alert("q", F.lit(3), F.lit(9))).alias("c"),
         (F.expr("reconciliation_alert(pct)") == rules.reconciliation_alert("pct")).alias("d")).first()
     assert all(row)
+
+
+def test_segments_need_every_score_they_ask_for(spark):
+    def segment(r, f, m):
+        """The mart's definition; a comparison with null is no match."""
+        least = lambda x, n: x is not None and x >= n
+        most = lambda x, n: x is not None and x <= n
+        cases = [("Champion", least(r, 4) and least(f, 4) and least(m, 4)), ("Loyal", least(r, 3) and least(f, 3)),
+                 ("New Customer", least(r, 4) and most(f, 2)), ("At Risk", most(r, 2) and least(f, 3)),
+                 ("Hibernating", most(r, 2) and most(f, 2) and least(m, 3)), ("Lost", most(r, 1))]
+        return next((name for name, fits in cases if fits), "Regular")
+
+    scores = [None, 1, 2, 3, 4, 5]
+    every = [(r, f, m) for r in scores for f in scores for m in scores]
+    df = spark.createDataFrame(every, "recency_score int, frequency_score int, monetary_score int")
+    got = df.withColumn("s", rules.rfm_segment()).collect()
+    assert all(x.s == segment(*x[:3]) for x in got)
