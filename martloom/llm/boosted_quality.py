@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import map_batches
+from martloom.llm.common import bounded_sample, map_batches
 from martloom.session import write_once
 
 LEAST_WORDS = 50
@@ -168,9 +168,9 @@ def fit(x: np.ndarray, y: np.ndarray, signs: list[int] | None = None) -> Forest:
 
 
 def train(measured: DataFrame, labels: DataFrame) -> Forest:
-    """Fit on at most ``LABELLED_ROWS`` labelled rows, chosen by a hash of the id; null labels are ignored."""
+    """Fit on about ``LABELLED_ROWS`` labelled rows at most, chosen by a hash of the id; null labels are ignored."""
     marked = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    sample = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED_ROWS).withColumnRenamed("doc_id", "label_id")
+    sample = bounded_sample(marked, "doc_id", LABELLED_ROWS).withColumnRenamed("doc_id", "label_id")
     rows = measured.join(sample, F.col("doc_id") == F.col("label_id")).groupBy("doc_id").agg(
         F.max("quality").alias("quality"), F.min("features").alias("features")).orderBy("doc_id").collect()
     x = np.array([r["features"] for r in rows]).reshape(len(rows), len(FEATURES))

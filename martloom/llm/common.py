@@ -47,6 +47,17 @@ def alnum_words(text: str | None) -> list[bytes]:
     return text.encode().translate(LOWER_ALNUM).split() if text else []
 
 
+def bounded_sample(rows: DataFrame, key: str, bound: int) -> DataFrame:
+    """All rows where there are no more than ``bound``, else about that many, chosen by a hash of the key.
+
+    The expected number is the bound; no task or driver sorts the rest.
+    """
+    total, slots = rows.count(), 1 << 40
+    if total <= bound:
+        return rows
+    return rows.where(F.pmod(F.xxhash64(key), F.lit(slots)) < int(slots * bound / total))
+
+
 Step = Callable[..., Iterator[dict] | dict | None]
 
 
