@@ -22,6 +22,7 @@ import numpy as np
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from martloom.llm.common import map_batches, sha256_hex
 
@@ -293,7 +294,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, keep: tuple[str,
     for name, kind in (("n_tokens", "long"), ("ids_sha256", "string"), ("decoded_sha256", "string")):
         schema = schema.add(name, kind)
     if with_ids:
-        schema = schema.add("token_ids", "array<int>")
+        schema = schema.add("token_ids", ArrayType(IntegerType()))
     names = [f.name for f in fields]
 
     def make():
