@@ -34,11 +34,17 @@ def _(spark, folder):
     return rows.where("_corrupt_record IS NULL").drop("_corrupt_record")
 
 
-@query("s2_read_json_landing", "SELECT * FROM raw_clickstream_events")
+@query("s2_read_json_landing", """
+    SELECT *, CAST(NULL AS VARCHAR) AS _corrupt_record FROM raw_clickstream_events
+    UNION ALL BY NAME SELECT '{"event_id": "cut off ' || nation.n_nationkey AS _corrupt_record FROM nation""")
 def _(spark, folder):
+    """One drop of whole lines and, for every nation, a line that breaks off."""
     root = workspace(spark, "landing")
     source = _dropped(spark, folder, "clickstream_events", root)
-    return landing.read_json_landing(spark, root, source, DAY, schemas.CLICKSTREAM_EVENTS)
+    bad = table(spark, folder, "nation").select(F.concat(F.lit('{"event_id": "cut off '), F.col("n_nationkey").cast("string")).alias("value"))
+    bad.write.mode("append").option("header", False).format("text").save(f"{root}/{source}/{DAY}/bad.json")
+    whole = landing.read_json_landing(spark, root, source, DAY, schemas.CLICKSTREAM_EVENTS)
+    return whole
 
 
 @query("s3_read_payment_gateways", """
@@ -117,14 +123,15 @@ def _(spark, folder):
 
 
 def _landed(entity: str, source: str) -> str:
-    return (f"SELECT '{source}' AS source, DATE '{DAY}' AS landing_date, count(*) AS row_count FROM raw_{entity} "
-            f"UNION ALL SELECT '{source}', DATE '2024-01-02', count(*) FROM raw_{entity}")
+    key = schemas.RAW[entity].names[0]
+    days = f"(VALUES (DATE '{DAY}'), (DATE '2024-01-02'), (NULL)) AS days(landing_date)"
+    return f"SELECT '{source}' AS source, landing_date, CAST({key} AS VARCHAR) AS record FROM raw_{entity}, {days}"
 
 
 @query("s10_ingest_new_files", " UNION ALL ".join(_landed(e, s) for e, (s, _f) in schemas.LANDING.items()))
 def _(spark, folder):
     root, lake = workspace(spark, "landing"), workspace(spark, "raw")
-    for date in (DAY, "2024-01-02"):  # two rounds: the second must take only the new drop
+    for date in (DAY, "2024-01-02", "no-date"):  # each round must take only the new drop
         runs = []
         for entity, (source, fmt) in schemas.LANDING.items():
             _dropped(spark, folder, entity, root, date)
@@ -133,8 +140,8 @@ def _(spark, folder):
         for run in runs:
             run.awaitTermination()
     return union_all(*[
-        spark.read.parquet(f"{lake}/{entity}").groupBy(F.lit(source).alias("source"), "landing_date")
-        .agg(F.count("*").alias("row_count")) for entity, (source, _fmt) in schemas.LANDING.items()])
+        spark.read.parquet(f"{lake}/{entity}").select(F.lit(source).alias("source"), "landing_date", F.col(schemas.RAW[entity].names[0]).cast("string").alias("record"))
+        for entity, (source, _fmt) in schemas.LANDING.items()])
 
 
 @query("s11_write_records", """

@@ -40,7 +40,8 @@ MODELS: dict[str, Callable[[Lake], DataFrame]] = {
     "dim_customers": lambda x: marts.dim_customers(x.materialise("int_customers_unified"), x["int_customer_metrics"]),
     "dim_stores": lambda x: marts.dim_stores(x.raw("stores")),
     "dim_products": lambda x: marts.dim_products(x.raw("products")),
-    "dim_date": lambda x: marts.dim_date(x.spark),
+    "dim_date": lambda x: marts.dim_date_over(
+        x.raw("pos_transactions").select(F.to_date("txn_timestamp")), x.raw("ecom_orders").select(F.to_date("order_date"))),
     "fct_revenue_daily": lambda x: marts.fct_revenue_daily(x["int_orders_all_channels"]),
     "fct_revenue_monthly": lambda x: marts.fct_revenue_monthly(x["fct_revenue_daily"]),
     "fct_reconciliation": lambda x: marts.fct_reconciliation(

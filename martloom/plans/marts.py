@@ -56,6 +56,14 @@ def dim_date(spark: SparkSession, start: dt.date = CALENDAR[0], end: dt.date = C
     return date_spine(spark, start, end).withColumns(calendar_parts("date_key"))
 
 
+def dim_date_over(*dates: DataFrame) -> DataFrame:
+    """Calendar of the whole years that one-column frames of fact dates span; no date, no rows."""
+    ends = union_all(*[d.toDF("d") for d in dates]).agg(
+        F.trunc(F.min("d"), "year").alias("first"), F.add_months(F.trunc(F.max("d"), "year"), 12).alias("after"))
+    days = ends.select(F.explode(F.sequence("first", F.date_sub("after", 1))).alias("date_key"))
+    return days.withColumns(calendar_parts("date_key"))
+
+
 # --- finance ----------------------------------------------------------------
 
 def fct_revenue_daily(orders: DataFrame) -> DataFrame:

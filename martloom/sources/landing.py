@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
@@ -21,14 +21,17 @@ def drop_path(root: str, source: str, date: str, suffix: str) -> str:
 
 def read_csv_landing(spark: SparkSession, root: str, source: str, date: str, schema: StructType) -> DataFrame:
     """One day's CSV drop. Rows that do not fit keep their text in ``_corrupt_record``."""
+    return _keeping_corrupt(spark, schema).option("header", True).csv(drop_path(root, source, date, "csv"))
+
+
+def _keeping_corrupt(spark: SparkSession, schema: StructType) -> DataFrameReader:
     return (spark.read.schema(StructType([*schema.fields, StructField(CORRUPT, StringType())]))
-            .option("header", True).option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT)
-            .csv(drop_path(root, source, date, "csv")))
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT))
 
 
 def read_json_landing(spark: SparkSession, root: str, source: str, date: str, schema: StructType) -> DataFrame:
-    return spark.read.schema(schema).json(drop_path(root, source, date, "json"))
+    """One day's JSON drop. Lines that do not parse keep their text in ``_corrupt_record``."""
+    return _keeping_corrupt(spark, schema).json(drop_path(root, source, date, "json"))
 
 
 def read_payments(spark: SparkSession, root: str, date: str) -> dict[str, DataFrame]:
@@ -75,7 +78,16 @@ def new_files(spark: SparkSession, root: str, source: str, schema: StructType, f
 
 def ingest_new_files(spark: SparkSession, root: str, source: str, schema: StructType, fmt: str,
                      checkpoint: str, out: str) -> StreamingQuery:
-    """Append files not seen before. The checkpoint remembers what was taken."""
-    rows = new_files(spark, root, source, schema, fmt).where("landing_date IS NOT NULL")
+    """Append files not seen before. The checkpoint remembers what was taken.
+
+    Rows of files whose path has no date are kept in the null partition of ``landing_date``, where
+    ``undated`` finds them.
+    """
+    rows = new_files(spark, root, source, schema, fmt)
     return (rows.writeStream.format("parquet").partitionBy("landing_date")
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out))
+
+
+def undated(spark: SparkSession, out: str) -> DataFrame:
+    """Ingested rows that wait for somebody to tell their day."""
+    return spark.read.parquet(out).where("landing_date IS NULL")
