@@ -33,6 +33,10 @@ RECONCILIATION_THRESHOLD_PCT = 1.0
 SESSION_TIMEOUT_MINUTES = 30
 FLASH_SALE_PAGE = "flash-sale"
 
+# stock at or below nothing, below the safety stock, below the reorder point, above
+STOCK_STATUS_LABELS = ("OUT_OF_STOCK", "LOW_STOCK", "REORDER_NEEDED", "OK")
+STOCK_SEVERITY_LABELS = ("Critical", "High", "Medium", "Low")
+
 REGION_VI = {"North": "Miền Bắc", "Central": "Miền Trung", "South": "Miền Nam"}
 
 # segment -> (recency, frequency, monetary) score ranges; earlier segments win
@@ -164,11 +168,11 @@ def _first_band(bands: Mapping[str, tuple], scores: tuple[ColumnLike, ...]) -> C
 
 def stock_status(qty: ColumnLike, safety: ColumnLike, reorder: ColumnLike) -> Column:
     """Mart rule: thresholds are exclusive."""
-    return _stock_ladder(qty, safety, reorder, ("OUT_OF_STOCK", "LOW_STOCK", "REORDER_NEEDED", "OK"))
+    return _stock_ladder(qty, safety, reorder, STOCK_STATUS_LABELS)
 
 
 def stock_severity(qty: ColumnLike, safety: ColumnLike, reorder: ColumnLike) -> Column:
-    return _stock_ladder(qty, safety, reorder, ("Critical", "High", "Medium", "Low"))
+    return _stock_ladder(qty, safety, reorder, STOCK_SEVERITY_LABELS)
 
 
 def _stock_ladder(qty: ColumnLike, safety: ColumnLike, reorder: ColumnLike,

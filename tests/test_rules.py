@@ -129,3 +129,21 @@ def test_segments_need_every_score_they_ask_for(spark):
     df = spark.createDataFrame(every, "recency_score int, frequency_score int, monetary_score int")
     got = df.withColumn("s", rules.rfm_segment()).collect()
     assert all(x.s == segment(*x[:3]) for x in got)
+
+
+def test_every_sql_function_equals_its_column(spark):
+    register_functions(spark)
+    numbers = [None, -1, 0, 1, 2, 3, 4, 5]
+    grid = spark.createDataFrame([(a, b, c) for a in numbers for b in numbers for c in numbers], "a int, b int, c int")
+    for name, column in (("rfm_segment", rules.rfm_segment), ("rfm_band_segment", rules.rfm_band_segment), ("stock_status", rules.stock_status),
+                         ("stock_severity", rules.stock_severity), ("inventory_alert", rules.inventory_alert)):
+        assert grid.where(~F.expr(f"{name}(a, b, c)").eqNullSafe(column("a", "b", "c"))).count() == 0, name
+    texts = [None, "", "00", "07", "09", "0", "1006", "SETTLED", "DECLINED", "REFUNDED", "x", "0912345678", "+84912345678", "84912345678", "0912-345 678",
+             "8412345678", "/flash-sale?x=1", " A@B.c "]
+    words = spark.createDataFrame([(t, s) for t in texts for s in (True, False, None)], "t string, s boolean")
+    pairs = [("phone_digits(t)", C.phone_digits("t")), ("phone_normalize(t)", C.phone_normalize("t")), ("is_flash_sale(t)", rules.is_flash_sale("t")),
+             ("customer_type(t, s)", rules.customer_type("t", "s"))]
+    for gateway in rules.GATEWAY_STATUS:
+        pairs += [(f"{gateway}_status(t)", rules.gateway_status(gateway, "t")), (f"is_{gateway}_success(t)", rules.is_success_code(gateway, "t"))]
+    for call, column in pairs:
+        assert words.where(~F.expr(call).eqNullSafe(column)).count() == 0, call
