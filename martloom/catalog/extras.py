@@ -304,11 +304,11 @@ def _(lake):
 
 @query("x17_compact_files", "SELECT *, CAST(event_time AS DATE) AS dt FROM raw_order_events")
 def _(spark, folder):
-    scattered, packed = workspace(spark, "scattered"), workspace(spark, "packed")
+    scattered = workspace(spark, "scattered")
     events = raw_view(spark, folder, "order_events").withColumn("dt", F.to_date("event_time"))
     events.repartition(8).write.partitionBy("dt").parquet(scattered)
-    tables.compact(spark, scattered, packed, ["dt"])
-    return spark.read.parquet(packed)
+    tables.compact(spark, scattered, "dt", F.col("dt") >= F.lit(dt.date(2024, 1, 10)))
+    return spark.read.parquet(scattered)
 
 
 # --- the rules in every form ------------------------------------------------

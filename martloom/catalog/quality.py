@@ -156,7 +156,7 @@ _CHECKED = {
     f"SELECT '{name}' AS table_name, * FROM ({_report(*rows)})" for name, rows in _CHECKED.items()))
 def _(lake):
     declared = declared_checks(lake, F.lit(AS_OF))
-    return union_all(*[run_checks(lake[name], declared[name]).select(F.lit(name).alias("table_name"), "check", "measured", "status")
+    return union_all(*[run_checks(lake.materialise(name), declared[name]).select(F.lit(name).alias("table_name"), "check", "measured", "status")
                        for name in _CHECKED])
 
 

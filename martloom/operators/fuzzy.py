@@ -28,6 +28,9 @@ def fuzzy_match(a: DataFrame, b: DataFrame, block: str, name: str, a_id: str, b_
                .groupBy(F.col(block).alias("_block"), F.col(name).alias("_bn"))
                .agg(F.min(b_id).alias("_b")))
 
+    # A name without any counterpart in its block needs no marks.
+    blocks_a, blocks_b = names_a.select("_block").distinct(), names_b.select("_block").distinct()
+    names_a, names_b = names_a.join(blocks_b, "_block", "left_semi"), names_b.join(blocks_a, "_block", "left_semi")
     marked_a = names_a.withColumn("_mark", F.explode(_marks(F.col("_an"), above_pct, probe=True)))
     marked_b = names_b.withColumn("_mark", F.explode(_marks(F.col("_bn"), above_pct, probe=False)))
     longest = F.greatest(F.length("_an"), F.length("_bn"))

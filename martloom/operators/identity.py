@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.operators.shaping import union_all
-from martloom.session import cut_lineage, write_once
+from martloom.session import write_once
 
 
 def identity_clusters(records: DataFrame, record_id: str, keys: Mapping[str, str], out: str = "person_id") -> DataFrame:
@@ -27,11 +27,12 @@ def identity_clusters(records: DataFrame, record_id: str, keys: Mapping[str, str
             .where("rec IS NOT NULL AND value IS NOT NULL").distinct())
     roots = held.groupBy("kind", "value").agg(F.min("rec").alias("low"))
     edges = held.join(roots, ["kind", "value"]).select(F.col("rec").alias("high"), "low")
-    edges = cut_lineage(edges.where("high <> low").distinct())
+    edges = write_once(edges.where("high <> low").distinct(), "edges")
 
     state = None
     while True:
-        edges = cut_lineage(_contract_lower(_contract_upper(edges)))
+        # Each half step reads its edges several times, so each is written.
+        edges = write_once(_contract_lower(write_once(_contract_upper(edges), "edges")), "edges")
         seen = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("high", "low"))).first()
         if seen == state:
             break

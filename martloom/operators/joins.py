@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.operators.shaping import union_all
+from martloom.session import write_once
 
 NULL_SLOTS = 4096
 
@@ -96,7 +97,7 @@ def match_settlements(orders: DataFrame, payments: DataFrame, interval: str = "1
     be split on a hot reference; a left join from the payments can, and the orders
     nobody paid for follow from an anti join on the matched ids.
     """
-    matched_or_not = left_settlement(orders, payments, interval)
+    matched_or_not = write_once(left_settlement(orders, payments, interval), "settlement")  # read twice below
     paid = matched_or_not.where("order_id IS NOT NULL").select("order_id").distinct()
     unpaid = orders.join(paid, "order_id", "left_anti").select(
         "order_id", "ordered_at",

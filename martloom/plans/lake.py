@@ -119,11 +119,17 @@ class Lake:
 
 def build_all(lake: Lake, root: str, checks: dict[str, list[Check]] | None = None,
               partitions: dict[str, str | None] = BUILD) -> None:
-    """Full build: write every table in order; a failed check stops what depends on it."""
+    """Full build: write every table in order.
+
+    A table is built aside and replaces the published one only when its checks pass; a failed check stops
+    what depends on it. Checks of staging models that are not built themselves run first.
+    """
+    for model in (m for m in checks or {} if m not in partitions and m in MODELS):
+        gate(model, run_checks(lake.materialise(model), checks[model]))
     for model, partition in partitions.items():
         path = f"{root.rstrip('/')}/{model}"
-        frame = lake[model]
-        replace_table(frame, path, [partition] if partition else [])
-        lake.use_table(model, lake.spark.read.schema(frame.schema).parquet(path))
+        built = lake.materialise(model)
         if checks and model in checks:
-            gate(model, run_checks(lake[model], checks[model]))
+            gate(model, run_checks(built, checks[model]))
+        replace_table(built, path, [partition] if partition else [])
+        lake.use_table(model, lake.spark.read.schema(built.schema).parquet(path))

@@ -71,8 +71,13 @@ def ingest_counts(frames: Mapping[str, tuple[DataFrame, Column]]) -> DataFrame:
 
 def backfill(df: DataFrame, transform: Callable[[DataFrame], DataFrame], path: str,
              day_column: str, start: dt.date, end: dt.date, partition: str) -> None:
-    """Recompute a date range in one job and overwrite exactly its days."""
+    """Recompute a date range in one job and overwrite exactly its days.
+
+    A source that has the partition column itself is pruned by it, so the other days' files stay closed.
+    """
     days = df.where(F.to_date(day_column).between(F.lit(start), F.lit(end)))
+    if partition in df.columns:
+        days = days.where(F.col(partition).between(F.lit(start), F.lit(end)))
     overwrite_partitions(transform(days), path, [partition])
 
 
@@ -112,10 +117,17 @@ def drop_partitions(spark: SparkSession, path: str, partition: str, values: Data
         remove_path(spark, f"{path.rstrip('/')}/{name_of(partition, row[0])}")
 
 
-def compact(spark: SparkSession, path: str, out: str, partition_by: Sequence[str]) -> None:
-    """Rewrite many small files as few; the file size follows AQE's advisory size."""
-    rows = spark.read.parquet(path)
-    replace_table(rows, out, partition_by)
+def compact(spark: SparkSession, path: str, partition: str, where: Column | None = None) -> None:
+    """Rewrite the many small files of some partitions as few, in place; all partitions without ``where``.
+
+    The condition names partition values, so only their files are read and replaced. The rows are
+    staged first; the file size follows AQE's advisory size.
+    """
+    table = spark.read.parquet(path)
+    staged = workspace(spark, "compact")
+    append_table(table if where is None else table.where(where), staged, [partition])
+    overwrite_partitions(spark.read.schema(table.schema).parquet(staged), path, [partition])
+    remove_path(spark, staged)
 
 
 def file_count(df: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from tests.conftest import plan_of
 from martloom import schemas, session
 from martloom.sources import landing, messages, tables
 
@@ -91,13 +92,25 @@ def test_updated_day_is_half_open(spark):
     assert landing.updated_on(df, dt.date(2024, 1, 1)).count() == 2
 
 
-def test_compaction_keeps_rows_in_fewer_files(spark, tmp_path):
-    scattered, packed = f"{tmp_path}/a", f"{tmp_path}/b"
-    days(spark, *[(i, i, 1 + i % 2) for i in range(40)]).repartition(8).write.partitionBy("dt").parquet(scattered)
-    tables.compact(spark, scattered, packed, ["dt"])
-    before, after = spark.read.parquet(scattered), spark.read.parquet(packed)
-    assert rows(before.select("id")) == rows(after.select("id"))
-    assert tables.file_count(after).first()[0] < tables.file_count(before).first()[0]
+def test_compaction_rewrites_only_the_chosen_partitions(spark, tmp_path):
+    path = f"{tmp_path}/a"
+    days(spark, *[(i, i, 1 + i % 2) for i in range(40)]).repartition(8).write.partitionBy("dt").parquet(path)
+    before = rows(spark.read.parquet(path).select("id", "dt"))
+    files = dict(rows(spark.read.parquet(path).select("dt", F.input_file_name()).distinct().groupBy("dt").count()))
+    chosen, other = sorted(files)
+    tables.compact(spark, path, "dt", F.col("dt") == F.lit(chosen))
+    after = dict(rows(spark.read.parquet(path).select("dt", F.input_file_name()).distinct().groupBy("dt").count()))
+    assert rows(spark.read.parquet(path).select("id", "dt")) == before
+    assert after[chosen] == 1 and after[other] == files[other] > 1
+
+
+def test_backfill_opens_only_the_days_it_needs(spark, tmp_path):
+    source, out = f"{tmp_path}/source", f"{tmp_path}/out"
+    days(spark, (1, 1, 1), (2, 1, 2), (3, 1, 3)).withColumn("ts", F.col("dt").cast("timestamp")).write.partitionBy("dt").parquet(source)
+    seen = []
+    tables.backfill(spark.read.parquet(source), lambda df: seen.append(plan_of(df)) or df, out, "ts", dt.date(2024, 1, 2), dt.date(2024, 1, 2), "dt")
+    assert "PartitionFilters: [isnotnull(dt" in seen[0]
+    assert rows(spark.read.parquet(out).select("id")) == [(2,)]
 
 
 def test_scratch_folder_comes_from_the_session(spark):
