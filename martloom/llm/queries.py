@@ -80,4 +80,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op3_fm_decontaminate": fm_decontaminate.SQL,
+    "op9_warc_members": warc_members.SQL,
 }

@@ -245,3 +245,22 @@ def round_trip(pages: DataFrame) -> DataFrame:
     archives = write_once(write_archives(with_record_types(pages)), "warc")
     normalised = write_once(normalise_archives(archives), "warc-members")
     return read_archives(normalised, pages.schema["page_id"].dataType.simpleString())
+
+
+# Eight groups of five hexadecimal digits make four base32 digits each.
+SQL = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+digits AS (
+  SELECT *, ('0x' || substr(h, 5 * i + 1, 5))::INTEGER AS v FROM p, range(8) AS r(i)),
+d AS (
+  SELECT page_id, payload_bytes, h, string_agg(
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (v >> 15 & 31), 1) || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (v >> 10 & 31), 1) ||
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (v >> 5 & 31), 1) || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (v & 31), 1), ''
+    ORDER BY i) AS payload_digest
+  FROM digits GROUP BY page_id, payload_bytes, h),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY h, payload_bytes) AS first_id FROM d)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM f
+"""
