@@ -192,15 +192,11 @@ def _(spark, folder):
     return landing.read_seed(spark, path, schemas.STORES)
 
 
-@query("s16_ingest_counts", """
-    SELECT 'pos' AS source, CAST(txn_timestamp AS DATE) AS day, count(*) AS row_count FROM raw_pos_transactions GROUP BY 2
-    UNION ALL SELECT 'ecommerce', CAST(order_date AS DATE), count(*) FROM raw_ecom_orders GROUP BY 2
-    UNION ALL SELECT 'clickstream', CAST(event_time AS DATE), count(*) FROM raw_clickstream_events GROUP BY 2""")
-def _(spark, folder):
-    return tables.ingest_counts({
-        "pos": (raw_view(spark, folder, "pos_transactions"), F.col("txn_timestamp")),
-        "ecommerce": (raw_view(spark, folder, "ecom_orders"), F.col("order_date")),
-        "clickstream": (raw_view(spark, folder, "clickstream_events"), F.col("event_time"))})
+@query("s16_ingest_counts", " UNION ALL ".join(
+    f"SELECT '{schemas.LANDING[e][0]}' AS source, CAST({ts} AS DATE) AS day, count(*) AS row_count FROM raw_{e} GROUP BY 2"
+    for e, ts in schemas.EVENT_TIMES.items()))
+def _(spark, folder):
+    return tables.ingest_counts({schemas.LANDING[e][0]: (raw_view(spark, folder, e), F.col(ts)) for e, ts in schemas.EVENT_TIMES.items()})
 
 
 @query("s17_backfill_range", """

@@ -6,12 +6,13 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from martloom import schemas
 from martloom.catalog.registry import lake_query, query
 from martloom.catalog.relational import both_paths
 from martloom.operators import quality, reconcile
 from martloom.operators.quality import Check, run_checks
 from martloom.operators.shaping import union_all
-from martloom.plans.checks import GATEWAYS, PAYMENT_STATUSES, PHONE, declared_checks, source_freshness
+from martloom.plans.checks import FRESHNESS, GATEWAYS, PAYMENT_STATUSES, PHONE, declared_checks, source_freshness
 from martloom.sources.sample import raw_stream, raw_view, table
 from martloom.streaming import live
 from martloom.streaming.sinks import drain
@@ -84,21 +85,22 @@ def _(lake):
                       [Check.accepted("gateway", GATEWAYS), Check.accepted("status", PAYMENT_STATUSES)])
 
 
-@query("q7_freshness", """
+def _age(entity: str) -> str:
+    ts, (warn, error) = schemas.EVENT_TIMES[entity], FRESHNESS[entity]
+    return (f"SELECT '{entity}' AS source, '{ts}' AS ts, {warn} AS warn, {error} AS error, "
+            f"(epoch_us(TIMESTAMP '2024-01-31 02:00:00') - epoch_us(max({ts}))) / 3600000000 AS age FROM raw_{entity}")
+
+
+@query("q7_freshness", f"""
     SELECT source, 'freshness(' || ts || ')' AS "check", age AS measured,
            CASE WHEN age < warn THEN 'pass' WHEN age < error THEN 'warn' ELSE 'fail' END AS status
-    FROM (SELECT 'pos_transactions' AS source, 'txn_timestamp' AS ts, 2 AS warn, 6 AS error,
-                 (epoch_us(TIMESTAMP '2024-01-31 02:00:00') - epoch_us(max(txn_timestamp))) / 3600000000 AS age
-          FROM raw_pos_transactions
-          UNION ALL SELECT 'clickstream_events', 'event_time', 1, 6,
-                 (epoch_us(TIMESTAMP '2024-01-31 02:00:00') - epoch_us(max(event_time))) / 3600000000
-          FROM raw_clickstream_events)""")
+    FROM ({" UNION ALL ".join(map(_age, FRESHNESS))})""")
 def _(spark, folder):
     now = F.lit(dt.datetime(2024, 1, 31, 2))
     return union_all(*[
-        run_checks(raw_view(spark, folder, entity), [source_freshness(entity, ts, now)])
+        run_checks(raw_view(spark, folder, entity), [source_freshness(entity, schemas.EVENT_TIMES[entity], now)])
         .select(F.lit(entity).alias("source"), "check", "measured", "status")
-        for entity, ts in (("pos_transactions", "txn_timestamp"), ("clickstream_events", "event_time"))])
+        for entity in FRESHNESS])
 
 
 @query("q8_relationships", _report(
@@ -201,17 +203,14 @@ def _(lake):
     return lake["fct_reconciliation"]
 
 
-@query("r4_no_data_alert", """
-    SELECT * FROM (VALUES ('pos'), ('ecommerce'), ('clickstream'), ('returns')) AS expected(source)
+_SOURCES = {schemas.LANDING[e][0]: (e, ts) for e, ts in schemas.EVENT_TIMES.items()}
+
+
+@query("r4_no_data_alert", f"""
+    SELECT * FROM (VALUES {", ".join(f"('{name}')" for name in [*_SOURCES, "returns"])}) AS expected(source)
     WHERE source NOT IN (
-        SELECT source FROM (SELECT 'pos' AS source, max(txn_timestamp) AS seen FROM raw_pos_transactions
-                            UNION ALL SELECT 'ecommerce', max(order_date) FROM raw_ecom_orders
-                            UNION ALL SELECT 'clickstream', max(event_time) FROM raw_clickstream_events)
+        SELECT source FROM ({" UNION ALL ".join(f"SELECT '{name}' AS source, max({ts}) AS seen FROM raw_{e}" for name, (e, ts) in _SOURCES.items())})
         WHERE seen > TIMESTAMP '2024-01-31 01:00:00' - INTERVAL 2 HOUR)""")
 def _(spark, folder):
-    seen = quality.last_seen({
-        "pos": (raw_view(spark, folder, "pos_transactions"), "txn_timestamp"),
-        "ecommerce": (raw_view(spark, folder, "ecom_orders"), "order_date"),
-        "clickstream": (raw_view(spark, folder, "clickstream_events"), "event_time")})
-    return quality.silent_sources(spark, seen, ["pos", "ecommerce", "clickstream", "returns"],
-                                  F.lit(dt.datetime(2024, 1, 31, 1)))
+    seen = quality.last_seen({name: (raw_view(spark, folder, e), ts) for name, (e, ts) in _SOURCES.items()})
+    return quality.silent_sources(spark, seen, [*_SOURCES, "returns"], F.lit(dt.datetime(2024, 1, 31, 1)))

@@ -88,3 +88,10 @@ LANDING = {
     "loyalty_members": ("loyalty", "json"),
     "clickstream_events": ("ecommerce/clickstream", "json"),
 }
+
+# The time column that tells when a landed record happened.
+EVENT_TIMES = {
+    "pos_transactions": "txn_timestamp", "ecom_orders": "order_date", "ecom_customers": "created_at", "payments_vnpay": "vnp_pay_date",
+    "payments_momo": "response_time", "payments_card": "settled_at", "stock_levels": "snapshot_time", "loyalty_members": "updated_at",
+    "clickstream_events": "event_time",
+}
