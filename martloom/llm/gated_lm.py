@@ -21,6 +21,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,9 +35,9 @@ HEAD, CLASS, HEAVY = 1024, 32, 65_536
 BUCKETS = 1024  # inputs of words outside the head, by their last letters
 HIDDEN = 24
 LANES, WINDOW, LEARN_TOKENS = 128, 20, 300_000  # texts side by side, steps between updates, tokens laid out at a time while learning
-SCORE_LANES, SCORE_WINDOW, CHUNK_TOKENS = 512, 64, 1_500_000
+SCORE_LANES, SCORE_WINDOW, CHUNK_TOKENS = 512, 32, 2_500_000
 # Of each round: one of how many training documents takes part (another each round), and the step size.
-ROUNDS = ((16, 0.01), (16, 0.006), (16, 0.003))
+ROUNDS = ((12, 0.01), (12, 0.006), (12, 0.003))
 AVERAGE_WIDTH = 16
 END = ""
 
@@ -87,12 +88,17 @@ class Words:
         self.mass = mass
         self.share = np.log((self.counts + SMOOTH) / mass[self.class_of])
         self.head = head
+        self.row_of = np.array([i if i < HEAD else self._bucket(w) for w, i in self.rank.items()], np.int32)
+
+    @staticmethod
+    def _bucket(word: bytes) -> int:
+        return HEAD + zlib.crc32(word[-3:]) % BUCKETS
 
     def inputs(self, ranks: np.ndarray, words: list[bytes]) -> np.ndarray:
         """Input row of each word: its own in the head, else by its last letters."""
-        outside = np.flatnonzero((ranks < 0) | (ranks >= HEAD))
-        out = ranks.astype(np.int32)
-        out[outside] = [HEAD + zlib.crc32(words[i][-3:]) % BUCKETS for i in outside.tolist()]
+        out = self.row_of[ranks]
+        rare = np.flatnonzero(ranks < 0)
+        out[rare] = [self._bucket(words[i]) for i in rare.tolist()]
         return out
 
 
@@ -100,8 +106,17 @@ def count_words(docs: DataFrame) -> tuple[DataFrame, Words]:
     """The counts of the training documents as a table, and their bounded summary."""
     counts = write_once(word_counts(docs.where(_is_training())), "word-counts")
     total = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v"), F.sum(F.when(F.col("word") == END, F.col("n"))).alias("e")).first()
-    heavy = counts.orderBy(F.desc("n"), "word").limit(HEAVY).collect()
-    return counts, Words([(r["word"], r["n"]) for r in heavy], total["n"] or 0, total["v"], total["e"] or 0)
+    # Sixteen steps to a doubling: a few hundred rows tell from which count on there are at most HEAVY words.
+    step = F.floor(F.log2("n") * 16)
+    least, held = None, 0
+    for r in counts.groupBy(step.alias("step")).agg(F.count("*").alias("words"), F.min("n").alias("n")).orderBy(F.desc("step")).collect():
+        held += r["words"]
+        if held > HEAVY:
+            break
+        least = r["n"]
+    heavy = counts.where(F.col("n") >= least).collect() if least is not None else []
+    ranked = sorted(((r["word"], r["n"]) for r in heavy), key=lambda x: (-x[1], x[0]))
+    return counts, Words(ranked, total["n"] or 0, total["v"], total["e"] or 0)
 
 
 @dataclass
@@ -120,7 +135,8 @@ def as_text(words: list[bytes], known: Words) -> Text:
 
 
 class Lanes:
-    """Texts laid end to end in lanes; lanes are in order of length, longest first."""
+    """Texts laid end to end in lanes, longest lane first. Arrays are flat, step after step, and hold the lanes
+    that still run at a step, so their size is the number of tokens whatever the longest text."""
 
     def __init__(self, texts: list[Text], lanes: int):
         heap = [(0, k) for k in range(min(lanes, len(texts)))]
@@ -130,29 +146,32 @@ class Lanes:
             placed[k].append(i)
             heapq.heappush(heap, (size + len(texts[i].ranks), k))
         placed.sort(key=lambda p: -sum(len(texts[i].ranks) for i in p))
-        self.lengths = np.array([sum(len(texts[i].ranks) for i in p) for p in placed])
-        shape = (int(self.lengths[0]), len(placed))
-        self.ranks, self.inputs = np.zeros(shape, np.int32), np.zeros(shape, np.int32)
-        self.owner, self.fresh = np.zeros(shape, np.int32), np.zeros(shape, bool)
+        lengths = np.array([sum(len(texts[i].ranks) for i in p) for p in placed])
+        self.running = np.searchsorted(-lengths, -np.arange(lengths[0]), "left")
+        self.begins = np.concatenate([[0], np.cumsum(self.running)])
+        size = int(self.begins[-1])
+        self.ranks, self.inputs = np.zeros(size, np.int32), np.zeros(size, np.int32)
+        self.owner, self.fresh = np.zeros(size, np.int32), np.zeros(size, bool)
         for k, chosen in enumerate(placed):
             at = 0
             for i in chosen:
-                n = len(texts[i].ranks)
-                self.ranks[at:at + n, k] = texts[i].ranks
-                self.inputs[at + 1:at + n, k] = texts[i].inputs[:-1]  # the first input is the end's row, 0
-                self.owner[at:at + n, k] = i
-                self.fresh[at, k] = True
-                at += n
+                places = self.begins[at:at + len(texts[i].ranks)] + k
+                self.ranks[places] = texts[i].ranks
+                self.inputs[places[1:]] = texts[i].inputs[:-1]  # the first input is the end's row, 0
+                self.owner[places] = i
+                self.fresh[places[0]] = True
+                at += len(places)
+
+    def windows(self, steps: int) -> Iterator[range]:
+        for t in range(0, len(self.running), steps):
+            yield range(t, min(t + steps, len(self.running)))
 
-    def windows(self, steps: int) -> Iterator[tuple[slice, np.ndarray]]:
-        """Slices of time with the number of lanes that still run at each step."""
-        for t in range(0, len(self.ranks), steps):
-            at = np.arange(t, min(t + steps, len(self.ranks)))
-            yield slice(t, at[-1] + 1), np.searchsorted(-self.lengths, -at, "left")
+    def flat(self, window: range) -> slice:
+        return slice(int(self.begins[window.start]), int(self.begins[window.stop]))
 
 
 def _sigmoid(x):
-    return 1 / (1 + np.exp(-x))
+    return 0.5 * np.tanh(0.5 * x) + 0.5
 
 
 class Model:
@@ -171,8 +190,8 @@ class Model:
         word_bias = np.full((known.head_classes, CLASS), -30, np.float32)
         word_bias.reshape(-1)[:known.head] = known.share[:known.head]
         return cls({"rows": noise(HEAD + BUCKETS, 3 * HIDDEN, by=0.3), "rec": noise(HIDDEN, 3 * HIDDEN, by=HIDDEN ** -0.5),
-                    "to_class": noise(HIDDEN, known.classes), "class_bias": np.log(known.mass / known.mass.sum()).astype(np.float32),
-                    "to_word": noise(known.head_classes, HIDDEN, CLASS), "word_bias": word_bias}, known)
+                    "to_class": noise(HIDDEN, known.classes, by=0.01), "class_bias": np.log(known.mass / known.mass.sum()).astype(np.float32),
+                    "to_word": noise(known.head_classes, HIDDEN, CLASS, by=0.01), "word_bias": word_bias}, known)
 
     def pack(self) -> bytes:
         return b"".join(self.w[k].astype("<f4").tobytes() for k in self.NAMES)
@@ -187,9 +206,10 @@ class Model:
 
     def step(self, h: np.ndarray, inputs: np.ndarray, fresh: np.ndarray):
         """One step of all running lanes; a fresh text starts from nothing."""
-        h = np.where(fresh[:, None], 0, h)
+        if fresh.any():
+            h = np.where(fresh[:, None], np.float32(0), h)
         from_input, from_state = self.w["rows"][inputs], h @ self.w["rec"]
-        gates = _sigmoid(np.clip(from_input[:, :2 * HIDDEN] + from_state[:, :2 * HIDDEN], -20, 20))
+        gates = _sigmoid(from_input[:, :2 * HIDDEN] + from_state[:, :2 * HIDDEN])
         reset, keep = gates[:, :HIDDEN], gates[:, HIDDEN:]
         state_part = from_state[:, 2 * HIDDEN:]
         new = np.tanh(from_input[:, 2 * HIDDEN:] + reset * state_part)
@@ -232,14 +252,16 @@ class Model:
                 dh[at] += q @ self.w["to_word"][c].T
         return score, grads, dh
 
-    def window(self, lanes: Lanes, at: slice, running: np.ndarray, state: np.ndarray):
-        """States after each step of a window, flat; the trace for learning; the state carried on."""
+    def window(self, lanes: Lanes, window: range, state: np.ndarray, learn: bool = False):
+        """States after each step of a window; the trace for learning; the state carried on."""
         states, trace = [], []
-        for t, n in zip(range(at.start, at.stop), running.tolist()):
-            h, kept = self.step(state[:n], lanes.inputs[t, :n], lanes.fresh[t, :n])
-            state = np.concatenate([h, state[n:]]) if n < len(state) else h
+        for t in window:
+            n, begin = int(lanes.running[t]), int(lanes.begins[t])
+            h, kept = self.step(state[:n], lanes.inputs[begin:begin + n], lanes.fresh[begin:begin + n])
+            state = h
             states.append(h)
-            trace.append((t, n, kept))
+            if learn:
+                trace.append((n, begin, kept))
         return states, trace, state
 
     def score(self, texts: list[Text]) -> np.ndarray:
@@ -248,36 +270,33 @@ class Model:
         if not texts:
             return total
         lanes = Lanes(texts, SCORE_LANES)
-        state = np.zeros((len(lanes.lengths), HIDDEN), np.float32)
-        for at, running in lanes.windows(SCORE_WINDOW):
-            states, trace, state = self.window(lanes, at, running, state)
-            ranks = np.concatenate([lanes.ranks[t, :n] for t, n, _ in trace])
-            owner = np.concatenate([lanes.owner[t, :n] for t, n, _ in trace])
-            score, _, _ = self.outputs(np.concatenate(states), ranks)
-            total += np.bincount(owner, score, len(texts))
+        state = np.zeros((lanes.running[0], HIDDEN), np.float32)
+        for window in lanes.windows(SCORE_WINDOW):
+            states, _, state = self.window(lanes, window, state)
+            at = lanes.flat(window)
+            score, _, _ = self.outputs(np.concatenate(states), lanes.ranks[at])
+            total += np.bincount(lanes.owner[at], score, len(texts))
         return total
 
-    def gradients(self, lanes: Lanes, at: slice, running: np.ndarray, state: np.ndarray):
-        """Loss and gradients of a window by backpropagation to its first step, and the state carried on."""
-        states, trace, carried = self.window(lanes, at, running, state)
-        flat = np.concatenate(states)
-        ranks = np.concatenate([lanes.ranks[t, :n] for t, n, _ in trace])
-        score, grads, dh_flat = self.outputs(flat, ranks, learn=True)
-        edges = np.concatenate([[0], np.cumsum([n for _, n, _ in trace])])
+    def gradients(self, lanes: Lanes, window: range, state: np.ndarray):
+        """Scores and gradients of a window by backpropagation to its first step, the state carried on, the tokens."""
+        states, trace, carried = self.window(lanes, window, state, learn=True)
+        flat, at = np.concatenate(states), lanes.flat(window)
+        score, grads, dh_flat = self.outputs(flat, lanes.ranks[at], learn=True)
         grads["rec"] = np.zeros_like(self.w["rec"])
         to_rows, rec = np.zeros((len(flat), 3 * HIDDEN), np.float32), self.w["rec"]
-        dh = np.zeros((trace[0][1], HIDDEN), np.float32)
-        for k in range(len(trace) - 1, -1, -1):
-            t, n, (before, reset, keep, new, state_part) = trace[k]
-            d = dh[:n] + dh_flat[edges[k]:edges[k + 1]]
+        dh = np.zeros((trace[0][0], HIDDEN), np.float32)
+        for n, begin, (before, reset, keep, new, state_part) in reversed(trace):
+            here = slice(begin - at.start, begin - at.start + n)
+            d = dh[:n] + dh_flat[here]
             d_new = d * (1 - keep) * (1 - new * new)
             d_keep = d * (before - new) * keep * (1 - keep)
             d_reset = d_new * state_part * reset * (1 - reset)
-            to_rows[edges[k]:edges[k + 1]] = np.concatenate([d_reset, d_keep, d_new], axis=1)
+            to_rows[here] = np.concatenate([d_reset, d_keep, d_new], axis=1)
             d_state = np.concatenate([d_reset, d_keep, d_new * reset], axis=1)
             grads["rec"] += before.T @ d_state
-            dh[:n] = np.where(lanes.fresh[t, :n, None], 0, d * keep + d_state @ rec.T)
-        inputs = np.concatenate([lanes.inputs[t, :n] for t, n, _ in trace])
+            dh[:n] = np.where(lanes.fresh[begin:begin + n, None], 0, d * keep + d_state @ rec.T)
+        inputs = lanes.inputs[at]
         order = np.argsort(inputs, kind="stable")
         which, starts = np.unique(inputs[order], return_index=True)
         grads["rows"] = (which, np.add.reduceat(to_rows[order], starts, axis=0))
@@ -295,24 +314,25 @@ class Learner:
     def learn(self, texts: list[Text]) -> float:
         """One pass over the texts; the mean natural log-probability of a token on the way."""
         lanes = Lanes(texts, LANES)
-        state, total, tokens = np.zeros((len(lanes.lengths), HIDDEN), np.float32), 0.0, 0
-        for at, running in lanes.windows(WINDOW):
-            score, grads, state, n = self.model.gradients(lanes, at, running, state)
+        state, total, tokens = np.zeros((lanes.running[0], HIDDEN), np.float32), 0.0, 0
+        for window in lanes.windows(WINDOW):
+            score, grads, state, n = self.model.gradients(lanes, window, state)
             total, tokens = total + float(score.sum()), tokens + n
             self.steps += 1
             which, summed = grads.pop("rows")
-            self._move("rows", summed / n, which)
+            # A window with few tokens is a noisy guide, and moves the weights less.
+            rate = self.rate * min(1.0, self.steps / 20, (n / (LANES * WINDOW)) ** 0.5)
+            self._move("rows", summed / n, which, rate)
             for k, g in grads.items():
-                self._move(k, g, slice(None))
+                self._move(k, g, slice(None), rate)
         self.tokens += tokens
         return total / max(1, tokens)
 
-    def _move(self, name: str, gradient: np.ndarray, at) -> None:
+    def _move(self, name: str, gradient: np.ndarray, at, rate: float) -> None:
         first, second = self.first[name], self.second[name]
         first[at] = 0.9 * first[at] + 0.1 * gradient
         second[at] = 0.99 * second[at] + 0.01 * gradient * gradient
-        warm = min(1.0, self.steps / 20)
-        self.model.w[name][at] -= self.rate * warm * first[at] / (np.sqrt(second[at]) + 1e-7)
+        self.model.w[name][at] -= rate * first[at] / (np.sqrt(second[at]) + 1e-7)
 
 
 def _averaged(learned: DataFrame, fallback: bytes) -> bytes:
@@ -337,11 +357,11 @@ def _averaged(learned: DataFrame, fallback: bytes) -> bytes:
     return bytes(row["weights"]) if row else fallback
 
 
-def train(docs: DataFrame, known: Words) -> Model:
+def train(docs: DataFrame, known: Words, rounds: tuple[tuple[int, float], ...] = ROUNDS) -> Model:
     """Rounds of learning and averaging over the training documents."""
     spark = docs.sparkSession
     model = Model.fresh(known)
-    for turn, (share, rate) in enumerate(ROUNDS):
+    for turn, (share, rate) in enumerate(rounds):
         sent = spark.sparkContext.broadcast(model)
 
         def make(sent=sent, share=share, rate=rate, turn=turn):
@@ -379,14 +399,14 @@ def train(docs: DataFrame, known: Words) -> Model:
 LN10 = float(np.log(10))
 
 
-def score_documents(docs: DataFrame) -> DataFrame:
+def score_documents(docs: DataFrame, rounds: tuple[tuple[int, float], ...] = ROUNDS) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row.
 
     A null text is the empty text: its only token is the end. A null id counts as training. Repeated rows count and are scored
     each. Without training documents all words are unknown and both scores are those of a single certain outcome per class.
     """
     counts, known = count_words(docs)
-    sent = docs.sparkSession.sparkContext.broadcast((known, train(docs, known).w))
+    sent = docs.sparkSession.sparkContext.broadcast((known, train(docs, known, rounds).w))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def make():
@@ -397,7 +417,8 @@ def score_documents(docs: DataFrame) -> DataFrame:
 
         def step(ids, texts):
             out = {"key": [], "doc_id": ids, "held_out": [crc_of(i) % HELD_OUT == 0 for i in ids], "n_tokens": [], "n_heavy": [],
-                   "n_rare": [], "heavy_log": [], "model_log": [], "rare": []}
+                   "n_rare": [], "heavy_log": [], "model_log": []}
+            rare_words, rare_counts, rare_ends = [], [], [0]
             waiting, size = [], 0
             for text in texts:
                 words = space_words(text)
@@ -410,27 +431,32 @@ def score_documents(docs: DataFrame) -> DataFrame:
                 out["n_rare"].append(len(seen.ranks) - len(heavy))
                 out["heavy_log"].append(float(logs[heavy].sum()))
                 rare = Counter(words[i] for i in np.flatnonzero(seen.ranks < 0).tolist())
-                out["rare"].append([{"word": w.decode(), "n": n} for w, n in rare.items()])
+                rare_words += rare
+                rare_counts += rare.values()
+                rare_ends.append(len(rare_words))
                 waiting.append(seen)
                 size += len(seen.ranks)
                 if size >= CHUNK_TOKENS:
                     out["model_log"] += (model.score(waiting) / LN10).tolist()
                     waiting, size = [], 0
             out["model_log"] += (model.score(waiting) / LN10).tolist()
+            ends = pa.array(rare_ends, pa.int32())
+            out["words"] = pa.ListArray.from_arrays(ends, pa.array(rare_words, pa.string()))
+            out["times"] = pa.ListArray.from_arrays(ends, pa.array(rare_counts, pa.int64()))
             return out
 
         return step
 
     scored = write_once(map_batches(
         docs, ["doc_id", "text"], f"key bigint, doc_id {kind}, held_out boolean, n_tokens bigint, n_heavy bigint, n_rare bigint, heavy_log double, "
-        "model_log double, rare array<struct<word: string, n: bigint>>", make), "scored")
-    rare = scored.select("key", F.explode("rare").alias("x")).select("key", "x.word", F.col("x.n").alias("times"))
+        "model_log double, words array<string>, times array<bigint>", make), "scored")
+    rare = scored.select("key", F.explode(F.arrays_zip("words", "times")).alias("x")).select("key", F.col("x.words").alias("word"), "x.times")
     # A word beyond the heavy ones holds a small share of the tokens at most, so no key of this join is hot.
     looked_up = rare.join(counts.select(F.col("word").alias("known_word"), "n"), F.col("word") == F.col("known_word"), "left")
     sums = looked_up.groupBy("key").agg(
         F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + F.lit(SMOOTH))).alias("rare_log"),
         F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("rare_known")).withColumnRenamed("key", "rare_key")
-    joined = scored.drop("rare").join(sums, F.col("key") == F.col("rare_key"), "left")
+    joined = scored.drop("words", "times").join(sums, F.col("key") == F.col("rare_key"), "left")
     every = float(np.log10(known.tokens + SMOOTH * (known.distinct + 1)))
     in_class = float(np.log10(known.mass[known.rare_class]))
     rare_log = F.coalesce("rare_log", F.lit(0.0))
