@@ -11,6 +11,7 @@ from __future__ import annotations
 import html as entities
 import re
 import zlib
+from collections import Counter
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -72,6 +73,7 @@ def blocks_of(page: str | None) -> list[Block]:
     """Leaf blocks in page order; white space inside a block becomes one space, character references are decoded."""
     out: list[Block] = []
     stack: list[tuple[str, tuple[int, ...]]] = []
+    held: Counter[str] = Counter()  # names on the stack, so that no tag looks for what is not open
     pieces: list[str] = []
     linked = 0
 
@@ -85,10 +87,13 @@ def blocks_of(page: str | None) -> list[Block]:
             pieces.clear()
         linked = 0
 
-    def pop_to(names: str, stops: str):
+    def pop_to(names: str, stops: str = ""):
         wanted, limits = names.split(), stops.split()
+        if not any(held[name] for name in wanted):
+            return
         for i in range(len(stack) - 1, -1, -1):
             if stack[i][0] in wanted:
+                held.subtract(name for name, _ in stack[i:])
                 del stack[i:]
                 return
             if stack[i][0] in limits:
@@ -113,15 +118,13 @@ def blocks_of(page: str | None) -> list[Block]:
         if name in BLOCK:
             flush()
         if m[2]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    del stack[i:]
-                    break
+            pop_to(name)
         else:
             if name in IMPLIED_END:
                 pop_to(*IMPLIED_END[name])
             if name not in VOID and not m[4].endswith("/"):
                 stack.append(_element(name, m[4]))
+                held[name] += 1
     if at < len(page):
         rest = page[at:]
         add(rest[:rest.rfind("<")] if re.search(r"<[/!?a-zA-Z][^>]*\Z", rest) else rest)
