@@ -22,6 +22,7 @@ from martloom.operators.identity import identity_clusters
 from martloom.operators.ranking import top_bottom
 from martloom.operators.sessions import days_of_cover, flag_bots
 from martloom.operators.shaping import union_all
+from martloom.plans.lake import build_day
 from martloom.plans.marts import delivery_sla, revenue_by_category, revenue_monthly_region
 from martloom.session import workspace
 from martloom.sources import messages, tables
@@ -247,6 +248,32 @@ def _(spark, folder):
     return spark.read.parquet(path)
 
 
+_BUILT_DAYS = (dt.date(1996, 3, 4), dt.date(1996, 3, 5))
+
+
+@lake_query("x11_daily_build", f"""
+    SELECT 'day' AS part, CAST(date_key AS DATE) AS period, store_id, channel, total_orders, total_revenue_vnd
+    FROM fct_revenue_daily WHERE date_key IN (DATE '{_BUILT_DAYS[0]}', DATE '{_BUILT_DAYS[1]}')
+    UNION ALL
+    SELECT 'month', CAST(date_trunc('month', date_key) AS DATE), NULL, NULL, CAST(sum(total_orders) AS BIGINT), CAST(sum(total_revenue_vnd) AS BIGINT)
+    FROM fct_revenue_daily WHERE date_key IN (DATE '{_BUILT_DAYS[0]}', DATE '{_BUILT_DAYS[1]}') GROUP BY 2
+    UNION ALL
+    SELECT 'customers', NULL, customer_uid, NULL, total_orders, lifetime_revenue_vnd FROM dim_customers""")
+def _(lake):
+    """Two days, one run after the other, hold what a full build holds of them."""
+    root = workspace(lake.spark, "daily-build")
+    for day in _BUILT_DAYS:
+        build_day(lake, root, day)
+    read = lambda model: lake.spark.read.parquet(f"{root}/{model}")
+    none = F.lit(None).cast("string")
+    return union_all(
+        read("fct_revenue_daily").select(F.lit("day").alias("part"), F.col("date_key").alias("period"), "store_id", "channel", "total_orders", "total_revenue_vnd"),
+        read("fct_revenue_monthly").select(F.lit("month").alias("part"), F.col("month_key").alias("period"), none.alias("store_id"), none.alias("channel"),
+                                           "total_orders", "total_revenue_vnd"),
+        read("dim_customers").select(F.lit("customers").alias("part"), F.lit(None).cast("date").alias("period"), F.col("customer_uid").alias("store_id"),
+                                     none.alias("channel"), "total_orders", F.col("lifetime_revenue_vnd").alias("total_revenue_vnd")))
+
+
 @query("t10_upsert_sink", """
     SELECT order_id, status, total_amount, updated_at, CAST(year(updated_at) AS INTEGER) AS yr FROM raw_ecom_orders
     QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY updated_at DESC) = 1""")
