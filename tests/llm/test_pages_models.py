@@ -232,6 +232,18 @@ def test_viterbi_finds_the_best_path():
         assert channel_toxicity.restore(token, model) in {t for s, t in scored if s > best - 1e-3}
 
 
+@pytest.mark.parametrize("text", ["x" + "1" * 60_000, "_" * 60_000 + "a", "*" * 60_000 + "a", "a " * 30_000 + "ab", "a*" * 20_000 + "b"])
+def test_long_runs_take_one_pass(text):
+    """Patterns that tried every split of a run would never end here."""
+    reader = channel_toxicity.Reader(np.zeros((28, 28, 28), np.float32))
+    assert all(reader.features(t) is not None for t in reader.tokens(text))
+
+
+@pytest.mark.parametrize("page", ["<div>" * 30_000 + "</x>" * 30_000, "<p" * 60_000, "<a \"" * 30_000, "<ul>" * 20_000 + "<li>" * 20_000, "<script>" * 20_000])
+def test_broken_pages_take_one_pass(page):
+    assert len(html_labeller.blocks_of(page)) <= 1
+
+
 # --- language model
 
 def test_language_model_counts_and_learns(spark, small):
