@@ -156,16 +156,19 @@ def _(spark, folder):
     return union_all(*frames)
 
 
-_MESSAGE = ("order_id", "customer_id", "store_id", "channel", "status")
+# How each kind of value stands in a message.
+_JSON_TEXT = {"string": "'\"' || {0} || '\"'", "decimal": "CAST({0} AS VARCHAR)",
+              "timestamp": "'\"' || strftime({0}, '%Y-%m-%dT%H:%M:%S.%f') || 'Z\"'"}
 
 
-@query("s12_kafka_encode", """
-    SELECT order_id AS "key", concat('{"order_id":"', order_id, '","customer_id":',
-        CASE WHEN customer_id IS NULL THEN 'null' ELSE concat('"', customer_id, '"') END,
-        ',"store_id":"', store_id, '","channel":"', channel, '","status":"', status, '"}') AS value
-    FROM raw_order_events""")
+def _json_field(name: str, kind: str) -> str:
+    return f"""'"{name}":', coalesce({_JSON_TEXT[kind].format(name)}, 'null')"""
+
+
+@query("s12_kafka_encode", "SELECT order_id AS \"key\", concat('{', " + ", ',', ".join(
+    _json_field(f.name, f.dataType.typeName()) for f in schemas.ORDER_EVENTS) + ", '}') AS value FROM raw_order_events")
 def _(spark, folder):
-    return messages.kafka_encode(raw_view(spark, folder, "order_events").select(*_MESSAGE))
+    return messages.kafka_encode(raw_view(spark, folder, "order_events").select(*schemas.ORDER_EVENTS.names))
 
 
 @query("s13_kafka_decode", "SELECT * FROM raw_order_events")
