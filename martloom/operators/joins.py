@@ -47,16 +47,20 @@ def with_exists_flag(df: DataFrame, key: str, keys: DataFrame, keys_column: str,
 
 
 def left_join_any_key(left: DataFrame, right: DataFrame, keys: Sequence[tuple[str, str]],
-                      payload: Sequence[str], spread_by: str) -> DataFrame:
+                      payload: Sequence[str], spread_by: str, blank_is_missing: bool = False) -> DataFrame:
     """Left join on ``k1 = k1 OR k2 = k2 ...`` as one equi-join per key.
 
     A pair found by several keys is kept under the first of them only, so the parts
     are disjoint: no row ids and no distinct over the pairs are needed. Left rows
     without any partner are found by flags against the distinct keys of the right
     side. All pair joins are inner, so AQE can split a hot key on either side.
+
+    An empty text equals an empty text, as in the definition, so rows whose key is what
+    remains of junk all pair up; ``blank_is_missing`` lets it match nothing.
     """
     right_keys = [f"_rk{i}" for i in range(len(keys))]
-    side = right.select(*[F.col(r).alias(name) for (_, r), name in zip(keys, right_keys)], *payload)
+    known = (lambda c: F.nullif(F.col(c), F.lit(""))) if blank_is_missing else F.col
+    side = right.select(*[known(r).alias(name) for (_, r), name in zip(keys, right_keys)], *payload)
     types = dict(right.dtypes)
 
     parts, unmatched, earlier = [], left, F.lit(False)

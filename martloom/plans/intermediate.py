@@ -16,11 +16,12 @@ SESSION_KEYS = ("session_id", "ecom_customer_id", "device_type", "browser", "os"
 
 
 def int_customers_unified(customers: DataFrame, members: DataFrame, pos: DataFrame,
-                          best_match: bool = False) -> DataFrame:
+                          best_match: bool = False, blank_is_missing: bool = False) -> DataFrame:
     """E-commerce customers with loyalty match and in-store activity.
 
     A customer matching several members appears once per member. ``best_match``
-    keeps one: phone before email, then the smallest member id.
+    keeps one: phone before email, then the smallest member id. ``blank_is_missing``
+    keeps customers and members with an empty phone or email from matching each other by it.
     """
     base = customers.select("ecom_customer_id", F.col("full_name").alias("customer_name"), "email",
                             "phone_normalized", F.col("registered_at").alias("first_seen_at"))
@@ -28,7 +29,7 @@ def int_customers_unified(customers: DataFrame, members: DataFrame, pos: DataFra
                           F.col("email").alias("member_email"))
     carried = side.withColumn("by_phone", F.col("member_phone"))
     matched = left_join_any_key(base, carried, [("phone_normalized", "member_phone"), ("email", "member_email")],
-                                ["loyalty_member_id", "by_phone"], spread_by="ecom_customer_id")
+                                ["loyalty_member_id", "by_phone"], spread_by="ecom_customer_id", blank_is_missing=blank_is_missing)
     if best_match:
         matched = (matched.withColumn("_phone_hit", F.coalesce(F.col("by_phone") == F.col("phone_normalized"), F.lit(False)))
                    .transform(latest_per_key, ["ecom_customer_id"], "_phone_hit", ["loyalty_member_id"])

@@ -64,6 +64,16 @@ def test_any_key_join_with_three_keys(spark):
     assert rows(got) == rows(left.join(right, on, "left").select("id", "a", "b", "c", "rid"))
 
 
+def test_blank_keys_match_nothing_when_asked(spark):
+    left = spark.createDataFrame([(1, "", "e"), (2, "p", ""), (3, "", "")], "id int, phone string, email string")
+    right = spark.createDataFrame([(7, "", ""), (8, "p", "e")], "rid int, rp string, re string")
+    keys = [("phone", "rp"), ("email", "re")]
+    plain = joins.left_join_any_key(left, right, keys, ["rid"], "id").select("id", "rid")
+    asked = joins.left_join_any_key(left, right, keys, ["rid"], "id", blank_is_missing=True).select("id", "rid")
+    assert rows(plain) == [(1, 7), (1, 8), (2, 7), (2, 8), (3, 7)]
+    assert rows(asked) == rows(spark.createDataFrame([(1, 8), (2, 8), (3, None)], "id int, rid int"))
+
+
 # --- tiles and ranks --------------------------------------------------------
 
 @few
