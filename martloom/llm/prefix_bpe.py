@@ -31,10 +31,10 @@ from martloom.llm.common import map_batches, sha256_hex
 LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
 NUMBERS = "0-9²³¹¼½¾"
 SPACES = "\t-\r \x85\xa0"
-CACHED_PIECES = 400_000  # a worker remembers this many pieces, then only those of its latest chunk
+CACHED_PIECES = 300_000  # a worker remembers this many pieces, then only those of its latest chunk
 CHUNK_CHARS = 2_000_000  # texts are encoded together up to this size; a longer one stands alone
 MATRIX_BYTES = 64  # longer pieces are encoded one at a time
-CACHED_PAIRS = 500_000  # token pairs whose validity a worker remembers
+CACHED_PAIRS = 300_000  # token pairs whose validity a worker remembers
 
 
 class PrefixEncoding:
