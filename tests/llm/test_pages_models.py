@@ -325,3 +325,9 @@ def test_all_ten_are_registered():
     names = __spark_entry__.queries()
     assert sorted({int(n[2:].split("_")[0]) for n in QUERIES}) == list(range(1, 11))
     assert set(QUERIES) | {"pipeline"} <= set(names) and set(ORACLE_SQL) <= set(__spark_entry__.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_queries_match_their_check_sql(spark, small, name):
+    from tools.check import compare, open_duckdb
+    assert compare(spark, open_duckdb(small), small, name) == []
