@@ -19,12 +19,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import crc_mod, map_batches
+from martloom.llm.common import bounded_sample, crc_mod, map_batches
 from martloom.session import write_once
 
 HELD_OUT = 5
 LABELLED_ROWS = 10_000
-LEXICON_SIZE = 1024
+LEXICON_SIZE = 256
 LEAST_DOCS, LEAST_Z = 5, 4.0
 BEGINNINGS = (4, 6)  # letters of the word beginnings that count as features beside whole words
 SYMBOLS = 28  # boundary, a to z, any other letter
@@ -40,10 +40,13 @@ _CODES = bytes(
 _LETTERS = re.compile(r"[^\W\d_]+")
 _leet = re.escape("".join(LEET))
 _fill = re.escape(FILLERS)
-# A disguise: a leet sign beside letters, equal letters in a row, or letters kept apart by single fillers.
-_DISGUISED = re.compile(rf"[^\W\d_][{_leet}{_fill}]*[{_leet}][{_leet}{_fill}]*[^\W\d_]|^[{_leet}][{_leet}{_fill}]?[^\W\d_]{{2}}|[^\W\d_]{{2}}[{_leet}]$"
-                        rf"|([^\W\d_])\1|[^\W\d_][{_fill}]+[^\W\d_][{_fill}]+[^\W\d_]")
-_SPACED = re.compile(rf"(?<!\S)[\w{_leet}](?:[ {_fill}]{{1,3}}[\w{_leet}]){{2,}}(?!\w)")
+# A disguise: a leet sign beside letters, equal letters in a row, or letters kept apart by single fillers. Runs are
+# matched without giving back, so a long run of signs takes one pass.
+_DISGUISED = re.compile(rf"^[{_leet}][{_leet}{_fill}]?[^\W\d_]{{2}}|[^\W\d_]{{2}}[{_leet}]$"
+                        rf"|([^\W\d_])\1|[^\W\d_][{_fill}]++[^\W\d_][{_fill}]++[^\W\d_]")
+_BETWEEN = re.compile(rf"(?<=[^\W\d_])[{_leet}{_fill}]++(?=[^\W\d_])")
+_SIGN = re.compile(f"[{_leet}]")
+_SPACED = re.compile(rf"(?<!\S)[^\W_](?!\w)(?>[ {_fill}]{{1,3}}+(?:[^\W_]|[{_leet}])(?!\w)){{2,}}")
 _EDGES = "\"'()[]{}<>.,;:?!*#%&~^|"
 
 
@@ -141,6 +144,10 @@ def restore(token: str, model: np.ndarray) -> str:
     return "".join(reversed(parts)).strip()
 
 
+def disguised(token: str) -> bool:
+    return " " in token or bool(_DISGUISED.search(token)) or any(_SIGN.search(m.group()) for m in _BETWEEN.finditer(token))
+
+
 class Reader:
     """Words of tokens, disguised ones restored; remembers those met lately."""
 
@@ -152,9 +159,9 @@ class Reader:
         if known is None:
             words = _LETTERS.findall(token)
             core = token.strip(_EDGES)
-            if " " in core or _DISGUISED.search(core):
+            if disguised(core):
                 words += _LETTERS.findall(restore(core, self.model))
-            if len(self.known) >= 200_000:
+            if len(self.known) >= 100_000:
                 self.known.clear()
             known = self.known[token] = tuple(words)
         return known
@@ -200,7 +207,7 @@ def _fit(rows: list[tuple[int, int, list[tuple[int, int]]]], size: int) -> tuple
     w = np.zeros(x.shape[1])
     penalty = np.full(len(w), 0.01)
     penalty[-1] = 1e-3
-    for _ in range(30):
+    for _ in range(15):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         gradient = x.T @ (p - y) + penalty * w
         step = np.linalg.solve((x * (p * (1 - p) + 1e-6)[:, None].astype(np.float32)).T @ x + np.diag(penalty), gradient)
@@ -219,7 +226,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     training = docs.where(crc_mod("doc_id", HELD_OUT) != 0)
     characters = character_model(training)
     marked = labels.where((crc_mod("doc_id", HELD_OUT) != 0) & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
-    sample = marked.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED_ROWS)
+    sample = bounded_sample(marked.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "doc_id", LABELLED_ROWS)
     sent = spark.sparkContext.broadcast(({r["doc_id"]: int(r["toxic"]) for r in sample.collect()}, characters))
 
     def make():
@@ -277,7 +284,7 @@ def _scorer(model: Model):
             if found is None:
                 found = tuple(f for f in reader.features(token) if f in weight)
                 if not found:
-                    if len(misses) >= 400_000:
+                    if len(misses) >= 200_000:
                         misses.clear()
                     misses.add(token)
                     continue
