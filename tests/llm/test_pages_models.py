@@ -288,6 +288,31 @@ def test_language_model_is_a_distribution():
     assert abs(total - 1) < 1e-4
 
 
+def test_truncated_backpropagation_is_exact_inside_a_window():
+    rng = np.random.default_rng(0)
+    known = gated_lm.Words([("w%d" % i, 100 - i) for i in range(50)], 5000, 60, 30)
+    model = gated_lm.Model.fresh(known)
+    model.w = {k: v.astype(np.float64) for k, v in model.w.items()}
+    texts = [gated_lm.as_text([b"w%d" % rng.integers(60) for _ in range(rng.integers(0, 9))], known) for _ in range(5)]
+    lanes = gated_lm.Lanes(texts, 3)
+    window, state = next(lanes.windows(100)), np.zeros((lanes.running[0], gated_lm.HIDDEN))
+    _, grads, _, n = model.gradients(lanes, window, state)
+    for name in model.NAMES:
+        w, full = model.w[name], np.zeros_like(model.w[name])
+        if name == "rows":
+            full[grads["rows"][0]] = grads["rows"][1] / n
+        else:
+            full = grads[name]
+        for i in np.argsort(-np.abs(full).ravel())[:3]:
+            held = w.flat[i]
+            w.flat[i] = held + 1e-5
+            up = model.gradients(lanes, window, state)[0].sum()
+            w.flat[i] = held - 1e-5
+            down = model.gradients(lanes, window, state)[0].sum()
+            w.flat[i] = held
+            assert abs(-(up - down) / 2e-5 / n - full.flat[i]) < 1e-5 * max(1, abs(full.flat[i])) + 2e-6, name
+
+
 def test_scores_do_not_depend_on_the_company():
     known = gated_lm.Words([("", 30), *[("w%d" % i, 50 - i) for i in range(40)]], 1500, 60, 30)
     model, rng = gated_lm.Model.fresh(known), np.random.default_rng(1)
