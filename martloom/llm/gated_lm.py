@@ -36,8 +36,9 @@ BUCKETS = 1024  # inputs of words outside the head, by their last letters
 HIDDEN = 24
 LANES, WINDOW, LEARN_TOKENS = 128, 20, 300_000  # texts side by side, steps between updates, tokens laid out at a time while learning
 SCORE_LANES, SCORE_WINDOW, CHUNK_TOKENS = 512, 32, 2_500_000
-# Of each round: one of how many training documents takes part (another each round), and the step size.
-ROUNDS = ((12, 0.01), (12, 0.006), (12, 0.003))
+# Of each round: one of how many training documents takes part (another each round), and the step size. The rounds
+# together take every training document once.
+ROUNDS = ((3, 0.01), (3, 0.006), (3, 0.003))
 AVERAGE_WIDTH = 16
 END = ""
 

@@ -263,6 +263,19 @@ def test_language_model_counts_and_learns(spark, small):
     assert gated_lm.score_documents(documents(spark, [])).count() == 0
 
 
+def test_every_training_document_is_learned_once(spark, small, monkeypatch):
+    docs, learned, averaged = spark.read.parquet(f"{small}/documents.parquet"), [], gated_lm._averaged
+
+    def noted(part, fallback):
+        learned.append(part.agg(F.sum("tokens")).first()[0] or 0)
+        return averaged(part, fallback)
+
+    monkeypatch.setattr(gated_lm, "_averaged", noted)
+    _, known = gated_lm.count_words(docs)
+    gated_lm.train(docs, known)
+    assert sum(learned) == known.tokens and all(learned)
+
+
 def test_language_model_learns_what_counts_cannot(spark):
     """Two invented languages share no word: the first words of a text tell which one goes on."""
     rng = np.random.default_rng(9)
