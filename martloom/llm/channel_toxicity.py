@@ -40,14 +40,13 @@ _CODES = bytes(
 _LETTERS = re.compile(r"[^\W\d_]+")
 _leet = re.escape("".join(LEET))
 _fill = re.escape(FILLERS)
-# A disguise: a leet sign beside letters, equal letters in a row, or letters kept apart by single fillers. Runs are
+# A disguise: a letter and a leet sign anywhere, equal letters in a row, or letters kept apart by single fillers. Runs are
 # matched without giving back, so a long run of signs takes one pass.
-_DISGUISED = re.compile(rf"^[{_leet}][{_leet}{_fill}]?[^\W\d_]{{2}}|[^\W\d_]{{2}}[{_leet}]$"
-                        rf"|([^\W\d_])\1|[^\W\d_][{_fill}]++[^\W\d_][{_fill}]++[^\W\d_]")
-_BETWEEN = re.compile(rf"(?<=[^\W\d_])[{_leet}{_fill}]++(?=[^\W\d_])")
+_DISGUISED = re.compile(rf"([^\W\d_])\1|[^\W\d_][{_fill}]++[^\W\d_][{_fill}]++[^\W\d_]")
 _SIGN = re.compile(f"[{_leet}]")
-_SPACED = re.compile(rf"(?<!\S)[^\W_](?!\w)(?>[ {_fill}]{{1,3}}+(?:[^\W_]|[{_leet}])(?!\w)){{2,}}")
-_EDGES = "\"'()[]{}<>.,;:?!*#%&~^|"
+_SPACED = re.compile(rf"(?<!\S)(?:[^\W_]|[{_leet}])(?!\w)(?>[ {_fill}]{{1,3}}+(?:[^\W_]|[{_leet}])(?!\w)){{2,}}")
+_EDGES = "\"'()[]{}<>.,;:?!*#%&~^|$@+€ "
+_PLAIN_EDGES = "".join(c for c in _EDGES if c not in LEET)
 
 
 def trigram_counts(texts: list[str | None]) -> np.ndarray:
@@ -145,7 +144,13 @@ def restore(token: str, model: np.ndarray) -> str:
 
 
 def disguised(token: str) -> bool:
-    return " " in token or bool(_DISGUISED.search(token)) or any(_SIGN.search(m.group()) for m in _BETWEEN.finditer(token))
+    return " " in token or bool(_DISGUISED.search(token)) or bool(_SIGN.search(token) and _LETTERS.search(token))
+
+
+def cores(token: str) -> list[str]:
+    """A token without the signs around it; signs that may stand for letters are kept on both sides, on either and on none."""
+    wide = token.strip(_PLAIN_EDGES)
+    return list(dict.fromkeys((token.strip(_EDGES), wide.rstrip(_EDGES), wide.lstrip(_EDGES), wide)))
 
 
 class Reader:
@@ -158,9 +163,9 @@ class Reader:
         known = self.known.get(token)
         if known is None:
             words = _LETTERS.findall(token)
-            core = token.strip(_EDGES)
-            if disguised(core):
-                words += _LETTERS.findall(restore(core, self.model))
+            for core in cores(token):
+                if disguised(core):
+                    words += _LETTERS.findall(restore(core, self.model))
             if len(self.known) >= 100_000:
                 self.known.clear()
             known = self.known[token] = tuple(words)

@@ -232,6 +232,15 @@ def test_viterbi_finds_the_best_path():
         assert channel_toxicity.restore(token, model) in {t for s, t in scored if s > best - 1e-3}
 
 
+def test_signs_at_the_ends_of_words_are_decoded():
+    words = ["asshole", "dumbass", "ass", "hate", "idiot", "clown", "stupid"]
+    counts = channel_toxicity.trigram_counts([" ".join(words)] * 50).reshape(28, 28, 28)
+    reader = channel_toxicity.Reader(np.log((counts + 0.01) / (counts + 0.01).sum(axis=2, keepdims=True)).astype(np.float32))
+    for text, word in (("@$$hole", "asshole"), ("@55hole", "asshole"), ("dumba$$", "dumbass"), ("a$$", "ass"), ("a55", "ass"), ("h473", "hate"),
+                       ("!diot", "idiot"), ("(!diot!)", "idiot"), ("(lown", "clown"), ("(1d10t)", "idiot"), ("$ t u p i d", "stupid"), ("$ s t u p i d", "stupid")):
+        assert word in {w for t in reader.tokens(text) for w in reader.words_of(t)}, text
+
+
 @pytest.mark.parametrize("text", ["x" + "1" * 60_000, "_" * 60_000 + "a", "*" * 60_000 + "a", "a " * 30_000 + "ab", "a*" * 20_000 + "b"])
 def test_long_runs_take_one_pass(text):
     """Patterns that tried every split of a run would never end here."""
