@@ -24,7 +24,6 @@ from martloom.session import write_once
 
 HELD_OUT = 5
 LABELLED_ROWS = 10_000
-LEXICON_SIZE = 256
 LEAST_DOCS, LEAST_Z = 5, 4.0
 BEGINNINGS = (4, 6)  # letters of the word beginnings that count as features beside whole words
 SYMBOLS = 28  # boundary, a to z, any other letter
@@ -194,28 +193,56 @@ def presence_and_density(count: int, n_tokens: int) -> tuple[float, float]:
 
 @dataclass
 class Model:
-    """Everything scoring needs; a few hundred kilobytes at most."""
+    """Everything scoring needs; as large as the vocabulary of the sample's toxic rows at most."""
 
     characters: np.ndarray
     lexicon: dict[str, tuple[float, float]]  # weights of presence and density
     bias: float
 
 
-def _fit(rows: list[tuple[int, int, list[tuple[int, int]]]], size: int) -> tuple[np.ndarray, float]:
-    """Logistic regression with an L2 penalty by Newton steps; rows are (label, tokens, [(feature, count)])."""
-    x = np.zeros((len(rows), 2 * size + 1), np.float32)
+def _fit(rows: list[tuple[int, int, list[int], list[int]]], size: int) -> tuple[np.ndarray, float]:
+    """Logistic regression with an L2 penalty by Newton steps; rows are (label, tokens, features, counts).
+
+    Rows are kept sparse and each step is solved by conjugate gradients, so memory follows the features that are there.
+    """
     y = np.array([r[0] for r in rows], float)
-    for i, (_, n, on) in enumerate(rows):
-        for j, count in on:
-            x[i, 2 * j:2 * j + 2] = presence_and_density(count, n)
-    x[:, -1] = 1
-    w = np.zeros(x.shape[1])
-    penalty = np.full(len(w), 0.01)
+    sizes = np.array([len(r[2]) for r in rows])
+    feature = np.fromiter((j for r in rows for j in r[2]), np.int64, int(sizes.sum()))
+    dense = np.fromiter((presence_and_density(k, r[1])[1] for r in rows for k in r[3]), float, len(feature))
+    row, width = np.repeat(np.arange(len(rows)), sizes), 2 * size + 1
+
+    def times(w):
+        return np.bincount(row, w[2 * feature] + dense * w[2 * feature + 1], len(rows)) + w[-1]
+
+    def back(v):
+        out = np.zeros(width)
+        out[:-1:2], out[1::2] = np.bincount(feature, v[row], size), np.bincount(feature, dense * v[row], size)
+        out[-1] = v.sum()
+        return out
+
+    w = np.zeros(width)
+    penalty = np.full(width, 0.01)
     penalty[-1] = 1e-3
-    for _ in range(15):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (p - y) + penalty * w
-        step = np.linalg.solve((x * (p * (1 - p) + 1e-6)[:, None].astype(np.float32)).T @ x + np.diag(penalty), gradient)
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-np.clip(times(w), -30, 30)))
+        spread = p * (1 - p) + 1e-6
+        diagonal = penalty.copy()
+        diagonal[:-1:2] += np.bincount(feature, spread[row], size)
+        diagonal[1::2] += np.bincount(feature, dense * dense * spread[row], size)
+        diagonal[-1] += spread.sum()
+        step, left = np.zeros(width), back(p - y) + penalty * w
+        ahead = left / diagonal
+        least, norm = 1e-16 * float(left @ ahead), float(left @ ahead)
+        for _ in range(width + 100):
+            if norm <= least:
+                break
+            moved = back(spread * times(ahead)) + penalty * ahead
+            by = norm / float(ahead @ moved)
+            step += by * ahead
+            left -= by * moved
+            turned = left / diagonal
+            before, norm = norm, float(left @ turned)
+            ahead = turned + norm / before * ahead
         w -= step
         if np.abs(step).max() < 1e-4:
             break
@@ -265,12 +292,23 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
         F.sum("toxic").alias("c1"), F.sum(1 - F.col("toxic")).alias("c0"))
     odds = F.log((F.col("c1") + 0.5) / (n1 - F.col("c1") + 0.5)) - F.log((F.col("c0") + 0.5) / (n0 - F.col("c0") + 0.5))
     spread = F.sqrt(1 / (F.col("c1") + 0.5) + 1 / (F.col("c0") + 0.5))
-    chosen = counted.where(F.col("c1") >= LEAST_DOCS).withColumn("z", odds / spread).where(F.col("z") >= LEAST_Z).orderBy(
-        F.desc("z"), "feature").limit(LEXICON_SIZE).collect()
-    place = {r["feature"]: i for i, r in enumerate(chosen)}
-    listed = F.array(*[F.lit(f) for f in place]) if place else F.array().cast("array<string>")
-    rows = [(r["toxic"], r["n"], [(place[x["feature"]], x["k"]) for x in r["found"]]) for r in seen.select(
-        "toxic", "n", F.filter("found", lambda x: F.array_contains(listed, x.feature)).alias("found")).collect()]
+    chosen = counted.where(F.col("c1") >= LEAST_DOCS).withColumn("z", odds / spread).where(F.col("z") >= LEAST_Z).select(
+        "feature").collect()
+    place = {f: i for i, f in enumerate(sorted(r["feature"] for r in chosen))}
+    listed = spark.sparkContext.broadcast(place)
+
+    def known():
+        place = listed.value
+
+        def step(toxic, tokens, features, counts):
+            on = [[(place[f], k) for f, k in zip(fs, ks) if f in place] for fs, ks in zip(features, counts)]
+            return {"toxic": toxic, "n": tokens, "features": [[j for j, _ in x] for x in on], "counts": [[k for _, k in x] for x in on]}
+
+        return step
+
+    marks = map_batches(seen, ["toxic", "n", F.col("found.feature").alias("features"), F.col("found.k").alias("counts")],
+                        "toxic int, n int, features array<int>, counts array<int>", known)
+    rows = [(r["toxic"], r["n"], r["features"], r["counts"]) for r in marks.collect()]
     weights, bias = _fit(rows, len(place))
     return Model(characters, {f: (float(weights[i, 0]), float(weights[i, 1])) for f, i in place.items()}, bias)
 

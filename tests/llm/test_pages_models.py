@@ -232,6 +232,31 @@ def test_viterbi_finds_the_best_path():
         assert channel_toxicity.restore(token, model) in {t for s, t in scored if s > best - 1e-3}
 
 
+def test_every_feature_that_tells_enters_the_lexicon(spark):
+    names = ["".join(chr(97 + i // 26 ** k % 26) for k in (2, 1, 0)) for i in range(400)]
+    bad = [" ".join(names[(i * 20 + k) % 400] for k in range(60)) for i in range(200)]
+    texts = [f"{t} so{i}" for i, t in enumerate(bad)] + [f"plain words go here {i}" for i in range(2000)]
+    labels = spark.createDataFrame([(i, 1, int(i < 200)) for i in range(len(texts))], "doc_id bigint, quality int, toxic int")
+    model = channel_toxicity.train(documents(spark, list(enumerate(texts))), labels)
+    common = {w for w, n in Counter(w for i, t in enumerate(bad) if zlib.crc32(str(i).encode()) % 5 for w in t.split()).items() if n >= 18}
+    assert len(common) > 256 and common <= model.lexicon.keys()
+
+
+def test_sparse_newton_steps_reach_the_least_loss():
+    rng = np.random.default_rng(2)
+    rows = [(int(rng.random() < 0.3), 40, [int(j) for j in rng.choice(30, 4, replace=False)], [int(k) for k in rng.integers(1, 20, 4)]) for _ in range(300)]
+    weights, bias = channel_toxicity._fit(rows, 30)
+    x = np.zeros((300, 61))
+    for i, (_, n, on, counts) in enumerate(rows):
+        for j, k in zip(on, counts):
+            x[i, 2 * j:2 * j + 2] = channel_toxicity.presence_and_density(k, n)
+    x[:, -1] = 1
+    w = np.append(weights.reshape(-1), bias)
+    gradient = x.T @ (1 / (1 + np.exp(-x @ w)) - [r[0] for r in rows]) + np.append(np.full(60, 0.01), 1e-3) * w
+    assert np.abs(gradient).max() < 1e-3
+    assert channel_toxicity._fit([(1, 3, [], []), (0, 3, [], [])], 0)[0].shape == (0, 2)
+
+
 def test_signs_at_the_ends_of_words_are_decoded():
     words = ["asshole", "dumbass", "ass", "hate", "idiot", "clown", "stupid"]
     counts = channel_toxicity.trigram_counts([" ".join(words)] * 50).reshape(28, 28, 28)
