@@ -33,7 +33,8 @@ IMPLIED_END = {"li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd"
                **{t: ("p", "article section div td th li aside main body") for t in BLOCK - {"br", "body", "html", "head", "option"} if t not in ("li", "dt", "dd", "tr", "td", "th")}}
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})\b(?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*+>.*?(?:</\1\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<svg(?=[\s/>])(?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*+(?<=/)>"  # a self-closed svg is empty
+    rf"|<({RAW})(?=[\s/>])(?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*+>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s<>/]*)((?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*+|[^<>]*)>|<[!?][^<>]*>", re.S | re.I)
 _NAMES = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _WORD_PARTS = re.compile(r"[A-Za-z][a-z]*|\d+")

@@ -103,6 +103,13 @@ def test_markup_is_read_as_far_as_it_goes(spark):
     assert html_labeller.extract(spark.createDataFrame([], PAGES)).count() == 0
 
 
+def test_raw_elements_end_where_they_end():
+    blocks = lambda page: [b.text for b in html_labeller.blocks_of(page)]
+    assert blocks('<article><p>One</p><svg class="i"/><p>Two</p></article>') == ["One", "Two"]
+    assert blocks("<title-bar><p>One</p></title-bar><select-box>Two</select-box><template-x><p>Three") == ["One", "Two", "Three"]
+    assert blocks("<p>One<svg class='i'><path d=''/>no</svg> two<svg/><title>no</title><script src=x>no</script>") == ["One two"]
+
+
 def test_recurrent_gradients_are_right():
     rng = np.random.default_rng(0)
     net = html_labeller.Labeller.fresh(rng)
