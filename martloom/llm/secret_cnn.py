@@ -49,17 +49,21 @@ def rule_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Key-like runs with letters and digits that touch no rule finding."""
+    """Key-like runs with letters and digits, and what rule findings leave of them."""
     out = []
     for m in _CANDIDATE.finditer(text):
-        start, end = m.span()
-        run = m.group().strip(".=-/_")
-        if not (re.search(r"[0-9]", run) and re.search(r"[A-Za-z]", run)) or len(run) < 16:
-            continue
-        start = start + m.group().index(run)
-        end = start + len(run)
-        if not any(s < end and start < e for s, e, _ in taken):
-            out.append((start, end))
+        at, pieces = m.start(), []
+        for s, e, _ in taken:
+            if s < m.end() and at < e:
+                pieces.append((at, s))
+                at = e
+        for start, end in [*pieces, (at, m.end())]:
+            piece = text[start:end]
+            run = piece.strip(".=-/_")
+            if not (re.search(r"[0-9]", run) and re.search(r"[A-Za-z]", run)) or len(run) < 16:
+                continue
+            start += piece.index(run)
+            out.append((start, start + len(run)))
     return out
 
 
