@@ -13,7 +13,10 @@ from martloom.llm import (
     fm_decontaminate,
     gated_lm,
     html_labeller,
+    linear_packing,
+    permuterm_spelling,
     prefix_bpe,
+    rtree_negatives,
     secret_cnn,
     simhash_blocks,
     slot_shards,
@@ -23,6 +26,8 @@ from martloom.llm.common import table
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 BPE_PATTERN = public_tokenizers.PATTERN
+# The same vocabulary as byte_bpe_50k.json, as ranks.
+PACKING_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def op1_gated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +70,18 @@ def op10_slot_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slot_shards.place(table(spark, sf_dir, "documents"))
 
 
+def op11_rtree_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rtree_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def op12_permuterm_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permuterm_spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_linear_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linear_packing.pack(table(spark, sf_dir, "documents"), PACKING_RANKS, BPE_PATTERN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_gated_lm": op1_gated_lm,
     "op2_simhash_blocks": op2_simhash_blocks,
@@ -76,9 +93,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_channel_toxicity": op8_channel_toxicity,
     "op9_warc_members": op9_warc_members,
     "op10_slot_shards": op10_slot_shards,
+    "op11_rtree_negatives": op11_rtree_negatives,
+    "op12_permuterm_spelling": op12_permuterm_spelling,
+    "op13_linear_packing": op13_linear_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_fm_decontaminate": fm_decontaminate.SQL,
     "op9_warc_members": warc_members.SQL,
+    "op11_rtree_negatives": rtree_negatives.SQL,
 }
