@@ -16,18 +16,20 @@ from martloom.functions.columns import (
 )
 from martloom.functions.sql_functions import register_functions
 from martloom.operators import joins
-from martloom.operators.changes import apply_cdc, mask
+from martloom.operators.changes import apply_cdc, mask, views_by_group
 from martloom.operators.fuzzy import fuzzy_match
 from martloom.operators.identity import identity_clusters
 from martloom.operators.ranking import top_bottom
 from martloom.operators.sessions import days_of_cover, flag_bots
 from martloom.operators.shaping import union_all
-from martloom.plans.lake import build_day
+from martloom.plans.daily import load_until
+from martloom.plans.lake import SAMPLE_AS_OF
 from martloom.plans.marts import delivery_sla, revenue_by_category, revenue_monthly_region
-from martloom.session import workspace
+from martloom.session import workspace, write_once
 from martloom.sources import messages, tables
 from martloom.sources.sample import raw_stream, raw_view
-from martloom.streaming import live
+from martloom.sources.store import TableStore
+from martloom.streaming import feeds, live
 from martloom.streaming.sinks import drain, upsert
 
 # --- malformed input, bots, dates -------------------------------------------
@@ -220,15 +222,13 @@ def _(lake):
     SELECT order_id, status, total_amount, updated_at, CAST(year(updated_at) AS INTEGER) AS yr FROM raw_ecom_orders
     QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY updated_at DESC) = 1""")
 def _(spark, folder):
-    path = workspace(spark, "merge-target")
+    store = TableStore(spark, workspace(spark, "merge-target"))
     versions = raw_view(spark, folder, "ecom_orders").select(
         "order_id", "status", "total_amount", "updated_at", "created_at", F.year("updated_at").alias("yr"))
-    first = versions.where("updated_at = created_at").drop("created_at")
-    newer = versions.where("updated_at > created_at").drop("created_at")
-    tables.append_table(first, path, ["yr"])
+    store.put("orders", versions.where("updated_at = created_at").drop("created_at"), "yr")
     for _attempt in range(2):
-        tables.merge_table(spark, path, newer, ["order_id"], "updated_at", "yr", ["status"])
-    return spark.read.parquet(path)
+        store.merge("orders", versions.where("updated_at > created_at").drop("created_at"), ["order_id"], "updated_at", "yr", ["status"])
+    return store.read("orders")
 
 
 @query("x11_merge_odd_partitions", """
@@ -238,40 +238,71 @@ def _(spark, folder):
     QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY updated_at DESC) = 1""")
 def _(spark, folder):
     """Partition values that are null or need escaping, and keys that move between them."""
-    path = workspace(spark, "merge-odd")
+    store = TableStore(spark, workspace(spark, "merge-odd"))
     place = F.when(F.col("status") != "shipped", F.concat(F.lit("is:"), "status", F.lit("/"), F.year("updated_at").cast("string")))
     versions = raw_view(spark, folder, "ecom_orders").select("order_id", "total_amount", "updated_at", "created_at", place.alias("place"))
-    tables.append_table(versions.where("updated_at = created_at").drop("created_at"), path, ["place"])
+    store.put("orders", versions.where("updated_at = created_at").drop("created_at"), "place")
     for _attempt in range(2):
-        tables.merge_table(spark, path, versions.where("updated_at > created_at").drop("created_at"), ["order_id"], "updated_at",
-                           "place", ["total_amount"])
-    return spark.read.parquet(path)
-
-
-_BUILT_DAYS = (dt.date(1996, 3, 4), dt.date(1996, 3, 5))
+        store.merge("orders", versions.where("updated_at > created_at").drop("created_at"), ["order_id"], "updated_at", "place", ["total_amount"])
+    return store.read("orders")
+
+
+# What tells the rows of a built table apart, in text and in numbers, for comparing all tables in one result.
+BUILT = {
+    "int_customers_unified": ("customer_uid", "loyalty_member_id", "customer_type", "NULL", "NULL"),
+    "int_orders_all_channels": ("order_id", "channel", "customer_uid", "total_amount_vnd", "num_items"),
+    "int_customer_metrics": ("customer_uid", "first_order_date", "last_order_date", "total_orders", "channels_used"),
+    "int_sessions": ("session_id", "ecom_customer_id", "session_date", "total_events", "page_views"),
+    "dim_customers": ("customer_uid", "loyalty_member_id", "rfm_segment", "total_orders", "lifetime_revenue_vnd"),
+    "dim_stores": ("store_id", "region", "store_size", "staff_count", "sqm"),
+    "dim_products": ("product_id", "sku", "category_l1", "price_vnd", "margin_vnd"),
+    "dim_date": ("date_key", "NULL", "NULL", "NULL", "NULL"),
+    "fct_revenue_daily": ("date_key", "store_id", "channel", "total_orders", "total_revenue_vnd"),
+    "fct_revenue_monthly": ("month_key", "NULL", "NULL", "total_orders", "prev_month_revenue_vnd"),
+    "fct_reconciliation": ("date_key", "reconciliation_status", "NULL", "expected_total_vnd", "payment_revenue_vnd"),
+    "fct_campaign_performance": ("date_key", "campaign", "source", "total_sessions", "conversions"),
+    "fct_funnel_daily": ("date_key", "referrer", "device_type", "total_sessions", "sessions_with_purchase"),
+    "fct_inventory_alerts": ("date_key", "store_id", "sku", "qty_available", "reorder_point"),
+    "fct_store_performance": ("date_key", "store_id", "region", "rank_in_region", "rank_overall"),
+}
+
+
+def _built(table: str, text: str) -> str:
+    names = ("k1", "k2", "k3", "n1", "n2")
+    return ", ".join([f"'{table}' AS part", *(f"CAST({c} AS {text if n[0] == 'k' else 'BIGINT'}) AS {n}" for c, n in zip(BUILT[table], names))])
+
+
+# Days up to which three loads take what has landed: most of it, one day more, the rest.
+LOADS = (dt.date(2001, 7, 20), dt.date(2001, 7, 21), dt.date(2024, 12, 31))
+
+
+def sample_landing(spark, folder) -> str:
+    """The sources as landing tables by day of arrival. Of those with a spread key every 25th row comes late, corrections among them."""
+    root = workspace(spark, "landing")
+    stamps = {"pos_transactions": ("txn_timestamp", "txn_id"), "ecom_orders": ("updated_at", "order_id"), "ecom_customers": ("updated_at", "customer_id"),
+              "loyalty_members": ("updated_at", "member_id"), "payments_vnpay": ("vnp_pay_date", "vnp_order_info"),
+              "payments_momo": ("response_time", "order_id"), "payments_card": ("settled_at", "transaction_id"),
+              "clickstream_events": ("event_time", "event_id"), "stock_levels": ("snapshot_time", "product_id")}
+    for source, (stamp, key) in stamps.items():
+        late, day = F.pmod(F.xxhash64(key, stamp), F.lit(50)), F.to_date(stamp)
+        landed = F.when(late == 0, F.lit(LOADS[2])).when(late == 1, F.lit(LOADS[1])).when(day <= F.lit(LOADS[0]), F.lit(LOADS[0])).when(
+            day <= F.lit(LOADS[1]), F.lit(LOADS[1])).otherwise(F.lit(LOADS[2]))
+        tables.append_table(raw_view(spark, folder, source).withColumn("landed", landed), f"{root}/{source}", ["landed"])
+    return root
+
+
+@query("x11_daily_build", " UNION ALL ".join(f"SELECT {_built(table, 'VARCHAR')} FROM {table}" for table in BUILT))
+def _(spark, folder):
+    """A first load and two more, with late rows and late customers, hold what one full build holds, in every table."""
+    landing, store = sample_landing(spark, folder), TableStore(spark, workspace(spark, "daily-build"))
+    for day in LOADS:
+        load_until(store, lambda source: spark.read.parquet(f"{landing}/{source}"), lambda name: raw_view(spark, folder, name),
+                   day, SAMPLE_AS_OF, grain="year")
+    return union_all(*[store.read(table).selectExpr(*_split(_built(table, "STRING"))) for table in BUILT])
 
 
-@lake_query("x11_daily_build", f"""
-    SELECT 'day' AS part, CAST(date_key AS DATE) AS period, store_id, channel, total_orders, total_revenue_vnd
-    FROM fct_revenue_daily WHERE date_key IN (DATE '{_BUILT_DAYS[0]}', DATE '{_BUILT_DAYS[1]}')
-    UNION ALL
-    SELECT 'month', CAST(date_trunc('month', date_key) AS DATE), NULL, NULL, CAST(sum(total_orders) AS BIGINT), CAST(sum(total_revenue_vnd) AS BIGINT)
-    FROM fct_revenue_daily WHERE date_key IN (DATE '{_BUILT_DAYS[0]}', DATE '{_BUILT_DAYS[1]}') GROUP BY 2
-    UNION ALL
-    SELECT 'customers', NULL, customer_uid, NULL, total_orders, lifetime_revenue_vnd FROM dim_customers""")
-def _(lake):
-    """Two days, one run after the other, hold what a full build holds of them."""
-    root = workspace(lake.spark, "daily-build")
-    for day in _BUILT_DAYS:
-        build_day(lake, root, day)
-    read = lambda model: lake.spark.read.parquet(f"{root}/{model}")
-    none = F.lit(None).cast("string")
-    return union_all(
-        read("fct_revenue_daily").select(F.lit("day").alias("part"), F.col("date_key").alias("period"), "store_id", "channel", "total_orders", "total_revenue_vnd"),
-        read("fct_revenue_monthly").select(F.lit("month").alias("part"), F.col("month_key").alias("period"), none.alias("store_id"), none.alias("channel"),
-                                           "total_orders", "total_revenue_vnd"),
-        read("dim_customers").select(F.lit("customers").alias("part"), F.lit(None).cast("date").alias("period"), F.col("customer_uid").alias("store_id"),
-                                     none.alias("channel"), "total_orders", F.col("lifetime_revenue_vnd").alias("total_revenue_vnd")))
+def _split(columns: str) -> list[str]:
+    return columns.split(", ")
 
 
 @query("t10_upsert_sink", """
@@ -282,8 +313,9 @@ def _(spark, folder):
     root = workspace(spark, "upsert")
     versions = raw_stream(spark, folder, "ecom_orders").select(
         "order_id", "status", "total_amount", "updated_at", F.year("updated_at").alias("yr"))
-    upsert(versions, f"{root}/out", f"{root}/checkpoint", ["order_id"], "updated_at", "yr", ["status"]).awaitTermination()
-    return spark.read.parquet(f"{root}/out")
+    store = TableStore(spark, f"{root}/out")
+    upsert(versions, store, "orders", f"{root}/checkpoint", ["order_id"], "updated_at", "yr", ["status"]).awaitTermination()
+    return store.read("orders")
 
 
 @query("x12_cdc_unwrap", """
@@ -296,6 +328,21 @@ def _(spark, folder):
     return apply_cdc(envelopes, "order_id", "seq")
 
 
+@query("x12_cdc_applied", """
+    SELECT order_id, status, total_amount FROM raw_order_changes
+    QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY seq DESC) = 1 AND op <> 'd'""")
+def _(spark, folder):
+    """Changes that reach a stored table in three batches, out of order and one of them twice, equal one pass over all."""
+    image = F.struct("order_id", "status", "total_amount")
+    envelopes = write_once(raw_view(spark, folder, "order_changes").select(
+        F.when(F.col("op") != "c", image).alias("before"), F.when(F.col("op") != "d", image).alias("after"), "op", "seq",
+        F.pmod(F.xxhash64("order_id", "seq"), F.lit(3)).alias("part")), "envelopes")
+    store = TableStore(spark, workspace(spark, "cdc"))
+    for batch, part in enumerate((2, 0, 1, 1)):
+        feeds.apply_changes(store, "orders", envelopes.where(F.col("part") == part), "order_id", "seq", "orders feed", min(batch, 2), buckets=8)
+    return feeds.live_rows(store.read("orders"))
+
+
 @query("x13_delivery_sla", """
     SELECT partner, CAST(ordered_at AS DATE) AS date_key, count(*) AS shipments,
            count(*) FILTER (delivered_at <= ordered_at + INTERVAL 720 HOUR) AS on_time,
@@ -315,6 +362,25 @@ def _(spark, folder):
     return mask(people, {"customer_id": "hash", "email": "email", "phone": "tail", "full_name": "drop"})
 
 
+_POLICY = [("marketing", "customers", "ecom_customer_id", "hash"), ("marketing", "customers", "email", "email"),
+           ("marketing", "customers", "registration_source", "keep"), ("support", "customers", "ecom_customer_id", "keep"),
+           ("support", "customers", "full_name", "keep"), ("support", "customers", "phone_normalized", "tail")]
+
+
+@lake_query("x14_group_views", """
+    SELECT 'marketing' AS consumer_group, sha256(ecom_customer_id) AS ecom_customer_id, regexp_replace(email, '^[^@]*', '***') AS email,
+           registration_source, NULL AS full_name, NULL AS phone_normalized FROM stg_ecommerce__customers
+    UNION ALL
+    SELECT 'support', ecom_customer_id, NULL, NULL, full_name,
+           repeat('*', greatest(length(phone_normalized) - 3, 0)) || right(phone_normalized, 3) FROM stg_ecommerce__customers""")
+def _(lake):
+    """One model as two groups see it; columns without a rule are in neither."""
+    policy = lake.spark.createDataFrame(_POLICY, "consumer_group string, table_name string, column_name string, rule string")
+    views = views_by_group({"customers": lake["stg_ecommerce__customers"]}, policy)
+    marketing, support = (views[g, "customers"].withColumn("consumer_group", F.lit(g)) for g in ("marketing", "support"))
+    return marketing.unionByName(support, allowMissingColumns=True)
+
+
 @lake_query("x15_top_bottom_stores", """
     WITH weekly AS (SELECT CAST(date_trunc('week', txn_date) AS DATE) AS week_start, store_id,
                            CAST(sum(total_amount_vnd) AS BIGINT) AS revenue_vnd FROM stg_pos__transactions GROUP BY 1, 2)

@@ -13,6 +13,8 @@ from martloom.operators.shaping import union_all
 from martloom.session import workspace
 from martloom.sources import landing, messages, tables
 from martloom.sources.sample import raw_view, table
+from martloom.sources.store import TableStore
+from martloom.streaming import feeds
 
 DAY = "2024-01-01"
 MID = "2024-01-16"
@@ -144,6 +146,26 @@ def _(spark, folder):
         for entity, (source, _fmt) in schemas.LANDING.items()])
 
 
+_CUT = "CAST(right(order_id, 3) AS INTEGER) % 40 = 7"
+
+
+@query("s10_ingest_dead_letters", f"""
+    SELECT order_id, landing_date, CASE WHEN {_CUT} THEN 'dead' ELSE 'good' END AS fate
+    FROM raw_order_events, (VALUES (DATE '{DAY}'), (DATE '2024-01-02')) AS days(landing_date)""")
+def _(spark, folder):
+    """Every fortieth line is cut off; none is lost, and running the ingest again adds none."""
+    root = workspace(spark, "lines")
+    lines = raw_view(spark, folder, "order_events").select("order_id", F.to_json(F.struct(*schemas.ORDER_EVENTS.names)).alias("value"))
+    cut = lines.select(F.when(F.expr(_CUT), F.substring("value", 1, 40)).otherwise(F.col("value")).alias("value"))
+    store = TableStore(spark, f"{root}/store")
+    for day in (DAY, "2024-01-02", None):
+        if day:
+            cut.write.text(f"{root}/landing/orders/{day}")
+        feeds.ingest_lines(spark, f"{root}/landing", "orders", schemas.ORDER_EVENTS, "json", store, f"{root}/checkpoint").awaitTermination()
+    dead = store.read(feeds.DEAD).select(F.regexp_extract("line", r'"order_id":"([^"]*)"', 1).alias("order_id"), "landing_date", F.lit("dead").alias("fate"))
+    return store.read("orders").select("order_id", "landing_date", F.lit("good").alias("fate")).unionByName(dead)
+
+
 @query("s11_write_records", """
     SELECT *, 'json' AS fmt FROM raw_order_events UNION ALL SELECT *, 'parquet' FROM raw_order_events""")
 def _(spark, folder):

@@ -14,10 +14,12 @@ from martloom.catalog.registry import query
 from martloom.functions.columns import last_by
 from martloom.operators.changes import replacing_read, retain, summing_read
 from martloom.operators.sessions import sessions_by_gap
+from martloom.operators.shaping import union_all
 from martloom.session import workspace
 from martloom.sources import tables
 from martloom.sources.sample import raw_stream, raw_view
-from martloom.streaming import live
+from martloom.sources.store import TableStore
+from martloom.streaming import feeds, live
 from martloom.streaming.sinks import drain, start
 
 _VALID = "order_id IS NOT NULL AND customer_id IS NOT NULL AND amount > 0"
@@ -156,6 +158,36 @@ def _(spark, folder):
     return retain(raw_view(spark, folder, "order_events"), "event_time", 7, F.lit(dt.datetime(2024, 1, 31)))
 
 
+@query("t11_retention_on_storage", " UNION ALL ".join(f"""
+    SELECT {keep} AS keep_days, order_id, event_time FROM raw_order_events
+    WHERE CAST(event_time AS DATE) >= DATE '2024-01-31' - {keep}""" for keep in (7, 30, 90)))
+def _(spark, folder):
+    """Stored days expire by the log; the files of days that stay are not touched."""
+    events = raw_view(spark, folder, "order_events").select("order_id", "event_time", F.to_date("event_time").alias("day"))
+    kept = []
+    for keep in (7, 30, 90):
+        store = TableStore(spark, workspace(spark, "expiring"))
+        store.put("events", events, "day")
+        store.retain("events", dt.date(2024, 1, 31) - dt.timedelta(days=keep))
+        kept.append(store.read("events").select(F.lit(keep).alias("keep_days"), "order_id", "event_time"))
+    return union_all(*kept)
+
+
+@query("t13_late_rows_kept", f"SELECT * FROM ({_REVENUE})")
+def _(spark, folder):
+    """The first half of the month arrives behind the watermark; the daily correction brings it back in."""
+    root = workspace(spark, "late")
+    middle = F.lit("2024-01-16").cast("timestamp")
+    store, events = TableStore(spark, f"{root}/store"), raw_view(spark, folder, "order_events")
+    for number, half in enumerate((F.col("event_time") >= middle, F.col("event_time") < middle)):
+        tables.write_records(events.where(half), root, "events", f"drop{number}", "parquet")
+        stream = spark.readStream.schema(schemas.ORDER_EVENTS).option("recursiveFileLookup", True).parquet(f"{root}/events")
+        dated = stream.withColumn("day", F.to_date("event_time"))
+        feeds.with_late_rows_aside(dated, store, "orders", f"{root}/checkpoint", "event_time", live.ORDER_DELAY, "day").awaitTermination()
+    feeds.take_late_rows(store, "orders", "day")
+    return live.revenue_realtime(store.read("orders").drop("day"))
+
+
 def _two_runs(spark, folder, label, first, second):
     """Run the revenue stream on one drop, stop, and resume it on a second one."""
     root = workspace(spark, label)

@@ -29,7 +29,7 @@ DECIMALS = {
                      "s6_append_partitioned", "s7_overwrite_day", "s8_replace_table", "s11_write_records",
                      "s13_kafka_decode", "t2_valid_orders_stream", "t11_ttl_retention", "x17_compact_files"], _ORDER_MONEY),
     **dict.fromkeys(["a10_rule_driven_agg", "t3_revenue_1min", "t9_summing_merge", "t12_checkpoint_resume",
-                     "t13_late_data"], _WINDOW_MONEY),
+                     "t13_late_data", "t13_late_rows_kept"], _WINDOW_MONEY),
     **dict.fromkeys(["r1_batch_stream_daily", "r1_batch_vs_drained_stream", "r2_drift_threshold"], _TOTALS),
     "p1_rename_cast": ("total_amount",),
     "a3_conditional_agg": ("completed_amount",),

@@ -57,6 +57,31 @@ def retain(df: DataFrame, ts: str, days: int, as_of: Column) -> DataFrame:
     return df.where(F.col(ts) > as_of - F.expr(f"INTERVAL {int(days)} DAYS"))
 
 
+def views_by_group(frames: Mapping[str, DataFrame], policy: DataFrame) -> dict[tuple[str, str], DataFrame]:
+    """What each consumer group may see: ``(group, table)`` to a frame.
+
+    ``policy(consumer_group, table_name, column_name, rule)`` is a small table somebody keeps by hand; rules are ``keep`` and those
+    of ``mask``. A column without a rule is hidden, and a table without rules is no view of the group.
+    """
+    rules: dict[tuple[str, str], dict[str, str]] = {}
+    for r in policy.select("consumer_group", "table_name", "column_name", "rule").collect():
+        rules.setdefault((r[0], r[1]), {})[r[2]] = r[3]
+    views = {}
+    for (group, table), allowed in rules.items():
+        if table in frames:
+            seen = [c for c in frames[table].columns if allowed.get(c, "drop") != "drop"]
+            views[group, table] = mask(frames[table].select(*seen), {c: allowed[c] for c in seen if allowed[c] != "keep"})
+    return views
+
+
+def register_group_views(frames: Mapping[str, DataFrame], policy: DataFrame) -> list[str]:
+    """Temp views ``{group}__{table}`` of all of a policy."""
+    views = views_by_group(frames, policy)
+    for (group, table), frame in views.items():
+        frame.createOrReplaceTempView(f"{group}__{table}")
+    return sorted(f"{group}__{table}" for group, table in views)
+
+
 def mask(df: DataFrame, policy: Mapping[str, str]) -> DataFrame:
     """Hide columns: ``hash`` (sha-256), ``tail`` (last three characters stay), ``email``, ``drop``."""
     shapes = {

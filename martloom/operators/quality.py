@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.operators.joins import orphans
@@ -117,6 +117,23 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return union_all(*frames).withColumn("status", verdict)
 
 
+def observed(df: DataFrame, checks: Sequence[Check]) -> tuple[DataFrame, Observation]:
+    """The frame, and an observation of its plain checks that is filled when the frame is written: no scan of their own."""
+    seen = Observation()
+    plain = [c.measure.cast("double").alias(f"m{i}") for i, c in enumerate(checks) if c.measure is not None]
+    return df.observe(seen, *(plain or [F.count("*").alias("rows")])), seen
+
+
+def observed_report(written: DataFrame, checks: Sequence[Check], seen: Observation) -> DataFrame:
+    """The report of ``run_checks`` after a write that was observed: only checks with a grouping of their own read the table."""
+    values = seen.get
+    rows = [(c.name, values[f"m{i}"]) for i, c in enumerate(checks) if c.measure is not None]
+    plain = written.sparkSession.createDataFrame(rows, "check string, measured double")
+    grouped = [c.frame(written).select(F.lit(c.name).alias("check"), "measured") for c in checks if c.frame is not None]
+    verdict = F.coalesce(*[F.when(F.col("check") == c.name, c.status()) for c in checks])
+    return union_all(plain, *grouped).withColumn("status", verdict)
+
+
 class QualityGateError(RuntimeError):
     """A table failed its checks, so the next layer must not be built."""
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions import rules
-from martloom.functions.columns import count_where, days_between, exact_mean, seconds_between, surrogate_key
+from martloom.functions.columns import count_where, days_between, safe_ratio, seconds_between, surrogate_key
 from martloom.operators.dedup import latest_per_key
 from martloom.operators.joins import left_join_any_key, left_lookup, with_exists_flag
 from martloom.operators.shaping import union_all
@@ -62,18 +62,30 @@ def int_orders_all_channels(pos: DataFrame, orders: DataFrame, customers: DataFr
 
 
 def int_customer_metrics(orders: DataFrame, as_of: Column) -> DataFrame:
-    """Order metrics per customer. A customer's set of channels is as small as the list of
-    channels, so it is gathered in the same aggregate as the sums."""
+    """Order metrics per customer, by way of one row per customer, day and channel."""
+    return customer_metrics(customer_days(orders), as_of)
+
+
+def customer_days(orders: DataFrame) -> DataFrame:
+    """Orders that count, per customer, day and channel."""
     kept = orders.where(~rules.is_cancelled("status")).where("customer_uid IS NOT NULL")
-    grouped = kept.groupBy("customer_uid").agg(
-        F.count("*").alias("total_orders"),
-        F.sum("total_amount_vnd").alias("lifetime_revenue_vnd"),
-        exact_mean("total_amount_vnd").alias("avg_order_value_vnd"),
+    return kept.groupBy("customer_uid", "order_date", "channel").agg(
+        F.count("*").alias("orders"), F.sum("total_amount_vnd").alias("revenue_vnd"),
+        F.count("total_amount_vnd").alias("priced_orders"))
+
+
+def customer_metrics(days: DataFrame, as_of: Column) -> DataFrame:
+    """A customer's set of channels is as small as the list of channels, so it is gathered in the same aggregate as the sums."""
+    of = lambda channel: F.coalesce(F.sum(F.when(F.col("channel") == channel, F.col("orders"))), F.lit(0).cast("bigint"))
+    grouped = days.groupBy("customer_uid").agg(
+        F.sum("orders").alias("total_orders"),
+        F.sum("revenue_vnd").alias("lifetime_revenue_vnd"),
+        safe_ratio(F.sum("revenue_vnd"), F.sum("priced_orders")).alias("avg_order_value_vnd"),
         F.size(F.collect_set("channel")).cast("bigint").alias("channels_used"),
         F.min("order_date").alias("first_order_date"),
         F.max("order_date").alias("last_order_date"),
-        count_where(F.col("channel") == "pos").alias("pos_orders"),
-        count_where(F.col("channel") == "ecommerce").alias("ecom_orders"))
+        of("pos").alias("pos_orders"),
+        of("ecommerce").alias("ecom_orders"))
     return grouped.select(
         "customer_uid", "total_orders", "channels_used",
         "lifetime_revenue_vnd", "avg_order_value_vnd", "first_order_date", "last_order_date",
@@ -95,6 +107,19 @@ def int_sessions(events: DataFrame) -> DataFrame:
             F.min("event_time").alias("session_start"),
             F.max("event_time").alias("session_end"),
             F.min("event_date").alias("session_date"))
-        .withColumn("session_duration_sec", seconds_between("session_start", "session_end"))
-        .withColumn("has_conversion", F.col("purchases") > 0)
+        .transform(_with_session_facts)
     )
+
+
+def _with_session_facts(sessions: DataFrame) -> DataFrame:
+    return sessions.withColumns({"session_duration_sec": seconds_between("session_start", "session_end"),
+                                 "has_conversion": F.col("purchases") > 0})
+
+
+def joined_sessions(parts: DataFrame) -> DataFrame:
+    """Sessions whose events came in several loads, as one row each."""
+    sums = ("total_events", "page_views", "add_to_carts", "purchases", "searches", "total_duration_ms")
+    joined = parts.groupBy(*SESSION_KEYS).agg(
+        *[F.sum(c).alias(c) for c in sums], F.min("session_start").alias("session_start"),
+        F.max("session_end").alias("session_end"), F.min("session_date").alias("session_date"))
+    return _with_session_facts(joined).select(*parts.columns)

@@ -4,16 +4,16 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.operators.quality import Check, gate, run_checks
+from martloom.operators.quality import Check, gate, observed, observed_report, run_checks
 from martloom.plans import intermediate, marts, staging
-from martloom.session import path_exists, write_once
+from martloom.plans.daily import PERIOD, fact_dates, partition_of, with_period
+from martloom.session import write_once
 from martloom.sources import sample
-from martloom.sources.tables import overwrite_partitions, replace_table
+from martloom.sources.store import TableStore
 
 # Fixed date for age calculations over the sample, whose newest sale is in 2001.
 SAMPLE_AS_OF = dt.date(2001, 12, 31)
@@ -41,8 +41,7 @@ MODELS: dict[str, Callable[[Lake], DataFrame]] = {
     "dim_customers": lambda x: marts.dim_customers(x.materialise("int_customers_unified"), x["int_customer_metrics"]),
     "dim_stores": lambda x: marts.dim_stores(x.raw("stores")),
     "dim_products": lambda x: marts.dim_products(x.raw("products")),
-    "dim_date": lambda x: marts.dim_date_over(
-        x.raw("pos_transactions").select(F.to_date("txn_timestamp")), x.raw("ecom_orders").select(F.to_date("order_date"))),
+    "dim_date": lambda x: marts.dim_date_over(*fact_dates(x.raw)),
     "fct_revenue_daily": lambda x: marts.fct_revenue_daily(x["int_orders_all_channels"]),
     "fct_revenue_monthly": lambda x: marts.fct_revenue_monthly(x["fct_revenue_daily"]),
     "fct_reconciliation": lambda x: marts.fct_reconciliation(
@@ -54,26 +53,11 @@ MODELS: dict[str, Callable[[Lake], DataFrame]] = {
     "fct_store_performance": lambda x: marts.fct_store_performance(x["fct_revenue_daily"], x["dim_stores"]),
 }
 
-# Tables of the full build, in order, with their partition column. Staging stays lazy
+# Tables of the full build, in order; their layout is the daily load's. Staging stays lazy
 # except for the till sales, whose deduplication several models would repeat.
-BUILD = {
-    "stg_pos__transactions": "txn_date",
-    "int_customers_unified": None,
-    "int_orders_all_channels": "order_date",
-    "int_customer_metrics": None,
-    "int_sessions": "session_date",
-    "dim_customers": None,
-    "dim_stores": None,
-    "dim_products": None,
-    "dim_date": None,
-    "fct_revenue_daily": "date_key",
-    "fct_revenue_monthly": None,
-    "fct_reconciliation": None,
-    "fct_campaign_performance": None,
-    "fct_funnel_daily": None,
-    "fct_inventory_alerts": None,
-    "fct_store_performance": "date_key",
-}
+BUILD = ("stg_pos__transactions", "int_customers_unified", "int_orders_all_channels", "int_customer_metrics", "int_sessions",
+         "dim_customers", "dim_stores", "dim_products", "dim_date", "fct_revenue_daily", "fct_revenue_monthly", "fct_reconciliation",
+         "fct_campaign_performance", "fct_funnel_daily", "fct_inventory_alerts", "fct_store_performance")
 
 
 class Lake:
@@ -118,62 +102,35 @@ class Lake:
         return [prefix + model for model in MODELS]
 
 
-def build_all(lake: Lake, root: str, checks: dict[str, list[Check]] | None = None,
-              partitions: dict[str, str | None] = BUILD) -> None:
-    """Full build: write every table in order.
-
-    A table is built aside and replaces the published one only when its checks pass; a failed check stops
-    what depends on it. Checks of staging models that are not built themselves run first.
-    """
-    for model in (m for m in checks or {} if m not in partitions and m in MODELS):
-        gate(model, run_checks(lake.materialise(model), checks[model]))
-    for model, partition in partitions.items():
-        path = f"{root.rstrip('/')}/{model}"
-        built = lake.materialise(model)
-        if checks and model in checks:
-            gate(model, run_checks(built, checks[model]))
-        replace_table(built, path, [partition] if partition else [])
-        lake.use_table(model, lake.spark.read.schema(built.schema).parquet(path))
-
-
-# Tables of a daily run: those that hold one partition a day, and those merged by key.
-DAY_TABLES = {"int_orders_all_channels": "order_date", "int_sessions": "session_date", "fct_revenue_daily": "date_key",
-              "fct_funnel_daily": "date_key", "fct_store_performance": "date_key"}
-MERGED_TABLES = {"dim_customers": ["customer_uid", "loyalty_member_id"], "dim_products": ["product_id"]}
+def checked_build(lake: Lake, checks: dict[str, list[Check]]) -> dict[str, DataFrame]:
+    """Write every checked model once and report on it; plain checks are gathered by the pass that writes."""
+    reports = {}
+    for model in dict.fromkeys([*(m for m in checks if m not in BUILD), *BUILD]):
+        if model not in checks:
+            lake.materialise(model)
+            continue
+        frame, seen = observed(lake[model], checks[model])
+        lake.use_table(model, write_once(frame, model))
+        reports[model] = observed_report(lake[model], checks[model], seen)
+    return {model: reports[model] for model in checks}
 
 
-def build_day(lake: Lake, root: str, day: dt.date, checks: dict[str, list[Check]] | None = None) -> None:
-    """Daily run: rewrite one day of the day tables and its month, merge customers and products.
+def build_all(lake: Lake, store: TableStore, checks: dict[str, list[Check]] | None = None,
+              grain: str = "day") -> int:
+    """Full build: write every table in order and show all of them in one commit.
 
-    All rows of the run are written aside and pass their checks before any table is touched. Every step
-    replaces what it owns, so running a day again changes nothing, whatever it died in.
+    Later models read the tables built before. Plain checks are observed while a table is written aside; a failed check
+    stops the build and leaves what is published as it is. Checks of staging models that are not built themselves run
+    first. Returns the store's new version.
     """
-    spark, at = lake.spark, lambda model: f"{root.rstrip('/')}/{model}"
-
-    def checked(model: str, frame: DataFrame) -> DataFrame:
-        rows = write_once(frame, model)
-        if checks and model in checks:
-            gate(model, run_checks(rows, checks[model]))
-        return rows
-
-    for model in (m for m in checks or {} if m.startswith("stg_")):
+    for model in (m for m in checks or {} if m not in BUILD and m in MODELS):
         gate(model, run_checks(lake.materialise(model), checks[model]))
-    days = {m: checked(m, lake[m].where(F.col(column) == F.lit(day))) for m, column in DAY_TABLES.items()}
-    merged = {m: checked(m, lake[m]) for m in MERGED_TABLES}
-    for model, rows in days.items():
-        overwrite_partitions(rows, at(model), [DAY_TABLES[model]])
-    month = F.trunc(F.lit(day), "month")
-    monthly = marts.fct_revenue_monthly(spark.read.schema(days["fct_revenue_daily"].schema).parquet(at("fct_revenue_daily")))
-    overwrite_partitions(checked("fct_revenue_monthly", monthly.where(F.col("month_key") == month)), at("fct_revenue_monthly"), ["month_key"])
-    for model, rows in merged.items():
-        replace_table(_with_kept(spark, at(model), rows, MERGED_TABLES[model]), at(model))
-
-
-def _with_kept(spark: SparkSession, path: str, rows: DataFrame, keys: list[str]) -> DataFrame:
-    """The new rows and the published ones whose key they do not have, as a table of their own."""
-    if not path_exists(spark, f"{path}/_SUCCESS"):
-        return rows
-    published = spark.read.schema(rows.schema).parquet(path)
-    same = reduce(Column.__and__, [F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in keys])
-    kept = published.alias("old").join(rows.select(*keys).alias("new"), same, "left_anti")
-    return write_once(rows.unionByName(kept), "merged")
+    work = store.begin()
+    for model in BUILD:
+        wanted = (checks or {}).get(model, [])
+        frame, seen = observed(with_period(model, lake[model], grain), wanted)
+        work.replace(model, frame, partition_of(model))
+        lake.use_table(model, work.read(model).drop(PERIOD))
+        if wanted:
+            gate(model, observed_report(lake[model], wanted, seen))
+    return work.commit()

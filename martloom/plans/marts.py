@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions import rules
@@ -12,12 +10,10 @@ from martloom.functions.columns import calendar_parts, count_where, exact_mean,
 from martloom.operators.dedup import latest_snapshot
 from martloom.operators.joins import with_dims
 from martloom.operators.ranking import global_ntile, rank_within, with_growth
-from martloom.operators.shaping import date_spine, pivot_sum, union_all
+from martloom.operators.shaping import pivot_sum, union_all
+from martloom.plans.staging import SNAPSHOT_TIES
 from martloom.session import write_once
 
-# The calendar's first and last day.
-CALENDAR = (dt.date(2022, 1, 1), dt.date(2026, 12, 31))
-
 RFM_ORDERS = {"recency_score": "days_since_last_order", "frequency_score": "total_orders",
               "monetary_score": "lifetime_revenue_vnd"}
 
@@ -52,10 +48,6 @@ def dim_products(products: DataFrame) -> DataFrame:
         "margin_vnd": price - cost, "margin_pct": safe_ratio(price - cost, price)})
 
 
-def dim_date(spark: SparkSession, start: dt.date = CALENDAR[0], end: dt.date = CALENDAR[1]) -> DataFrame:
-    return date_spine(spark, start, end).withColumns(calendar_parts("date_key"))
-
-
 def dim_date_over(*dates: DataFrame) -> DataFrame:
     """Calendar of the whole years that one-column frames of fact dates span; no date, no rows."""
     ends = union_all(*[d.toDF("d") for d in dates]).agg(
@@ -82,14 +74,22 @@ def fct_revenue_daily(orders: DataFrame) -> DataFrame:
 def fct_revenue_monthly(daily: DataFrame, orders: DataFrame | None = None) -> DataFrame:
     """Monthly totals and growth. ``unique_customers`` adds the daily distinct counts up,
     as defined; pass ``orders`` to add the true monthly distinct count."""
-    month = month_start("date_key").alias("month_key")
-    monthly = daily.groupBy(month).agg(
-        *[F.sum(c).alias(c) for c in ("total_orders", "unique_customers", "total_revenue_vnd", "net_revenue_vnd")])
-    monthly = monthly.withColumn("avg_order_value_vnd", safe_ratio("total_revenue_vnd", "total_orders"))
+    monthly = monthly_sums(daily)
     if orders is not None:
         true_count = (orders.where(~rules.is_cancelled("status")).groupBy(month_start("order_date").alias("month_key"))
                       .agg(F.countDistinct("customer_uid").alias("monthly_distinct_customers")))
         monthly = monthly.join(true_count, "month_key", "left")
+    return monthly_growth(monthly)
+
+
+def monthly_sums(daily: DataFrame) -> DataFrame:
+    """Totals of whole months."""
+    sums = daily.groupBy(month_start("date_key").alias("month_key")).agg(
+        *[F.sum(c).alias(c) for c in ("total_orders", "unique_customers", "total_revenue_vnd", "net_revenue_vnd")])
+    return sums.withColumn("avg_order_value_vnd", safe_ratio("total_revenue_vnd", "total_orders"))
+
+
+def monthly_growth(monthly: DataFrame) -> DataFrame:
     return with_growth(monthly, "month_key", "total_revenue_vnd", "prev_month_revenue_vnd", "mom_growth_rate")
 
 
@@ -152,7 +152,7 @@ def fct_funnel_daily(sessions: DataFrame) -> DataFrame:
 # --- operations -------------------------------------------------------------
 
 def fct_inventory_alerts(stock: DataFrame, products: DataFrame, stores: DataFrame) -> DataFrame:
-    newest = latest_snapshot(stock, ["qty_on_hand", "product_id", "qty_reserved"])
+    newest = latest_snapshot(stock, SNAPSHOT_TIES)
     short = newest.where(F.col("qty_available") < F.col("reorder_point"))
     levels = ("qty_available", "safety_stock_threshold", "reorder_point")
     return with_dims(

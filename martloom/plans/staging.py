@@ -11,6 +11,12 @@ from martloom.functions.columns import email_normalize, phone_digits
 from martloom.operators.dedup import latest_per_key
 from martloom.operators.shaping import require_keys, select_typed, union_all
 
+# Which of several rows of one key and time counts.
+ORDER_TIES = ("status", "total_amount_vnd")
+CUSTOMER_TIES = ("email", "phone_raw")
+PAYMENT_TIES = ("status", "amount_vnd", "order_ref")
+SNAPSHOT_TIES = ("qty_on_hand", "product_id", "qty_reserved")
+
 PAYMENT_COLUMNS = ("payment_id", "order_ref", "gateway", "amount_vnd", "fee_vnd", "status",
                    "bank_code", "paid_at", "payment_date")
 
@@ -28,9 +34,13 @@ def stg_pos_transactions(raw: DataFrame) -> DataFrame:
         ("txn_timestamp", "txn_timestamp", "timestamp"),
         ("txn_timestamp", "txn_date", "date"),
     ])
-    ties = [F.desc_nulls_last("total_amount_vnd"), "store_id", F.get("items", F.lit(0))["product_id"],
+    return latest_per_key(typed, ["txn_id"], "txn_timestamp", pos_ties())
+
+
+def pos_ties() -> list[Column | str]:
+    """Which of several rows of one sale and time counts."""
+    return [F.desc_nulls_last("total_amount_vnd"), "store_id", F.get("items", F.lit(0))["product_id"],
             "num_items", "discount_amount_vnd", "tax_amount_vnd", "payment_method"]
-    return latest_per_key(typed, ["txn_id"], "txn_timestamp", ties)
 
 
 def stg_ecommerce_orders(raw: DataFrame) -> DataFrame:
@@ -46,7 +56,7 @@ def stg_ecommerce_orders(raw: DataFrame) -> DataFrame:
         ("created_at", "created_at", "timestamp"),
         ("updated_at", "updated_at", "timestamp"),
     ])
-    return latest_per_key(typed, ["order_id"], "updated_at", ["status", "total_amount_vnd"])
+    return latest_per_key(typed, ["order_id"], "updated_at", ORDER_TIES)
 
 
 def stg_ecommerce_customers(raw: DataFrame) -> DataFrame:
@@ -55,7 +65,7 @@ def stg_ecommerce_customers(raw: DataFrame) -> DataFrame:
         "gender", "date_of_birth", "registration_source",
         F.col("created_at").try_cast("timestamp").alias("registered_at"),
         F.col("updated_at").try_cast("timestamp").alias("updated_at"))
-    return latest_per_key(typed, ["ecom_customer_id"], "updated_at", ["email", "phone_raw"])
+    return latest_per_key(typed, ["ecom_customer_id"], "updated_at", CUSTOMER_TIES)
 
 
 def stg_loyalty_members(raw: DataFrame) -> DataFrame:
@@ -85,18 +95,18 @@ def _payment(raw: DataFrame, gateway: str, payment_id: str, order_ref: str, amou
         paid_at.alias("paid_at"), paid_at.cast("date").alias("payment_date"))
 
 
-def _newest_payment(payments: DataFrame) -> DataFrame:
-    return latest_per_key(payments, ["payment_id"], "paid_at", ["status", "amount_vnd", "order_ref"])
+def newest_payment(payments: DataFrame) -> DataFrame:
+    return latest_per_key(payments, ["payment_id"], "paid_at", PAYMENT_TIES)
 
 
 def stg_payments_vnpay(raw: DataFrame) -> DataFrame:
-    return _newest_payment(_payment(
+    return newest_payment(_payment(
         raw, "vnpay", "vnp_txn_ref", "vnp_order_info", F.col("vnp_amount").try_cast("bigint"),
         F.lit(0).cast("bigint"), "vnp_response_code", F.col("vnp_bank_code"), "vnp_pay_date"))
 
 
 def stg_payments_momo(raw: DataFrame) -> DataFrame:
-    return _newest_payment(_payment(
+    return newest_payment(_payment(
         raw, "momo", "trans_id", "order_id", F.col("amount").try_cast("bigint"),
         F.lit(0).cast("bigint"), "result_code", F.lit(None).cast("string"), "response_time"))
 

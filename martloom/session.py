@@ -91,11 +91,6 @@ def _file_system(spark: SparkSession, path: str):
     return handle.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), handle
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    files, handle = _file_system(spark, path)
-    return files.exists(handle)
-
-
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder that this library wrote and no later plan reads."""
     files, handle = _file_system(spark, path)

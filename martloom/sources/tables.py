@@ -1,17 +1,15 @@
-"""Writers: append, day overwrite, replace, merge, retention, compaction."""
+"""Writers of plain folders: append, day overwrite, replace, records, backfill, compaction."""
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.operators.changes import merge_by_key
 from martloom.operators.shaping import union_all
-from martloom.session import cut_lineage, remove_path, workspace
+from martloom.session import remove_path, workspace
 
 MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
@@ -81,42 +79,6 @@ def backfill(df: DataFrame, transform: Callable[[DataFrame], DataFrame], path: s
     overwrite_partitions(transform(days), path, [partition])
 
 
-def merge_table(spark: SparkSession, path: str, updates: DataFrame, key: Sequence[str], version: str,
-                partition: str, tie_break: Sequence[Column | str]) -> None:
-    """Upsert into a partitioned parquet table, rewriting only touched partitions.
-
-    A partition is touched when an update belongs to it or when it holds an older row
-    of an updated key; the partition of null values is one like any other. The merged rows go
-    to a table of their own first: nothing is overwritten while it is still being read. Rows
-    are written before emptied partitions go, so a merge that dies in between leaves an old row
-    beside its newer version, and merging again mends it. Among rows of one key and version
-    ``tie_break`` decides, so a replay keeps the same row.
-    """
-    target = spark.read.parquet(path)
-    same_key = reduce(Column.__and__, [F.col(f"t.{k}").eqNullSafe(F.col(f"u.{k}")) for k in key])
-    changed = updates.select(*key).distinct()
-    holding = target.alias("t").join(changed.alias("u"), same_key, "left_semi").select(partition)
-    touched = cut_lineage(holding.union(updates.select(F.col(partition).cast(target.schema[partition].dataType))).distinct())
-    same_part = F.col(f"t.{partition}").eqNullSafe(F.col(f"p.{partition}"))
-    old = target.alias("t").join(touched.alias("p"), same_part, "left_semi")
-    merged = merge_by_key(old, updates.select(*target.columns), key, version, tie_break)
-    staged = workspace(spark, "merge")
-    append_table(merged, staged, [partition])
-    rewritten = spark.read.schema(target.schema).parquet(staged)
-    emptied = touched.alias("t").join(rewritten.select(partition).distinct().alias("p"), same_part, "left_anti")
-    overwrite_partitions(rewritten, path, [partition])
-    drop_partitions(spark, path, partition, emptied)
-    remove_path(spark, staged)
-
-
-def drop_partitions(spark: SparkSession, path: str, partition: str, values: DataFrame) -> None:
-    """Remove whole partition folders, named as Spark names them."""
-    name_of = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
-    # One value per dropped partition folder: bounded by the table's partition count.
-    for row in values.select(F.col(partition).cast("string")).toLocalIterator():
-        remove_path(spark, f"{path.rstrip('/')}/{name_of(partition, row[0])}")
-
-
 def compact(spark: SparkSession, path: str, partition: str, where: Column | None = None) -> None:
     """Rewrite the many small files of some partitions as few, in place; all partitions without ``where``.
 

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from martloom.operators.dedup import latest_per_key
-from martloom.session import path_exists, remove_path, workspace
-from martloom.sources.tables import merge_table, replace_table
+from martloom.session import workspace, write_once
+from martloom.sources.store import TableStore
 
 
 def start(df: DataFrame, out: str, checkpoint: str, every: str | None = None,
@@ -32,30 +32,24 @@ def drain(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(f"{folder}/out")
 
 
-def upsert(df: DataFrame, out: str, checkpoint: str, key: Sequence[str], version: str, partition: str,
-           tie_break: Sequence[Column | str]) -> StreamingQuery:
-    """Keep the newest version per key in a partitioned table, batch by batch.
+def upsert(df: DataFrame, store: TableStore, table: str, checkpoint: str, key: Sequence[str], version: str,
+           partition: str | None, tie_break: Sequence[Column | str]) -> StreamingQuery:
+    """Keep the newest version per key in a stored table, batch by batch.
 
-    Replaying a batch after a failure merges the same rows again, which changes nothing: ``tie_break``
-    orders rows of one key and version. A first batch that died while writing left no success
-    marker, so its replay starts the table afresh. The batch's copy goes once it is merged.
+    The commit names the batch, so one that is replayed after a failure is found in the log and changes nothing;
+    readers see a batch whole or not at all. ``tie_break`` orders rows of one key and version.
     """
-    return (df.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).foreachBatch(upsert_batch(out, key, version, partition, tie_break)).start())
+    return (df.writeStream.outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True)
+            .foreachBatch(upsert_batch(store.root, table, checkpoint, key, version, partition, tie_break)).start())
 
 
-def upsert_batch(out: str, key: Sequence[str], version: str, partition: str,
+def upsert_batch(root: str, table: str, writer: str, key: Sequence[str], version: str, partition: str | None,
                  tie_break: Sequence[Column | str]) -> Callable[[DataFrame, int], None]:
-    """What ``upsert`` does with each batch."""
+    """What ``upsert`` does with each batch. ``writer`` names the stream in the log."""
     def write(rows: DataFrame, batch: int) -> None:
-        session = rows.sparkSession
-        copy = workspace(session, "batch")  # the merge reads the batch several times
-        rows.write.parquet(copy)
-        taken = session.read.schema(rows.schema).parquet(copy)
-        if path_exists(session, f"{out.rstrip('/')}/_SUCCESS"):
-            merge_table(session, out, taken, key, version, partition, tie_break)
-        elif not taken.isEmpty():
-            replace_table(latest_per_key(taken, key, version, tie_break), out, [partition])
-        remove_path(session, copy)
+        store = TableStore(rows.sparkSession, root)
+        # The merge reads the batch several times. Its newest rows are all that can count.
+        taken = write_once(latest_per_key(rows, key, version, tie_break), "batch")
+        store.merge(table, taken, key, version, partition, tie_break, writer, batch)
 
     return write
