@@ -95,17 +95,14 @@ def with_late_rows_aside(events: DataFrame, store: TableStore, table: str, check
 
     def step(work: Transaction, rows: DataFrame) -> dict:
         held = work.before.marks.get(mark)
-        seen = Observation()
-        taken = write_once(rows.observe(seen, F.max(F.col(ts).cast("timestamp")).alias("newest"), F.count("*").alias("n")), "batch")
+        taken = write_once(rows, "batch")
         line = F.lit(held).cast("timestamp")
         late = F.col(ts).isNull() | F.coalesce(F.col(ts) < line, F.lit(False))
         work.append(table, taken.where(~late), day)
         work.append(late_table(table), taken.where(late), day)
-        newest = seen.get["newest"]
-        if newest is None:
-            return {}
-        moved = rows.sparkSession.range(1).select(F.greatest(line, F.lit(newest) - F.expr(f"INTERVAL {delay}")).cast("string")).first()[0]
-        return {mark: moved}
+        newest = F.max(F.col(ts).cast("timestamp")) - F.expr(f"INTERVAL {delay}")
+        moved = taken.agg(F.greatest(line, newest).cast("string")).first()[0]
+        return {} if moved is None else {mark: moved}
 
     return each_batch(events, store, checkpoint, step)
 
@@ -113,9 +110,12 @@ def with_late_rows_aside(events: DataFrame, store: TableStore, table: str, check
 def take_late_rows(store: TableStore, table: str, day: str) -> int:
     """The daily correction: late rows move into the table, in one commit. Returns how many; a second run finds none."""
     work, name = store.begin(), late_table(table)
+    days = {d for d in work.contents.runs[name] if d is not None}
+    if not days:
+        return 0
     seen = Observation()
     work.append(table, work.read(name).where(F.col(day).isNotNull()).observe(seen, F.count("*").alias("n")), day)
-    work.drop(name, {d for d in work.contents.runs[name] if d is not None})
+    work.drop(name, days)
     work.commit()
     return seen.get["n"]
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from martloom.operators import quality, reconcile
 from martloom.operators.quality import Check, QualityGateError, gate, run_checks
 from martloom.plans.checks import declared_checks
+from martloom.sources.store import TableStore
 from martloom.plans.lake import BUILD, MODELS, Lake, build_all
 from martloom.plans.marts import dim_customers
 
@@ -80,9 +81,9 @@ def test_full_build_writes_every_table_and_checks_run(spark, small, tmp_path):
     fresh = Lake.over_sample(spark, small)
     declared = declared_checks(fresh, F.lit(dt.datetime(2001, 12, 31)))
     assert set(declared) <= set(MODELS)
-    build_all(fresh, str(tmp_path), {"fct_revenue_daily": [Check.row_count(), Check.missing("total_revenue_vnd")]},
-              {**dict.fromkeys(BUILD), "int_sessions": "session_date"})
-    built = {m: spark.read.parquet(f"{tmp_path}/{m}") for m in BUILD}
+    store = TableStore(spark, str(tmp_path))
+    build_all(fresh, store, {"fct_revenue_daily": [Check.row_count(), Check.missing("total_revenue_vnd")]}, "year")
+    built = {m: store.read(m) for m in BUILD}
     lazy = Lake.over_sample(spark, small)
     for model in ("fct_revenue_daily", "dim_customers", "fct_store_performance"):
         assert built[model].count() == lazy[model].count()
@@ -94,8 +95,15 @@ def test_full_build_writes_every_table_and_checks_run(spark, small, tmp_path):
 def test_failed_gate_stops_the_build(spark, small, tmp_path):
     fresh = Lake.over_sample(spark, small)
     with pytest.raises(QualityGateError):
-        build_all(fresh, str(tmp_path), {"int_customers_unified": [Check.duplicates("customer_uid")]}, dict.fromkeys(BUILD))
-    assert not (tmp_path / "int_orders_all_channels").exists()
+        build_all(fresh, TableStore(spark, str(tmp_path)), {"int_customers_unified": [Check.duplicates("customer_uid")]}, "year")
+    assert not (tmp_path / "int_orders_all_channels").exists() and not TableStore(spark, str(tmp_path)).exists("stg_pos__transactions")
+
+
+def test_every_fact_day_is_in_the_calendar(spark, lake):
+    calendar = lake.materialise("dim_date").select("date_key")
+    for fact in ("fct_revenue_daily", "fct_reconciliation", "fct_campaign_performance", "fct_funnel_daily", "fct_inventory_alerts",
+                 "fct_store_performance"):
+        assert lake[fact].where("date_key IS NOT NULL").join(calendar, "date_key", "left_anti").isEmpty(), fact
 
 
 def test_model_views_answer_sql(spark, small):

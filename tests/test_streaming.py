@@ -1,5 +1,4 @@
 import datetime as dt
-import os
 
 import pytest
 
@@ -8,7 +7,8 @@ from martloom.operators.sessions import sessions_by_gap
 from martloom.sources import tables
 from martloom.streaming import live
 from martloom.sources.sample import raw_stream, raw_view
-from martloom.streaming.sinks import drain, start, upsert, upsert_batch
+from martloom.sources.store import TableStore
+from martloom.streaming.sinks import drain, start, upsert
 from pyspark.sql import functions as F
 
 
@@ -88,36 +88,13 @@ def test_sliding_alerts_see_the_lowest_level(spark):
 
 def test_upsert_keeps_the_newest_version_per_key(spark, tmp_path):
     schema = "k string, v int, dt date"
-    out, source = f"{tmp_path}/out", f"{tmp_path}/in"
+    store, source = TableStore(spark, f"{tmp_path}/out"), f"{tmp_path}/in"
     day = dt.date(2024, 1, 1)
     for batch in ([("a", 1, day), ("a", 2, day), ("b", 5, day)], [("a", 3, dt.date(2024, 1, 2)), ("b", 4, day)]):
         spark.createDataFrame(batch, schema).write.mode("append").parquet(source)
         stream = spark.readStream.schema(schema).parquet(source)
-        upsert(stream, out, f"{tmp_path}/ckpt", ["k"], "v", "dt", ["k"]).awaitTermination()
-    assert rows(spark.read.parquet(out).select("k", "v")) == [("a", 3), ("b", 5)]
-
-
-def test_upsert_replays_after_dying_in_any_write(spark, tmp_path, monkeypatch):
-    """A batch that dies before, between or after its writes gives the same table when it runs again."""
-    schema = "k string, v int, note string, part string"
-    first = spark.createDataFrame([("a", 1, "x", "p"), ("b", 1, "x", None), ("c", 1, "x", "q:1")], schema)
-    second = spark.createDataFrame([("a", 2, "y", "q:1"), ("a", 2, "z", "q:1"), ("c", 2, "x", None), ("d", 1, "x", None)], schema)
-    want = [("a", 2, "z", "q:1"), ("b", 1, "x", None), ("c", 2, "x", None), ("d", 1, "x", None)]
-    for broken in (None, "overwrite_partitions", "drop_partitions", "remove_path"):
-        out = f"{tmp_path}/{broken}"
-        first.limit(1).write.partitionBy("part").parquet(out)  # half of a first batch, its marker not yet written
-        os.remove(f"{out}/_SUCCESS")
-        batch = upsert_batch(out, ["k"], "v", "part", [F.desc("note")])
-        batch(first, 0)
-        if broken:
-            with monkeypatch.context() as patch:
-                patch.setattr(tables, broken, lambda *_: (_ for _ in ()).throw(RuntimeError("killed")))
-                with pytest.raises(RuntimeError):
-                    batch(second, 1)
-        batch(second, 1)
-        batch(second, 1)
-        got = spark.read.schema(schema).parquet(out).select("k", "v", "note", "part").collect()
-        assert sorted(map(tuple, got)) == want
+        upsert(stream, store, "t", f"{tmp_path}/ckpt", ["k"], "v", "dt", ["k"]).awaitTermination()
+    assert rows(store.read("t").select("k", "v")) == [("a", 3), ("b", 5)]
 
 
 def test_streams_read_folders_of_part_files(spark, small, tmp_path):

@@ -31,24 +31,6 @@ def test_replace_drops_everything_else(spark, tmp_path):
     assert rows(spark.read.parquet(path).select("id")) == [(3,)]
 
 
-def test_merge_moves_a_row_to_another_partition(spark, tmp_path):
-    path = f"{tmp_path}/t"
-    tables.append_table(days(spark, (1, 1, 1), (2, 1, 2), (3, 1, 2)), path, ["dt"])
-    for _ in range(2):
-        tables.merge_table(spark, path, days(spark, (1, 5, 2), (4, 1, 3)), ["id"], "v", "dt", ["id"])
-    assert rows(spark.read.parquet(path).select("id", "v", F.dayofmonth("dt"))) == [(1, 5, 2), (2, 1, 2), (3, 1, 2), (4, 1, 3)]
-
-
-def test_merge_keeps_null_and_escaped_partitions(spark, tmp_path):
-    path, schema = f"{tmp_path}/t", "id int, v int, part string"
-    tables.append_table(spark.createDataFrame([(1, 1, None), (2, 1, None), (3, 1, "2000"), (5, 1, "a:b")], schema), path, ["part"])
-    updates = spark.createDataFrame([(4, 1, None), (5, 2, "z"), (3, 2, None)], schema)
-    for _ in range(2):
-        tables.merge_table(spark, path, updates, ["id"], "v", "part", ["id"])
-    got = spark.read.schema(schema).parquet(path).select("id", "v", "part").collect()
-    assert sorted(map(tuple, got)) == [(1, 1, None), (2, 1, None), (3, 2, None), (4, 1, None), (5, 2, "z")]
-
-
 def test_insert_if_absent_is_idempotent(spark, tmp_path):
     path = f"{tmp_path}/t"
     tables.append_table(days(spark, (1, 1, 1)), path)
