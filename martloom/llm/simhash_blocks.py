@@ -125,12 +125,12 @@ def _bucket_links(masks: list[int]):
         for begin, size in zip(begins[sizes > 1].tolist(), sizes[sizes > 1].tolist()):
             part = rows[begin:begin + size]
             for i, j in close_tree(part[:, 2].view(np.uint64), masks[int(part[0, 0])]):
-                a.append(int(part[i, 3]))
-                b.append(int(part[j, 3]))
+                a.append(int(part[i, 2]))
+                b.append(int(part[j, 2]))
         return a, b
 
-    def step(choice, key, fp, rep):
-        rows = np.array([choice, key, fp, rep], np.int64).T
+    def step(choice, key, fp):
+        rows = np.array([choice, key, fp], np.int64).T
         held.append(np.ascontiguousarray(rows))
         if (rows[-1, :2] == held[0][0, :2]).all():
             return None
@@ -150,31 +150,59 @@ def _bucket_links(masks: list[int]):
     return step
 
 
+def _components(prints: DataFrame) -> DataFrame:
+    """``fp, root_fp, component_id`` of every distinct fingerprint of ``(doc_id, fp)``.
+
+    The graph's nodes are fingerprints, so an id that stands for several texts connects nothing.
+    """
+    nodes = write_once(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "distinct-fingerprints")
+    masks = block_masks()
+    keyed = nodes.where("rep IS NOT NULL").select(
+        F.explode(F.array(*[F.struct(F.lit(i).alias("choice"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key"))
+                            for i, m in enumerate(masks)])).alias("k"), "fp").select("k.choice", "k.key", "fp")
+    buckets = keyed.repartition("choice", "key").sortWithinPartitions("choice", "key")
+    links = map_batches(buckets, ["choice", "key", "fp"], "a bigint, b bigint", lambda: _bucket_links(masks))
+    rooted = nodes.join(component_roots(links), F.col("fp") == F.col("node"), "left").select(
+        "fp", "rep", F.coalesce("root", "fp").alias("root_fp"))
+    rooted = write_once(rooted, "fingerprint-roots")
+    least = rooted.groupBy(F.col("root_fp").alias("of")).agg(F.min("rep").alias("component_id"))
+    return rooted.join(least, F.col("root_fp") == F.col("of")).select("fp", "root_fp", "component_id")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` of every row.
+    """``doc_id, fingerprint, component_id`` of every row; ids keep their type.
 
     Documents without words have fingerprint zero and are linked like others. Rows with a null id get the
     component of their fingerprint's identified rows (null if there is none) and link nothing themselves.
     Rows with one id and different texts connect nothing by their id. Only ``doc_id`` and ``text`` are read.
     """
     prints = write_once(with_fingerprints(docs), "fingerprints")
-    nodes = write_once(prints.groupBy("fp").agg(F.min("doc_id").cast("bigint").alias("rep")), "distinct-fingerprints")
-    masks = block_masks()
-    keyed = nodes.where("rep IS NOT NULL").select(
-        F.explode(F.array(*[F.struct(F.lit(i).alias("choice"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key"))
-                            for i, m in enumerate(masks)])).alias("k"), "fp", "rep").select("k.choice", "k.key", "fp", "rep")
-    buckets = keyed.repartition("choice", "key").sortWithinPartitions("choice", "key")
-    links = map_batches(buckets, ["choice", "key", "fp", "rep"], "a bigint, b bigint", lambda: _bucket_links(masks))
-    roots = component_roots(links)
-    labelled = nodes.join(roots, nodes.rep == roots.node, "left").select(
-        F.col("fp").alias("node_fp"), F.coalesce("root", "rep").alias("component_id"))
+    labelled = _components(prints).withColumnRenamed("fp", "node_fp")
     return prints.join(labelled, prints.fp == labelled.node_fp).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows whose id names their component, one for each id; rows with a null id stay as they are."""
-    roots = near_duplicates(docs).select("doc_id", "component_id").where("doc_id = component_id").select(
-        F.col("doc_id").alias("root_id")).distinct()
-    kept = docs.join(roots, docs.doc_id == roots.root_id, "inner").drop("root_id").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+    """One row of every component: that of the smallest (id, fingerprint); rows with a null id stay as they are.
+
+    Where an id stands for several texts, each of them is judged by its own fingerprint. Of rows equal in id and fingerprint
+    any one stays. Empty texts are copies of each other. Columns of any name stay as they are.
+    """
+    prints = write_once(with_fingerprints(docs), "fingerprints").where("doc_id IS NOT NULL")
+    chosen = prints.join(_components(prints).withColumnRenamed("fp", "node_fp"), F.col("fp") == F.col("node_fp")).groupBy("root_fp").agg(
+        F.min(F.struct("doc_id", "fp")).alias("least")).select(F.col("least.doc_id").alias("_kept_id"), F.col("least.fp").alias("_kept_fp"))
+    repeated = prints.groupBy(F.col("doc_id").alias("_repeated_id")).agg(F.count("*").alias("_times")).where("_times > 1")
+    marked = write_once(chosen.join(repeated, F.col("_kept_id") == F.col("_repeated_id"), "left").select(
+        "_kept_id", "_kept_fp", F.col("_repeated_id").isNotNull().alias("_several")), "kept-documents")
+    alone = docs.join(marked.where(~F.col("_several")).select("_kept_id"), docs.doc_id == F.col("_kept_id"), "left_semi")
+    several = marked.where("_several")
+    shared = docs.join(several.select("_kept_id").distinct(), docs.doc_id == F.col("_kept_id"), "left_semi")
+    names = shared.columns
+
+    def make():
+        at = names.index("text")
+        return lambda *columns: {"_fp": [_signed(fingerprint(t)) for t in columns[at]]} | dict(zip(names, columns))
+
+    printed = map_batches(shared, names, docs.select(*names).schema.add("_fp", "long"), make)
+    one = printed.join(several, (printed.doc_id == F.col("_kept_id")) & (F.col("_fp") == F.col("_kept_fp")), "left_semi")
+    return alone.unionByName(one.dropDuplicates(["doc_id", "_fp"]).drop("_fp")).unionByName(docs.where(F.col("doc_id").isNull()))

@@ -317,3 +317,34 @@ def test_maps_grow_evenly_and_rebalance_by_weight():
     load = lambda m: [sum(w for s, w in weights.items() if m[s] == k) for k in range(16)]
     assert max(load(moved)) <= max(load(held)) and max(load(moved)) - min(load(moved)) <= max(load(held)) - min(load(held))
     assert slot_shards.rebalanced(held, {}) == held
+
+
+def test_an_id_of_several_texts_loses_none(spark):
+    """Rows of one id are judged by their own texts; an id connects nothing."""
+    a, b, c = ("alpha beta gamma delta " * 5, "one two three four five " * 5, "red green blue cyan teal " * 5)
+    table = [(3, a), (3, b), (5, b), (7, a), (None, a), (9, c), (9, c), (2, c), (None, None), (11, ""), (12, None), (4, a), (4, c)]
+    docs = with_clashes(documents(spark, table), ("_id", "rep", "root_fp", "choice", "node_fp"))
+    kept = simhash_blocks.one_of_each(docs)
+    assert set(kept.columns) == set(docs.columns)
+    assert rows(kept, "doc_id", "text") == rows(documents(spark, [(3, a), (3, b), (2, c), (None, a), (None, None), (11, "")]), "doc_id", "text")
+    found = {(r.doc_id, r.fingerprint): r.component_id for r in simhash_blocks.near_duplicates(docs).collect()}
+    print_of = {t: f"{simhash_blocks.fingerprint(t):016x}" for t in (a, b, c)}
+    assert found[7, print_of[a]] == 3 and found[5, print_of[b]] == 3 and found[9, print_of[c]] == 2
+    assert simhash_blocks.one_of_each(docs.limit(0)).count() == 0
+    texts = docs.withColumn("doc_id", docs.doc_id.cast("string"))
+    assert simhash_blocks.one_of_each(texts).count() == kept.count()
+
+
+def test_candidates_between_many_findings():
+    """One pass over both lists gives what looking at every finding gives."""
+    rng = random.Random(4)
+    parts = [f"token={'a1' * 8}", "0f" * 16, "Zz9" * 8, "AKIA" + "Q7" * 9, "word", "password=short1", "x9" * 12 + "." + "ab0" * 11]
+    text = "".join(rng.choice(parts) + rng.choice([" ", "/", ".", "=", ", "]) for _ in range(6000))
+    taken = secret_cnn.rule_spans(text)
+    got = secret_cnn.candidates(text, taken)
+    near = [[t for t in taken if t[0] < m.end() and m.start() < t[1]] for m in secret_cnn._CANDIDATE.finditer(text)]
+    alone = []
+    for m, some in zip(secret_cnn._CANDIDATE.finditer(text), near):
+        alone += [(a + m.start(), b + m.start()) for a, b in secret_cnn.candidates(
+            m.group(0), [(max(s - m.start(), 0), e - m.start(), k) for s, e, k in some])]
+    assert got == alone and len(got) > 500 and len(taken) > 2000
