@@ -49,12 +49,17 @@ def rule_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Key-like runs with letters and digits, and what rule findings leave of them."""
-    out = []
+    """Key-like runs with letters and digits, and what rule findings leave of them. Both lists are in order and read once."""
+    out, first = [], 0
     for m in _CANDIDATE.finditer(text):
         at, pieces = m.start(), []
-        for s, e, _ in taken:
-            if s < m.end() and at < e:
+        while first < len(taken) and taken[first][1] <= at:
+            first += 1
+        for i in range(first, len(taken)):
+            s, e, _ = taken[i]
+            if s >= m.end():
+                break
+            if at < e:
                 pieces.append((at, s))
                 at = e
         for start, end in [*pieces, (at, m.end())]:
