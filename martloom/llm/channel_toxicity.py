@@ -13,7 +13,9 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -88,53 +90,103 @@ def character_model(docs: DataFrame) -> np.ndarray:
     return np.log((tri + 5 * second[None]) / (tri.sum(axis=2, keepdims=True) + 5)).astype(np.float32)
 
 
-def lattice(token: str) -> list[list[tuple[str, float]]]:
+@cache
+def _readings(char: str, run: int) -> tuple[tuple[str, float], ...]:
+    """Readings of a run of one character with their channel costs; runs of three and more are read alike."""
+    readings: list[tuple[str, float]] = []
+    for letter, cost in [(char, 0.0)] * char.isalpha() + [(x, COST_SWAP) for x in LEET.get(char, "")]:
+        if run == 1:
+            readings.append((letter, cost))
+        else:
+            readings.append((letter, cost + (COST_DOUBLE if run == 2 else COST_REPEAT)))
+            readings.append((letter * 2, cost + (0.0 if run == 2 else COST_REPEAT)))
+    if not char.isalpha():
+        wide = char == " " and run > 1
+        readings.append(("", COST_BREAK if wide else COST_FILLER if char in FILLERS or char == " " else COST_DROP))
+        readings.append((" ", 0.0 if wide else COST_BREAK if char in FILLERS or char == " " else COST_DROP))
+    return tuple(readings)
+
+
+def lattice(token: str) -> Iterator[tuple[tuple[str, float], ...]]:
     """Readings of each run of equal characters of a lower-case token, with their channel costs."""
-    out = []
-    i = 0
-    while i < len(token):
-        j = i
-        while j < len(token) and token[j] == token[i]:
+    i, n = 0, len(token)
+    while i < n:
+        j = i + 1
+        while j < n and token[j] == token[i]:
             j += 1
-        char, run = token[i], j - i
-        readings: list[tuple[str, float]] = []
-        for letter, cost in [(char, 0.0)] * char.isalpha() + [(x, COST_SWAP) for x in LEET.get(char, "")]:
-            if run == 1:
-                readings.append((letter, cost))
-            else:
-                readings.append((letter, cost + (COST_DOUBLE if run == 2 else COST_REPEAT)))
-                readings.append((letter * 2, cost + (0.0 if run == 2 else COST_REPEAT)))
-        if not char.isalpha():
-            wide = char == " " and run > 1
-            readings.append(("", COST_BREAK if wide else COST_FILLER if char in FILLERS or char == " " else COST_DROP))
-            readings.append((" ", 0.0 if wide else COST_BREAK if char in FILLERS or char == " " else COST_DROP))
-        out.append(readings)
+        yield _readings(token[i], min(j - i, 3))
         i = j
-    return out
+
+
+def prefix_tree(features: Iterable[str]) -> dict:
+    """Words and word beginnings as nested dictionaries; a feature ends where None is a key."""
+    tree: dict = {}
+    for feature in features:
+        node = tree
+        for letter in feature.rstrip("*"):
+            node = node.setdefault(letter, {})
+        node[None] = feature
+    return tree
+
+
+def reachable(token: str, tree: dict) -> bool:
+    """May any reading of the token have a word that is a feature or starts with one?
+
+    All readings are followed through the tree at once, whatever their cost: a word starts at the token's start or behind a run that may
+    be a gap. Where this says no, decoding the token cannot give a feature.
+    """
+    at = [tree]
+    for readings in lattice(token):
+        after = []
+        for written, _ in readings:
+            if written == " ":
+                after.append(tree)
+            elif not written:
+                after += at
+            else:
+                for node in at:
+                    for letter in written:
+                        node = node.get(letter)
+                        if node is None:
+                            break
+                        if None in node:
+                            return True
+                    else:
+                        after.append(node)
+        if not after:
+            # Without a place to go on only a run that may be a gap can start a word again.
+            if token.isalpha():
+                return False
+        # Different ways may lead to one place.
+        at = after if len(after) < 2 else list({id(node): node for node in after}.values())
+    return False
 
 
 def _code(char: str) -> int:
     return 0 if char == " " else ord(char) - 96 if "a" <= char <= "z" else 27
 
 
-def restore(token: str, model: np.ndarray) -> str:
+def restore(token: str, model: np.ndarray | list[float]) -> str:
     """Most probable reading of a token: Viterbi over its lattice, a state being the last two symbols."""
-    states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
+    flat = model if isinstance(model, list) else model.ravel().tolist()
+    # A state is 28 times the symbol before last plus the last symbol.
+    states: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}
     for readings in lattice(token):
-        after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
-        for (a, b), (score, path) in states.items():
+        after: dict[int, tuple[float, tuple | None]] = {}
+        for state, (score, path) in states.items():
             for written, cost in readings:
-                x, y, s = a, b, score + cost
+                x, s = state, score + cost
                 for char in written:
                     z = _code(char)
-                    if z or y:
-                        s += float(model[x, y, z])
-                        x, y = y, z
-                known = after.get((x, y))
+                    if z or x % SYMBOLS:
+                        x = x * SYMBOLS + z
+                        s += flat[x]
+                        x %= SYMBOLS * SYMBOLS
+                known = after.get(x)
                 if known is None or s > known[0]:
-                    after[x, y] = (s, (path, written))
+                    after[x] = (s, (path, written))
         states = after
-    best = max(states.items(), key=lambda x: x[1][0] + float(model[x[0][0], x[0][1], 0]))[1]
+    best = max(states.items(), key=lambda x: x[1][0] + flat[x[0] * SYMBOLS])[1]
     parts, path = [], best[1]
     while path:
         path, written = path
@@ -153,17 +205,21 @@ def cores(token: str) -> list[str]:
 
 
 class Reader:
-    """Words of tokens, disguised ones restored; remembers those met lately."""
+    """Words of tokens, disguised ones restored; remembers those met lately.
 
-    def __init__(self, model: np.ndarray):
-        self.model, self.known = model, {}
+    With ``features``, tokens none of whose readings can reach one of them are not decoded: what they would give is asked for by nobody.
+    """
+
+    def __init__(self, model: np.ndarray, features: Iterable[str] | None = None):
+        self.model, self.known = model.ravel().tolist(), {}
+        self.tree = None if features is None else prefix_tree(features)
 
     def words_of(self, token: str) -> tuple[str, ...]:
         known = self.known.get(token)
         if known is None:
             words = _LETTERS.findall(token)
             for core in cores(token):
-                if disguised(core):
+                if disguised(core) and (self.tree is None or reachable(core, self.tree)):
                     words += _LETTERS.findall(restore(core, self.model))
             if len(self.known) >= 100_000:
                 self.known.clear()
@@ -314,10 +370,20 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
 
 
 def _scorer(model: Model):
-    reader = Reader(model.characters)
+    reader = Reader(model.characters, model.lexicon)
     weight = model.lexicon
     hits: dict[str, tuple[str, ...]] = {}
     misses: set[str] = set()
+    short, long = BEGINNINGS
+
+    def known_features(token: str) -> tuple[str, ...]:
+        """The token's features that the model knows, as ``reader.features`` has them; a plain word needs no look at its signs."""
+        word = token.strip(_PLAIN_EDGES)
+        if not word.isalpha() or _DISGUISED.search(word) and reachable(word, reader.tree):
+            return tuple(f for f in reader.features(token) if f in weight)
+        n = len(word)
+        found = (word, word[:short] + "*") if n > short else (word,)
+        return tuple(f for f in (*found, word[:long] + "*") if f in weight) if n > long else tuple(f for f in found if f in weight)
 
     def score(text: str | None) -> float:
         tokens = reader.tokens(text)
@@ -325,7 +391,7 @@ def _scorer(model: Model):
         for token in tokens.keys() - misses:
             found = hits.get(token)
             if found is None:
-                found = tuple(f for f in reader.features(token) if f in weight)
+                found = known_features(token)
                 if not found:
                     if len(misses) >= 200_000:
                         misses.clear()

@@ -4,6 +4,8 @@ import base64
 import gzip
 import hashlib
 import io
+import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -234,7 +236,7 @@ def test_viterbi_finds_the_best_path():
         return cost + float(model[a, b, 0])
 
     for token in ("1d10t", "st*p", "aab0", "s.c.u", "$$x", "i d i"):
-        scored = [(total(*x), "".join(x[0]).strip()) for x in every(channel_toxicity.lattice(token))]
+        scored = [(total(*x), "".join(x[0]).strip()) for x in every(list(channel_toxicity.lattice(token)))]
         best = max(s for s, _ in scored)
         assert channel_toxicity.restore(token, model) in {t for s, t in scored if s > best - 1e-3}
 
@@ -249,6 +251,36 @@ def test_every_feature_that_tells_enters_the_lexicon(spark):
     assert len(common) > 256 and common <= model.lexicon.keys()
 
 
+def test_tokens_that_are_not_decoded_could_give_no_feature():
+    """Features of the lexicon are the same with every disguised token decoded and with those left out that cannot reach it."""
+    rng = random.Random(5)
+    words = ["stupid", "idiot", "clown", "loser", "moron", "essen", "add", "boo"]
+    counts = channel_toxicity.trigram_counts([" ".join(words)] * 50).reshape(28, 28, 28)
+    model = np.log((counts + 0.01) / (counts + 0.01).sum(axis=2, keepdims=True)).astype(np.float32)
+    lexicon = {f: (1.0, 1.0) for w in words for f in (w, w[:4] + "*")}
+    every, some = channel_toxicity.Reader(model), channel_toxicity.Reader(model, lexicon)
+    back = {r: k for k, rs in channel_toxicity.LEET.items() for r in rs}
+    reached = 0
+    for _ in range(4000):
+        word = rng.choice([*words, "hello", "better", "x" * 9])
+        token = "".join(rng.choice([c, c, c * 2, c * 3, back.get(c, c), rng.choice("._-* 7é!")]) for c in word) + rng.choice(["", "!", "s", "."])
+        found = {f for f in every.features(token) if f in lexicon}
+        assert {f for f in some.features(token) if f in lexicon} == found, token
+        reached += bool(found)
+        text = f"{token} so {token}"
+        bias = channel_toxicity.Model(model, lexicon, -1.0)
+        n, tokens = 0, every.tokens(text)
+        here = Counter()
+        for t, k in tokens.items():
+            for f in every.features(t):
+                if f in lexicon:
+                    here[f] += k
+        n = sum(tokens.values())
+        total = bias.bias + sum(sum(w * x for w, x in zip(lexicon[f], channel_toxicity.presence_and_density(k, n))) for f, k in here.items())
+        assert abs(channel_toxicity._scorer(bias)(text) - 1 / (1 + math.exp(-total))) < 1e-12, token
+    assert 500 < reached < 4000
+
+
 def test_sparse_newton_steps_reach_the_least_loss():
     rng = np.random.default_rng(2)
     rows = [(int(rng.random() < 0.3), 40, [int(j) for j in rng.choice(30, 4, replace=False)], [int(k) for k in rng.integers(1, 20, 4)]) for _ in range(300)]
