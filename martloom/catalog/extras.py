@@ -93,24 +93,23 @@ def _(lake):
     return joins.match_settlements(*_settlement_sides(lake), "12 hours")
 
 
-@query("x5_settlement_stream", """
-    SELECT o.order_id, p.payment_id, p.settled_at AS paid_at
-    FROM (SELECT DISTINCT order_id, order_date FROM raw_ecom_orders) o
-    JOIN (SELECT transaction_id AS payment_id, merchant_ref, settled_at FROM raw_payments_card) p
-      ON merchant_ref = order_id AND settled_at BETWEEN order_date AND order_date + INTERVAL 1 DAY""")
+# The stream's watermark after everything has arrived; unmatched rows behind it are out.
+_SETTLED = """(SELECT least((SELECT max(order_date) FROM stg_ecommerce__orders), (SELECT max(paid_at) FROM stg_payments__consolidated))
+               - INTERVAL 1 HOUR)"""
+
+
+@query("x5_settlement_stream", f"""
+    SELECT * FROM ({_settlement_sql(12)})
+    WHERE match_status = 'matched' OR match_status = 'unpaid_order' AND ordered_at + INTERVAL 12 HOUR < {_SETTLED}
+       OR match_status = 'unmatched_payment' AND paid_at < {_SETTLED}""")
 def _(spark, folder):
-    orders = table_stream_orders(spark, folder)
-    payments = raw_stream(spark, folder, "payments_card").select(
-        F.col("transaction_id").alias("payment_id"), F.col("merchant_ref").alias("order_ref"),
-        F.col("settled_at").alias("paid_at"))
-    matched = joins.match_settlements_stream(orders, payments, "1 day").where("payment_id IS NOT NULL")
-    return drain(matched.select("order_id", "payment_id", "paid_at"), "x5")
-
-
-def table_stream_orders(spark, folder):
-    """Each order once, as the order service first announces it."""
-    return (raw_stream(spark, folder, "ecom_orders").where("updated_at = created_at")
-            .select("order_id", F.col("order_date").alias("ordered_at")))
+    """All versions of all orders against the payments of every gateway; both unmatched sides of closed windows are kept."""
+    orders = raw_stream(spark, folder, "ecom_orders").select("order_id", F.col("order_date").alias("ordered_at"))
+    layouts = {"payments_vnpay": ("vnp_txn_ref", "vnp_order_info", "vnp_pay_date"), "payments_momo": ("trans_id", "order_id", "response_time"),
+               "payments_card": ("transaction_id", "merchant_ref", "settled_at")}
+    payments = union_all(*[raw_stream(spark, folder, gateway).select(
+        F.col(key).alias("payment_id"), F.col(ref).alias("order_ref"), F.col(paid).alias("paid_at")) for gateway, (key, ref, paid) in layouts.items()])
+    return drain(joins.match_settlements_stream(orders, payments, "12 hours"), "x5")
 
 
 _TYPO = """CASE points_balance % 4 WHEN 0 THEN replace(full_name, '#', '') WHEN 1 THEN concat(full_name, 'x')

@@ -122,8 +122,16 @@ def left_settlement(orders: DataFrame, payments: DataFrame, interval: str) -> Da
 
 def match_settlements_stream(orders: DataFrame, payments: DataFrame, interval: str = "1 day",
                              order_delay: str = "1 hour", payment_delay: str = "1 hour") -> DataFrame:
-    """Stream-stream form: both watermarks and the time bound let Spark expire state."""
-    left = orders.withWatermark("ordered_at", order_delay)
-    right = payments.withWatermark("paid_at", payment_delay)
-    on = (F.col("order_ref") == F.col("order_id")) & _within("ordered_at", "paid_at", interval)
-    return left.join(right, on, "left_outer")
+    """Stream-stream form: rows of ``match_settlements``, unmatched ones once nothing can match them any more.
+
+    Repeats of an order or a payment count once. Both watermarks and the time bound expire the state of either side; what
+    expires without a partner comes out with nulls for the other side. Null references are scattered, so
+    they meet in no task.
+    """
+    left = orders.withWatermark("ordered_at", order_delay).dropDuplicates(["order_id", "ordered_at"])
+    right = (payments.withWatermark("paid_at", payment_delay).dropDuplicates(["payment_id", "order_ref", "paid_at"])
+             .withColumn("_ref", spread_nulls(F.col("order_ref"), F.col("payment_id"))))
+    on = (F.col("_ref") == F.col("order_id")) & _within("ordered_at", "paid_at", interval)
+    status = (F.when(F.col("payment_id").isNull(), "unpaid_order").when(F.col("order_id").isNull(), "unmatched_payment")
+              .otherwise("matched"))
+    return left.join(right, on, "full_outer").select("order_id", "ordered_at", "payment_id", "paid_at", status.alias("match_status"))

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.functions import rules
 from martloom.functions.columns import calendar_parts, count_where, exact_mean, month_start, safe_ratio
 from martloom.operators.dedup import latest_snapshot
 from martloom.operators.joins import with_dims
-from martloom.operators.ranking import global_ntile, rank_within, with_growth
+from martloom.operators.ranking import global_ntile, with_growth
 from martloom.operators.shaping import pivot_sum, union_all
 from martloom.plans.staging import SNAPSHOT_TIES
 from martloom.session import write_once
@@ -176,8 +176,11 @@ def fct_store_performance(daily: DataFrame, stores: DataFrame) -> DataFrame:
         "revenue_per_staff_vnd": safe_ratio("total_revenue_vnd", "staff_count"),
         "revenue_per_sqm_vnd": safe_ratio("total_revenue_vnd", "sqm"),
         "orders_per_staff": safe_ratio("total_orders", "staff_count")}).drop("sqm")
-    ranks = {"rank_in_region": ["date_key", "region"], "rank_overall": ["date_key"]}
-    return rank_within(write_once(scored, "scorecard"), ranks, "total_revenue_vnd")
+    # A day has one row per store, so its group is as small as the list of stores. Both ranks share one shuffle by day.
+    best = F.col("total_revenue_vnd").desc_nulls_last()
+    return scored.withColumns({
+        "rank_in_region": F.rank().over(Window.partitionBy("date_key", "region").orderBy(best)),
+        "rank_overall": F.rank().over(Window.partitionBy("date_key").orderBy(best))})
 
 
 # --- finer revenue grains ---------------------------------------------------
