@@ -1,6 +1,5 @@
 import datetime as dt
 
-import pytest
 
 from martloom import schemas
 from martloom.operators.sessions import sessions_by_gap
