@@ -48,31 +48,42 @@ def with_exists_flag(df: DataFrame, key: str, keys: DataFrame, keys_column: str,
 
 def left_join_any_key(left: DataFrame, right: DataFrame, keys: Sequence[tuple[str, str]],
                       payload: Sequence[str], spread_by: str, blank_is_missing: bool = False) -> DataFrame:
-    """Left join on ``k1 = k1 OR k2 = k2 ...`` as one equi-join per key.
+    """Left join on ``k1 = k1 OR k2 = k2 ...`` as one equi-join over all keys.
 
-    A pair found by several keys is kept under the first of them only, so the parts
-    are disjoint: no row ids and no distinct over the pairs are needed. Left rows
-    without any partner are found by flags against the distinct keys of the right
-    side. All pair joins are inner, so AQE can split a hot key on either side.
+    Each row of either side stands once per key, as (number of the key, its text), so both sides are read and shuffled
+    once whatever the number of keys. A pair found by several keys is kept under the first of them only: no row
+    ids and no distinct over the pairs are needed. The join is inner, so AQE can split a hot key on either side.
+    Left rows without any partner are those whose every key is unknown; an anti join on the same
+    shuffled rows finds them, and equal left rows are counted and given back as often as they occur.
 
+    Keys compare as text. Columns of the left side must be such that rows can be grouped by them (no maps).
     An empty text equals an empty text, as in the definition, so rows whose key is what
     remains of junk all pair up; ``blank_is_missing`` lets it match nothing.
     """
+    types, columns = dict(right.dtypes), [F.col(c) for c in left.columns]
+    known = (lambda c: F.nullif(F.col(c).cast("string"), F.lit(""))) if blank_is_missing else (lambda c: F.col(c).cast("string"))
     right_keys = [f"_rk{i}" for i in range(len(keys))]
-    known = (lambda c: F.nullif(F.col(c), F.lit(""))) if blank_is_missing else F.col
+
+    def per_key(values: list[Column]) -> Column:
+        return F.inline(F.array(*[F.struct(F.lit(i).alias("_kind"), v.alias("_value")) for i, v in enumerate(values)]))
+
+    # Null keys of the left side get values that no real key can have, and are scattered by them.
+    mine = left.select(*columns, per_key([spread_nulls(F.col(key), F.col(spread_by)) for key, _ in keys]))
+    mine = mine.where("_value IS NOT NULL")  # always so; said here, both joins below read the same shuffle
     side = right.select(*[known(r).alias(name) for (_, r), name in zip(keys, right_keys)], *payload)
-    types = dict(right.dtypes)
-
-    parts, unmatched, earlier = [], left, F.lit(False)
-    for i, (key, _) in enumerate(keys):
-        same = F.col(key) == F.col(right_keys[i])
-        pairs = left.join(side, same & ~earlier, "inner")
-        parts.append(pairs.select(*left.columns, *payload))
-        earlier = earlier | F.coalesce(same, F.lit(False))
-        flagged = with_exists_flag(unmatched, key, side, right_keys[i], "_hit", spread_by)
-        unmatched = flagged.where(~F.col("_hit")).drop("_hit")
+    theirs = (side.select("*", per_key([F.col(name) for name in right_keys])).where("_value IS NOT NULL")
+              .withColumnsRenamed({"_kind": "_rkind", "_value": "_rvalue"}))
+    met = (F.col("_kind") == F.col("_rkind")) & (F.col("_value") == F.col("_rvalue"))
+    earlier = [(F.col("_kind") > i) & (F.col(key).cast("string") == F.col(name)) for i, ((key, _), name) in enumerate(zip(keys[:-1], right_keys))]
+    found_before = reduce(Column.__or__, [F.coalesce(e, F.lit(False)) for e in earlier], F.lit(False))
+    pairs = mine.join(theirs, met & ~found_before).select(*columns, *payload)
+
+    unknown = mine.join(theirs.select("_rkind", "_rvalue").distinct(), met, "left_anti")
+    alone = (unknown.groupBy(*columns).agg(F.count_if(F.col("_kind") == 0).alias("_n"), F.bit_or(F.expr("shiftleft(1, _kind)")).alias("_kinds"))
+             .where(F.col("_kinds") == (1 << len(keys)) - 1))
+    times = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n")))
     empty = [F.lit(None).cast(types[c]).alias(c) for c in payload]
-    return union_all(*parts, unmatched.select(*left.columns, *empty))
+    return union_all(pairs, alone.select(*columns, times.alias("_i")).select(*columns, *empty))
 
 
 def with_dims(fact: DataFrame, *dims: tuple[DataFrame, str]) -> DataFrame:

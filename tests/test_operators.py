@@ -64,6 +64,17 @@ def test_any_key_join_with_three_keys(spark):
     assert rows(got) == rows(left.join(right, on, "left").select("id", "a", "b", "c", "rid"))
 
 
+def test_any_key_join_keeps_repeated_rows(spark):
+    left = spark.createDataFrame([(1, "p", None), (1, "p", None), (2, None, None), (2, None, None), (2, None, None), (3, "q", "e")],
+                                 "id int, phone string, email string")
+    right = spark.createDataFrame([(7, "p", "e"), (7, "p", "e"), (8, "q", "e")], "rid int, rp string, re string")
+    keys = [("phone", "rp"), ("email", "re")]
+    got = joins.left_join_any_key(left, right, keys, ["rid"], "id").select("id", "rid")
+    assert sorted(rows(got), key=str) == [(1, 7)] * 4 + [(2, None)] * 3 + [(3, 7)] * 2 + [(3, 8)]
+    assert rows(joins.left_join_any_key(left, right.limit(0), keys, ["rid"], "id").select("id").distinct()) == [(1,), (2,), (3,)]
+    assert joins.left_join_any_key(left.limit(0), right, keys, ["rid"], "id").count() == 0
+
+
 def test_blank_keys_match_nothing_when_asked(spark):
     left = spark.createDataFrame([(1, "", "e"), (2, "p", ""), (3, "", "")], "id int, phone string, email string")
     right = spark.createDataFrame([(7, "", ""), (8, "p", "e")], "rid int, rp string, re string")

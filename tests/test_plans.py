@@ -107,6 +107,25 @@ def test_hot_key_is_split(spark, how):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def test_any_key_join_shuffles_each_side_once(spark):
+    """The anti join reuses the exploded left rows; of the right side it moves distinct keys only."""
+    limits = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k, None) for k in limits}
+    for k in limits:
+        spark.conf.set(k, "-1")
+    try:
+        left = spark.range(0, 500, 1, 4).select("id", *[F.md5((F.col("id") % m).cast("string")).alias(f"l{m}") for m in (7, 50, 90)])
+        right = spark.range(1000, 1400, 1, 4).select(F.col("id").alias("rid"), *[F.md5((F.col("id") % m).cast("string")).alias(f"r{m}") for m in (9, 60, 80)])
+        joined = joins.left_join_any_key(left, right, [("l7", "r9"), ("l50", "r60"), ("l90", "r80")], ["rid"], "id")
+        joined.collect()
+        tree = joined._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "ReusedExchange" in tree
+        assert tree.count("Range (0, 500") == 1 and tree.count("Range (1000, 1400") == 2
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_null_keys_are_scattered(spark):
     keys = spark.range(1000).select(joins.spread_nulls(F.lit(None).cast("string"), F.col("id")).alias("k"))
     assert keys.distinct().count() > 500
