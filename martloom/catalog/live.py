@@ -21,6 +21,7 @@ from martloom.sources.sample import raw_stream, raw_view
 from martloom.sources.store import TableStore
 from martloom.streaming import feeds, live
 from martloom.streaming.sinks import drain, start
+from martloom.streaming.upgrade import run_with_restarts, savepoint
 
 _VALID = "order_id IS NOT NULL AND customer_id IS NOT NULL AND amount > 0"
 
@@ -205,6 +206,36 @@ def _(spark, folder):
     return _two_runs(spark, folder, "t12", F.col("event_time") < middle, F.col("event_time") >= middle)
 
 
+@query("t12_restart_and_savepoint", f"""
+    SELECT *, CAST(round(gross_revenue - net_revenue, 2) AS DOUBLE) AS discounts FROM ({_REVENUE})
+    WHERE window_end <= {_closed('raw_order_events', _VALID, 5)}""")
+def _(spark, folder):
+    """Fails twice and is restarted; a changed query then goes on from a copy of the state, on the second half of the month."""
+    root, middle = workspace(spark, "upgraded"), F.lit("2024-01-16 12:00:30").cast("timestamp")
+    store, events = TableStore(spark, f"{root}/store"), raw_view(spark, folder, "order_events")
+    failures = iter(("in its first run", "in its second run"))
+
+    def arriving(drop, rows):
+        tables.write_records(events.where(rows), root, "events", drop, "parquet")
+        return spark.readStream.schema(schemas.ORDER_EVENTS).option("recursiveFileLookup", True).parquet(f"{root}/events")
+
+    def first(work, rows):
+        work.append("revenue", rows)
+        if reason := next(failures, None):
+            raise RuntimeError(f"the query dies {reason}")
+
+    def second(work, rows):  # the changed query: another table, with a new column
+        work.append("revenue_2", rows.withColumn("discounts", F.round(F.col("gross_revenue") - F.col("net_revenue"), 2).cast("double")))
+
+    stream = arriving("drop0", F.col("event_time") < middle)
+    run_with_restarts(lambda: feeds.each_batch(live.revenue_realtime(stream), store, f"{root}/checkpoint", first), delay=0.1)
+    savepoint(spark, f"{root}/checkpoint", f"{root}/savepoint")
+    stream = arriving("drop1", F.col("event_time") >= middle)
+    feeds.each_batch(live.revenue_realtime(stream), store, f"{root}/savepoint", second).awaitTermination()
+    before = store.read("revenue").withColumn("discounts", F.round(F.col("gross_revenue") - F.col("net_revenue"), 2).cast("double"))
+    return union_all(before, store.read("revenue_2"))
+
+
 @query("t13_late_data", f"""
     SELECT * FROM ({_REVENUE}) WHERE window_start >= TIMESTAMP '2024-01-16'
     AND window_end <= {_closed('raw_order_events', _VALID, 5)}""")

@@ -1,13 +1,17 @@
 import datetime as dt
 
+import pytest
+from pyspark.errors import StreamingQueryException
 
 from martloom import schemas
 from martloom.operators.sessions import sessions_by_gap
 from martloom.sources import tables
-from martloom.streaming import live
+from martloom.streaming import live, upgrade
 from martloom.sources.sample import raw_stream, raw_view
 from martloom.sources.store import TableStore
+from martloom.streaming.feeds import each_batch
 from martloom.streaming.sinks import drain, start, upsert
+from martloom.streaming.upgrade import last_batch, run_with_restarts, savepoint, state_digest
 from pyspark.sql import functions as F
 
 
@@ -104,3 +108,63 @@ def test_streams_read_folders_of_part_files(spark, small, tmp_path):
     for view in ("order_events", "clickstream_events"):
         streamed = drain(raw_stream(spark, folder, view), "folders")
         assert streamed.count() == raw_view(spark, folder, view).count() == raw_view(spark, small, view).count() > 0
+
+
+class _Ending:
+    """A query that ends as told: with an error, or well."""
+
+    def __init__(self, error):
+        self.error = error
+
+    def awaitTermination(self):
+        if self.error:
+            raise self.error
+
+
+def test_restarts_wait_and_give_up_after_the_last_attempt():
+    def starter(failures):
+        left = iter([StreamingQueryException(str(i)) for i in range(failures)])
+        return lambda: _Ending(next(left, None))
+
+    for failures in range(4):
+        waits = []
+        assert run_with_restarts(starter(failures), 3, 7.5, waits.append) == failures
+        assert waits == [7.5] * failures
+    with pytest.raises(StreamingQueryException, match="3"):
+        run_with_restarts(starter(4), 3, 0, lambda _: None)
+    with pytest.raises(ValueError):  # no failure of the stream: nothing to try again
+        run_with_restarts(lambda: _Ending(ValueError()), 3, 0, lambda _: None)
+
+
+def test_savepoint_goes_on_where_the_original_stands(spark, tmp_path):
+    def events(first, last):
+        return clicks(spark, *[(f"s{i % 5}", "u", "click", i) for i in range(first, last)])
+
+    source = f"{tmp_path}/in"
+    events(0, 300).write.parquet(source)
+    stream = live.flash_sale(spark.readStream.schema(schemas.CLICKSTREAM_EVENTS).parquet(source))
+    with pytest.raises(ValueError):
+        savepoint(spark, f"{tmp_path}/ckpt", f"{tmp_path}/none")
+    start(stream, f"{tmp_path}/out", f"{tmp_path}/ckpt").awaitTermination()
+    batch = savepoint(spark, f"{tmp_path}/ckpt", f"{tmp_path}/copy")
+    assert batch == last_batch(spark, f"{tmp_path}/copy") >= 0
+    digest = rows(state_digest(spark, f"{tmp_path}/copy", batch))
+    assert len(digest) == 2 and sum(n for _, _, n, _ in digest) > 0  # the first aggregate may have handed all its rows on
+    with pytest.raises(ValueError, match="exists"):
+        savepoint(spark, f"{tmp_path}/ckpt", f"{tmp_path}/copy")
+
+    events(300, 900).write.mode("append").parquet(source)
+    store = TableStore(spark, f"{tmp_path}/store")
+    for checkpoint in ("ckpt", "copy"):
+        each_batch(stream, store, f"{tmp_path}/{checkpoint}", lambda work, new, table=checkpoint: work.append(table, new) and None).awaitTermination()
+    assert rows(store.read("ckpt")) == rows(store.read("copy")) != []
+
+
+def test_a_damaged_copy_is_refused(spark, tmp_path, monkeypatch):
+    source = f"{tmp_path}/in"
+    clicks(spark, ("s", "u", "click", 0)).write.parquet(source)
+    stream = spark.readStream.schema(schemas.CLICKSTREAM_EVENTS).parquet(source)
+    start(live.sessions(stream), f"{tmp_path}/out", f"{tmp_path}/ckpt").awaitTermination()
+    monkeypatch.setattr(upgrade, "_copied", lambda *_: lambda rows: None)
+    with pytest.raises(RuntimeError, match="files differ|state differs"):
+        savepoint(spark, f"{tmp_path}/ckpt", f"{tmp_path}/copy")
