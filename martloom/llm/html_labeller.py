@@ -26,30 +26,44 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCK = frozenset(("address article aside blockquote body br button caption center dd details dialog dir div dl dt fieldset figcaption figure footer "
                    "form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table "
                    "tbody td tfoot th thead tr ul").split())
-RAW = "script|style|noscript|template|svg|title|iframe|object|textarea|select"
+RAW = "script|style|title|textarea"  # hold no markup, and reach to the page's end where theirs is missing
+DROPPED = frozenset("noscript template svg iframe select".split())  # go with their content, if they have an end
 # An open element that an opening one closes, and where the search for it stops.
 IMPLIED_END = {"li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table"),
                "td": ("td th", "tr table"), "th": ("td th", "tr table"), "option": ("option", "select"),
                **{t: ("p", "article section div td th li aside main body") for t in BLOCK - {"br", "body", "html", "head", "option"} if t not in ("li", "dt", "dd", "tr", "td", "th")}}
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<svg(?=[\s/>])(?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*+(?<=/)>"  # a self-closed svg is empty
+    r"<!--.*?(?:-->|\Z)"
     rf"|<({RAW})(?=[\s/>])(?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*+>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s<>/]*)((?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*+|[^<>]*)>|<[!?][^<>]*>", re.S | re.I)
 _NAMES = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_ENDS = {name: re.compile(rf"</{name}\s*>", re.I) for name in DROPPED}
+_UNQUOTED = re.compile(r"=\s*[^\s\"'][^\s\"']*/\Z")  # the stroke belongs to a value, as in <a href=x/>
+_LINK = re.compile(r"(?:^|[\s\"'/])href\s*=", re.I)
 _WORD_PARTS = re.compile(r"[A-Za-z][a-z]*|\d+")
 
 PATHS, WORDS, PATH_SIZE, WORD_SIZE, NUMBERS, HIDDEN = 2048, 4096, 16, 8, 5, 16
 INPUT = PATH_SIZE + WORD_SIZE + NUMBERS
-DEEPEST = 24  # innermost elements that describe a block
 PAGES, EPOCHS = 1600, 6
 BATCH_CELLS = 60_000
 
 
+class Element:
+    """An open element with those around it. ``size`` counts the hashes of the whole path."""
+
+    __slots__ = ("name", "hashes", "link", "parent", "depth", "size")
+
+    def __init__(self, name: str, hashes: tuple[int, ...], link: bool, parent: Element | None):
+        self.name, self.hashes, self.link, self.parent = name, hashes, link, parent
+        self.depth = parent.depth + 1 if parent else 0
+        self.size = len(hashes) + (parent.size if parent else 0)
+
+
 @dataclass
 class Block:
     text: str
-    path: list[int]
+    path: Element | None  # innermost element; its chain of parents is the path, however deep
     linked: float
 
 
@@ -58,8 +72,8 @@ def _hash(token: str, size: int) -> int:
 
 
 @lru_cache(maxsize=20_000)
-def _element(name: str, attributes: str) -> tuple[str, tuple[int, ...]]:
-    """Name and hashed description of an opening tag."""
+def _element(name: str, attributes: str) -> tuple[tuple[int, ...], bool]:
+    """Hashed description of an opening tag, and whether it is a link."""
     tokens = [f"<{name}"]
     for m in _NAMES.finditer(attributes):
         kind, value = m[1].lower(), next((g for g in m.groups()[1:] if g), "")
@@ -67,48 +81,54 @@ def _element(name: str, attributes: str) -> tuple[str, tuple[int, ...]]:
             tokens.append("hidden")
         else:
             tokens += [f".{p.lower()}" for p in _WORD_PARTS.findall(value) if not p.isdigit()]
-    return name, tuple(_hash(t, PATHS) for t in tokens)
+    return tuple(_hash(t, PATHS) for t in tokens), name == "a" and _LINK.search(attributes) is not None
 
 
 def blocks_of(page: str | None) -> list[Block]:
     """Leaf blocks in page order; white space inside a block becomes one space, character references are decoded."""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[int, ...]]] = []
+    stack: list[Element] = []
     held: Counter[str] = Counter()  # names on the stack, so that no tag looks for what is not open
     pieces: list[str] = []
-    linked = 0
+    linked = links = 0  # characters inside links, and links now open
+    endless: set[str] = set()  # dropped elements without an end further on
 
     def flush():
         nonlocal linked
         if pieces:
             text = " ".join(entities.unescape("".join(pieces)).split())
             if text:
-                path = [h for _, hashes in stack[-DEEPEST:] for h in hashes]
-                out.append(Block(text, path, min(1.0, linked / len(text))))
+                out.append(Block(text, stack[-1] if stack else None, min(1.0, linked / len(text))))
             pieces.clear()
         linked = 0
 
+    def leave(first: int, last: int):
+        nonlocal links
+        for element in stack[first:last]:
+            held[element.name] -= 1
+            links -= element.link
+        del stack[first:last]
+
     def pop_to(names: str, stops: str = ""):
         wanted, limits = names.split(), stops.split()
         if not any(held[name] for name in wanted):
             return
         for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in wanted:
-                held.subtract(name for name, _ in stack[i:])
-                del stack[i:]
+            if stack[i].name in wanted:
+                leave(i, len(stack))
                 return
-            if stack[i][0] in limits:
+            if stack[i].name in limits:
                 return
 
     def add(text: str):
         nonlocal linked
         pieces.append(text)
-        if any(name == "a" for name, _ in stack[-4:]):
+        if links:
             linked += len(text)
 
     page = page or ""
     at = 0
-    for m in _TOKEN.finditer(page):
+    while m := _TOKEN.search(page, at):
         if m.start() > at:
             add(page[at:m.start()])
         at = m.end()
@@ -123,9 +143,20 @@ def blocks_of(page: str | None) -> list[Block]:
         else:
             if name in IMPLIED_END:
                 pop_to(*IMPLIED_END[name])
-            if name not in VOID and not m[4].endswith("/"):
-                stack.append(_element(name, m[4]))
-                held[name] += 1
+            if name in VOID or m[4].endswith("/") and not _UNQUOTED.search(m[4]):
+                continue
+            if name in DROPPED and name not in endless:
+                if end := _ENDS[name].search(page, at):
+                    at = end.end()
+                    continue
+                endless.add(name)
+            if name == "a" and held["a"]:  # links do not nest: one left open ends here, what it holds stays open
+                inner = next(i for i in range(len(stack) - 1, -1, -1) if stack[i].name == "a")
+                leave(inner, inner + 1)
+            hashes, link = _element(name, m[4])
+            stack.append(Element(name, hashes, link, stack[-1] if stack else None))
+            held[name] += 1
+            links += link
     if at < len(page):
         rest = page[at:]
         add(rest[:rest.rfind("<")] if re.search(r"<[/!?a-zA-Z][^>]*\Z", rest) else rest)
@@ -134,12 +165,12 @@ def blocks_of(page: str | None) -> list[Block]:
 
 
 def describe(blocks: list[Block]):
-    """Ragged path and word hashes, and the numbers of each block."""
+    """Ragged word hashes, and the numbers of each block."""
     words = [[_word_hash(w) for w in b.text.lower().split()] for b in blocks]
     n = len(blocks)
     numbers = np.array([[np.log1p(len(b.text)) / 6, b.linked, float(b.text[-1] in ".!?:;\"'”»"), i / n, min(1.0, 10 / n)]
                         for i, b in enumerate(blocks)], np.float32).reshape(n, NUMBERS)
-    return [b.path for b in blocks], words, numbers
+    return words, numbers
 
 
 @lru_cache(maxsize=100_000)
@@ -147,6 +178,41 @@ def _word_hash(word: str) -> int:
     return zlib.crc32(word.strip(".,;:!?\"'()").encode()) % WORDS
 
 
+def path_hashes(element: Element | None) -> list[int]:
+    """All hashes of a path, from the outermost element on."""
+    chain = []
+    while element is not None:
+        chain.append(element.hashes)
+        element = element.parent
+    return [h for hashes in reversed(chain) for h in hashes]
+
+
+def _path_means(table: np.ndarray, leaves: list[Element | None]) -> np.ndarray:
+    """Mean vector of each path. Sums pass from parents to children, depth by depth, so an element is added up once."""
+    number: dict[int, int] = {}
+    elements: list[Element] = []
+    for element in leaves:
+        while element is not None and id(element) not in number:
+            number[id(element)] = len(elements)
+            elements.append(element)
+            element = element.parent
+    out = np.zeros((len(leaves), table.shape[1]), np.float32)
+    if not elements:
+        return out
+    sizes = np.array([len(e.hashes) for e in elements])
+    flat = np.fromiter((h for e in elements for h in e.hashes), np.int64, int(sizes.sum()))
+    sums = np.add.reduceat(table[flat], np.concatenate([[0], np.cumsum(sizes)[:-1]]), axis=0)
+    above = np.array([number[id(e.parent)] if e.parent else -1 for e in elements])
+    depths = np.array([e.depth for e in elements])
+    order = np.argsort(depths, kind="stable")
+    for level in np.split(order, np.flatnonzero(np.diff(depths[order])) + 1)[1:]:
+        sums[level] += sums[above[level]]
+    inside = [i for i, e in enumerate(leaves) if e is not None]
+    at = np.array([number[id(leaves[i])] for i in inside])
+    out[inside] = sums[at] / np.array([leaves[i].size for i in inside])[:, None]
+    return out
+
+
 def _means(table: np.ndarray, ragged: list[list[int]]) -> np.ndarray:
     sizes = np.array([len(r) for r in ragged])
     flat = np.fromiter((x for r in ragged for x in r), np.int64, int(sizes.sum()))
@@ -268,8 +334,11 @@ class Labeller:
             group, order = order[:size], order[size:]
             lengths = np.array([len(pages[i]) for i in group])
             x = np.zeros((lengths[0], len(group), INPUT), np.float32)
+            paths = _path_means(self.parts["paths"], [b.path for i in group for b in pages[i]])
+            paths = np.split(paths, np.cumsum(lengths)[:-1])
             for k, i in enumerate(group):
-                x[:lengths[k], k] = self.inputs(*describe(pages[i]))
+                words, numbers = describe(pages[i])
+                x[:lengths[k], k] = np.concatenate([paths[k], _means(self.parts["words"], words), numbers], axis=1)
             p = _sigmoid(self.logits(x, lengths)[0])
             for k, i in enumerate(group):
                 out[i] = p[:lengths[k], k]
@@ -397,7 +466,7 @@ def train(seed: int = 5, pages: int = PAGES, epochs: int = EPOCHS) -> Labeller:
     rng = np.random.default_rng(seed)
     renderer = _Renderer(rng)
     made = [x for x in (renderer.example() for _ in range(pages)) if x[0]]
-    data, labels = [describe(blocks) for blocks, _ in made], [y for _, y in made]
+    data, labels = [([path_hashes(b.path) for b in blocks], *describe(blocks)) for blocks, _ in made], [y for _, y in made]
     net = Labeller.fresh(rng)
     first = {k: np.zeros_like(v) for k, v in net.parts.items()}
     second = {k: np.zeros_like(v) for k, v in net.parts.items()}
@@ -421,7 +490,7 @@ def main_texts(pages: list[str | None], net: Labeller) -> list[str]:
 def extract(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` of every page, in one pass without a shuffle.
 
-    Null and empty html give an empty text. Broken markup is read as far as it goes; a tag cut off at the end is no text.
+    Null and empty html give an empty text; repeated rows are each read, an empty table gives none. Broken markup is read as far as it goes; a tag cut off at the end is no text.
     Only page_id, url and html are read.
     """
     sent = pages.sparkSession.sparkContext.broadcast(train())

@@ -112,6 +112,47 @@ def test_raw_elements_end_where_they_end():
     assert blocks("<p>One<svg class='i'><path d=''/>no</svg> two<svg/><title>no</title><script src=x>no</script>") == ["One two"]
 
 
+def test_elements_without_an_end_swallow_nothing():
+    blocks = lambda page: [b.text for b in html_labeller.blocks_of(page)]
+    for name in ("noscript", "svg", "template", "iframe", "select", "object"):
+        assert blocks(f"<p>One</p><{name} class=i><p>Two</p><{name}><p>Three</p>") == ["One", "Two", "Three"]
+    assert blocks("<p>One</p><object data=x><p>Two</p></object><noscript><p>no</p></noscript><p>Three</p><noscript><p>Four") == ["One", "Two", "Three", "Four"]
+
+
+def test_the_whole_path_describes_a_block():
+    hashes = set(html_labeller._element("div", ' id="comments"')[0])
+    deep, = html_labeller.blocks_of('<div id="comments">' + "<div><span>" * 40 + "text")
+    assert hashes <= set(html_labeller.path_hashes(deep.path))
+    unquoted, = html_labeller.blocks_of("<div id=comments/><p>text")
+    assert hashes <= set(html_labeller.path_hashes(unquoted.path))
+    closed, = html_labeller.blocks_of('<div id="comments"/><span title="a = b"/><p>text')
+    assert len(html_labeller.path_hashes(closed.path)) == 1
+
+
+def test_links_are_seen_at_any_depth():
+    share = lambda page: [round(b.linked, 2) for b in html_labeller.blocks_of(page)]
+    assert share("<a href=x>" + "<b><i>" * 10 + "text" + "</i></b>" * 10 + "</a><p>plain</p>") == [1, 0]
+    assert share("<a name=top><p>plain</p><a href='x'>link<p>more</p><a name=y><p>plain</p>") == [0, 1, 1, 0]
+
+
+def test_path_means_equal_plain_means():
+    rng = np.random.default_rng(1)
+    table = rng.normal(size=(html_labeller.PATHS, 4)).astype(np.float32)
+    page = "".join(str(rng.choice(["<div class='a b'>", "<b>", "</b>", "</div>", "<section id=c>", "</section>", "<p>text</p>"])) for _ in range(600))
+    blocks = html_labeller.blocks_of("bare" + page)
+    paths = [b.path for b in blocks]
+    assert paths[0] is None and max(p.depth for p in paths if p) > 10
+    want = html_labeller._means(table, [html_labeller.path_hashes(p) for p in paths])
+    assert np.allclose(html_labeller._path_means(table, paths), want, atol=1e-4)
+    assert html_labeller._path_means(table, []).shape == (0, 4)
+
+
+def test_broken_nesting_takes_time_in_proportion():
+    page = "<b><svg><a href=x><div>word " * 20_000
+    chances, = html_labeller.train().label([html_labeller.blocks_of(page)])
+    assert len(chances) == 20_000
+
+
 def test_recurrent_gradients_are_right():
     rng = np.random.default_rng(0)
     net = html_labeller.Labeller.fresh(rng)
