@@ -2,8 +2,9 @@
 
 A fingerprint's 64 bits are cut into ``BLOCKS`` blocks. If two fingerprints differ in at most
 ``DISTANCE`` bits, at least ``BLOCKS - DISTANCE`` blocks are equal, so each choice of that many
-blocks is a join key and every close pair meets under one of them. Only distinct fingerprints
-take part, however many copies stand behind them.
+blocks is a join key and every close pair meets under one of them. A bucket of more than ``LARGEST``
+fingerprints is split by the same rule on its remaining bits. Only distinct fingerprints take part,
+however many copies stand behind them.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from itertools import accumulate, combinations
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm.common import map_batches, space_words
@@ -23,7 +24,7 @@ SHINGLE = 3
 SEED = 42
 DISTANCE = 3
 BLOCKS = 6  # 20 keys of about 32 bits: a key's bucket stays small up to billions of fingerprints
-SCAN_UP_TO = 1 << 18  # buckets beyond are searched by flipping bits, with the same result
+LARGEST = 1 << 14  # buckets beyond are split on their remaining bits, with the same links
 
 
 def fingerprint(text: str | None) -> int:
@@ -58,63 +59,52 @@ def with_fingerprints(docs: DataFrame) -> DataFrame:
     return map_batches(docs, ["doc_id", "text"], f"doc_id {kind}, fp bigint", make)
 
 
+def _masks_within(bits: list[int], blocks: int, distance: int) -> list[int]:
+    """Masks of every choice of ``blocks - distance`` blocks of the given bits."""
+    cuts = [round(len(bits) * i / blocks) for i in range(blocks + 1)]
+    masks = [sum(1 << b for b in bits[low:high]) for low, high in zip(cuts, cuts[1:])]
+    return [sum(chosen) for chosen in combinations(masks, blocks - distance)]
+
+
 def block_masks(blocks: int = BLOCKS, distance: int = DISTANCE) -> list[int]:
     """Bit masks of every choice of ``blocks - distance`` blocks."""
-    cuts = [round(64 * i / blocks) for i in range(blocks + 1)]
-    masks = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(cuts, cuts[1:])]
-    return [sum(chosen) for chosen in combinations(masks, blocks - distance)]
+    return _masks_within(list(range(64)), blocks, distance)
+
 
+def finer_masks(mask: int, blocks: int = BLOCKS, distance: int = DISTANCE) -> list[int]:
+    """Masks that split a bucket of ``mask``: its bits and every choice of blocks of the others.
 
-def close_tree(values: np.ndarray, mask: int, distance: int = DISTANCE) -> list[tuple[int, int]]:
+    Two of its fingerprints that are close agree under one of them, as close pairs do under the first masks.
+    """
+    others = [b for b in range(64) if not mask >> b & 1]
+    return [mask | finer for finer in _masks_within(others, blocks, distance)]
+
+
+def close_tree(values: np.ndarray, distance: int = DISTANCE) -> list[tuple[int, int]]:
     """Links that connect the distinct fingerprints of one bucket exactly as all its close pairs would.
 
-    ``mask`` has the bits that are equal throughout. Each fingerprint looks once at those not yet reached, so
-    memory is in proportion to the bucket and at most one link a fingerprint comes out.
+    Each fingerprint looks once at those not yet reached, so memory is in proportion to the bucket and at
+    most one link a fingerprint comes out.
     """
     found = []
-    free = [1 << b for b in range(64) if not mask >> b & 1]
-    flips = None
-    if len(values) > SCAN_UP_TO:
-        flips = np.array([sum(c) for k in range(1, distance + 1) for c in combinations(free, k)], np.uint64)
-        order = np.argsort(values)
-        ranked, waiting = values[order], np.ones(len(values), bool)
     left = np.arange(len(values))
     rest, queue = values.copy(), []
-    start = 0
-    while True:
+    while len(left):
         if queue:
             at = queue.pop()
-        elif flips is None and len(left):
-            at, left, rest = int(left[-1]), left[:-1], rest[:-1]
-        elif flips is not None and start < len(values):
-            start += 1
-            if not waiting[start - 1]:
-                continue
-            waiting[start - 1] = False
-            at = int(order[start - 1])
-        else:
-            return found
-        if flips is None:
-            if not len(left):
-                continue
-            near = np.bitwise_count(rest ^ values[at]) <= distance
-            if near.any():
-                reached = left[near].tolist()
-                left, rest = left[~near], rest[~near]
-            else:
-                continue
         else:
-            wanted = flips ^ values[at]
-            spots = np.minimum(np.searchsorted(ranked, wanted), len(ranked) - 1)
-            spots = spots[(ranked[spots] == wanted) & waiting[spots]]
-            waiting[spots] = False
-            reached = order[spots].tolist()
-        found += [(at, other) for other in reached]
-        queue += reached
+            at, left, rest = int(left[-1]), left[:-1], rest[:-1]
+        near = np.bitwise_count(rest ^ values[at]) <= distance
+        if near.any():
+            reached = left[near].tolist()
+            left, rest = left[~near], rest[~near]
+            found += [(at, other) for other in reached]
+            queue += reached
+    return found
 
 
-def _bucket_links(masks: list[int]):
-    """A task's step over rows sorted by key: whole buckets are linked, the last one waits for the next batch."""
+def _bucket_links():
+    """A task's step over rows sorted by bucket: whole buckets are linked, the last one waits for the next batch."""
     held: list[np.ndarray] = []
 
     def link(rows: np.ndarray) -> tuple[list, list]:
@@ -123,14 +113,14 @@ def _bucket_links(masks: list[int]):
         begins = np.concatenate([[0], edges])
         sizes = np.diff(np.append(begins, len(rows)))
         for begin, size in zip(begins[sizes > 1].tolist(), sizes[sizes > 1].tolist()):
-            part = rows[begin:begin + size]
-            for i, j in close_tree(part[:, 2].view(np.uint64), masks[int(part[0, 0])]):
-                a.append(int(part[i, 2]))
-                b.append(int(part[j, 2]))
+            part = np.unique(rows[begin:begin + size, 2])  # the same finer mask may come from two large buckets
+            for i, j in close_tree(part.view(np.uint64)):
+                a.append(int(part[i]))
+                b.append(int(part[j]))
         return a, b
 
-    def step(choice, key, fp):
-        rows = np.array([choice, key, fp], np.int64).T
+    def step(mask, key, fp):
+        rows = np.array([mask, key, fp], np.int64).T
         held.append(np.ascontiguousarray(rows))
         if (rows[-1, :2] == held[0][0, :2]).all():
             return None
@@ -150,18 +140,35 @@ def _bucket_links(masks: list[int]):
     return step
 
 
+def _keyed(masks: Column, fp: str = "fp") -> Column:
+    """A row per mask of an array column: the mask and the fingerprint's bits under it."""
+    return F.inline(F.transform(masks, lambda m: F.struct(m.alias("mask"), m.bitwiseAND(F.col(fp)).alias("key"))))
+
+
+def close_links(nodes: DataFrame, largest: int = LARGEST) -> DataFrame:
+    """Links ``(a, b)`` that connect the distinct values of ``fp`` exactly as all close pairs would.
+
+    Buckets are counted first, partly before the shuffle. Those beyond ``largest`` go on by the finer masks of their own
+    mask: the finer buckets agree in about 48 bits, so none can hold more than some 2^17 distinct fingerprints and
+    each is a task's work, however many fingerprints share the first 32 bits.
+    """
+    masks = block_masks()
+    keyed = nodes.select(_keyed(F.array(*[F.lit(_signed(m)) for m in masks])), "fp")
+    large = write_once(keyed.groupBy("mask", "key").agg(F.count("*").alias("n")).where(F.col("n") > largest).select("mask", "key"), "large-buckets")
+    finer = F.create_map(*[x for m in masks for x in (F.lit(_signed(m)), F.array(*[F.lit(_signed(f)) for f in finer_masks(m)]))])
+    split = keyed.join(large, ["mask", "key"], "left_semi").select(_keyed(finer[F.col("mask")]), "fp")
+    buckets = keyed.join(large, ["mask", "key"], "left_anti").unionByName(split)
+    sorted_buckets = buckets.repartition("mask", "key").sortWithinPartitions("mask", "key")
+    return map_batches(sorted_buckets, ["mask", "key", "fp"], "a bigint, b bigint", _bucket_links)
+
+
 def _components(prints: DataFrame) -> DataFrame:
     """``fp, root_fp, component_id`` of every distinct fingerprint of ``(doc_id, fp)``.
 
     The graph's nodes are fingerprints, so an id that stands for several texts connects nothing.
     """
     nodes = write_once(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "distinct-fingerprints")
-    masks = block_masks()
-    keyed = nodes.where("rep IS NOT NULL").select(
-        F.explode(F.array(*[F.struct(F.lit(i).alias("choice"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key"))
-                            for i, m in enumerate(masks)])).alias("k"), "fp").select("k.choice", "k.key", "fp")
-    buckets = keyed.repartition("choice", "key").sortWithinPartitions("choice", "key")
-    links = map_batches(buckets, ["choice", "key", "fp"], "a bigint, b bigint", lambda: _bucket_links(masks))
+    links = close_links(nodes.where("rep IS NOT NULL"))
     rooted = nodes.join(component_roots(links), F.col("fp") == F.col("node"), "left").select(
         "fp", "rep", F.coalesce("root", "fp").alias("root_fp"))
     rooted = write_once(rooted, "fingerprint-roots")

@@ -133,7 +133,49 @@ def test_bit_flips_meet_under_some_key():
         assert any(a & m == b & m for m in masks)
 
 
-def test_both_bucket_searches_connect_alike(monkeypatch):
+def test_finer_masks_keep_close_pairs_together():
+    rng = random.Random(4)
+    for mask in simhash_blocks.block_masks():
+        finer = simhash_blocks.finer_masks(mask)
+        assert len(finer) == 20 and all(f & mask == mask and (64 - f.bit_count()) <= 18 for f in finer)
+        free = [b for b in range(64) if not mask >> b & 1]
+        for _ in range(30):
+            a = rng.getrandbits(64)
+            b = a
+            for bit in rng.sample(free, 3):
+                b ^= 1 << bit
+            assert any(a & f == b & f for f in finer)
+
+
+def test_split_buckets_link_alike(spark):
+    rng = random.Random(5)
+    values = {rng.getrandbits(12) for _ in range(400)} | {rng.getrandbits(64) for _ in range(200)}
+    for v in list(values)[:100]:
+        values.add(v ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)))
+    nodes = spark.createDataFrame([(simhash_blocks._signed(v),) for v in values], "fp bigint")
+
+    def classes(links):
+        least = {simhash_blocks._signed(v): simhash_blocks._signed(v) for v in values}
+        changed = True
+        while changed:
+            changed = False
+            for a, b in links:
+                low = min(least[a], least[b])
+                changed |= least[a] != low or least[b] != low
+                least[a] = least[b] = low
+        return least
+
+    listed = sorted(values)
+    every = [(simhash_blocks._signed(a), simhash_blocks._signed(b)) for i, a in enumerate(listed) for b in listed[:i] if (a ^ b).bit_count() <= 3]
+    want = classes(every)
+    assert len(set(want.values())) < len(want)
+    for largest in (simhash_blocks.LARGEST, 20, 1):
+        links = [tuple(r) for r in simhash_blocks.close_links(nodes, largest).collect()]
+        assert set(links) <= {*every, *((b, a) for a, b in every)}
+        assert classes(links) == want
+
+
+def test_bucket_search_connects_as_all_pairs():
     rng = np.random.default_rng(2)
     mask = simhash_blocks.block_masks()[0]
     free = [1 << b for b in range(64) if not mask >> b & 1]
@@ -147,11 +189,9 @@ def test_both_bucket_searches_connect_alike(monkeypatch):
         return least
 
     every = [(i, j) for i in range(len(values)) for j in range(i) if int(values[i] ^ values[j]).bit_count() <= 3]
-    scanned = simhash_blocks.close_tree(values, mask)
-    monkeypatch.setattr(simhash_blocks, "SCAN_UP_TO", 0)
-    flipped = simhash_blocks.close_tree(values, mask)
-    assert groups(scanned) == groups(flipped) == groups(every)
-    assert len(scanned) == len(flipped) == len(values) - len(set(groups(every)))
+    found = simhash_blocks.close_tree(values)
+    assert groups(found) == groups(every)
+    assert len(found) == len(values) - len(set(groups(every)))
 
 
 def test_components_of_a_long_chain_and_a_star(spark):
