@@ -6,7 +6,8 @@ stay out. Test windows are found by backward search, placed by sampled suffix po
 overlapping places become removal spans.
 
 The benchmark is taken in blocks of bounded size, each sent to the tasks in turn; documents stream
-past once a block and carry what was found so far. Nothing is shuffled.
+past once a block and carry what was found so far. A bounded number of blocks makes a pass; between two
+passes the documents and their findings are written, and the blocks sent so far are released. Nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -19,10 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm.common import alnum_words, map_batches
+from martloom.session import write_once
 
 WINDOW = 13
 SHARE = 20  # contaminated: one word in so many is hit
 BLOCK_BYTES = 4 << 20  # benchmark text sent to the tasks at a time
+PASS_BLOCKS = 8  # blocks whose Python workers run side by side in a task
 SHARD_WORDS = 1_000_000  # words indexed together; a longer document is a shard of its own
 
 FOUND = "n_words bigint, hit_starts array<bigint>, hit_ends array<bigint>, items array<string>"
@@ -113,7 +116,7 @@ def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> in
 
 
 def find_passages(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] = ("doc_id",), window: int = WINDOW,
-                  block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                  block_bytes: int = BLOCK_BYTES, pass_blocks: int = PASS_BLOCKS) -> DataFrame:
     """``keep`` columns, n_words, the merged spans of hit words (hit_starts, hit_ends) and the items found.
 
     Null and empty texts have no words. Repeated items count once by id; a null item id shows as an empty one.
@@ -125,9 +128,16 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] =
     kept = docs.select(*keep).schema
     passed = docs.select(F.struct(*keep).alias("kept"), F.col("text"), F.array().cast("array<bigint>").alias("hit_starts"),
                          F.array().cast("array<bigint>").alias("hit_ends"), F.array().cast("array<string>").alias("items"))
+    waiting = []
     for block in range(blocks):
+        if len(waiting) == pass_blocks:
+            passed = write_once(passed, "contamination-pass")
+            for sent in waiting:
+                sent.destroy()
+            waiting = []
         rows = benchmark.where(spread == block).select("item_id", "text").collect()
         sent = spark.sparkContext.broadcast([tuple(r) for r in rows])
+        waiting.append(sent)
         last = block == blocks - 1
         text = "" if last else ", text string"
 
@@ -186,7 +196,11 @@ def without_spans(text: str | None, starts: list[int], ends: list[int]) -> str |
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that are not contaminated, unchanged."""
+    """The documents that are not contaminated, unchanged and with all their columns.
+
+    Null and empty texts have no words and stay. Each of several equal rows, or rows of one id, is judged by its own text.
+    An empty benchmark keeps all rows; an empty table gives none.
+    """
     columns = tuple(docs.columns)
     return contamination(docs, benchmark, columns).where(~F.col("contaminated")).select(*columns)
 

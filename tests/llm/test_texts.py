@@ -250,6 +250,10 @@ def test_contamination_against_the_definition(spark, small):
     in_blocks = fm_decontaminate.find_passages(docs, benchmark, block_bytes=150)
     assert fm_decontaminate.benchmark_blocks(benchmark, 150) > 3
     assert sorted(map(str, rows(whole))) == sorted(map(str, rows(in_blocks)))
+    in_passes = fm_decontaminate.find_passages(docs, benchmark, block_bytes=150, pass_blocks=2)
+    plan = in_passes._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") in (1, 2)
+    assert sorted(map(str, rows(whole))) == sorted(map(str, rows(in_passes)))
     kept = Counter(r.text for r in fm_decontaminate.clean(docs, benchmark).collect())
     assert kept == Counter(t for (_, t), w in zip(texts, want) if not w[5])
     none = benchmark.limit(0)
