@@ -6,7 +6,7 @@ paths evaluate the same expression.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
@@ -37,6 +37,16 @@ FLASH_SALE_PAGE = "flash-sale"
 STOCK_STATUS_LABELS = ("OUT_OF_STOCK", "LOW_STOCK", "REORDER_NEEDED", "OK")
 STOCK_SEVERITY_LABELS = ("Critical", "High", "Medium", "Low")
 
+# the alert that holds where stock is at or below the limit, first fit first; None is nothing left
+STOCK_ALERTS = {"OUT_OF_STOCK": None, "LOW_STOCK": "safety", "REORDER": "reorder"}
+
+# the alert that holds beyond so many times the threshold, first fit first
+RECONCILIATION_ALERTS = {"CRITICAL": 3, "WARNING": 1}
+RECONCILIATION_FINE = "OK"
+
+# what a valid order's columns must satisfy
+ORDER_VALIDATIONS = {"order_id": "IS NOT NULL", "customer_id": "IS NOT NULL", "amount": "> 0"}
+
 REGION_VI = {"North": "Miền Bắc", "Central": "Miền Trung", "South": "Miền Nam"}
 
 # segment -> (recency, frequency, monetary) score ranges; earlier segments win
@@ -81,18 +91,12 @@ REVENUE_DAILY = AggregateRule(
     },
 )
 
-ORDER_VALIDATIONS: dict[str, Callable[[Column], Column]] = {
-    "order_id": Column.isNotNull,
-    "customer_id": Column.isNotNull,
-    "amount": lambda c: c > 0,
-}
-
 
 # --- orders -----------------------------------------------------------------
 
 def order_filter() -> Column:
     """An order counts when it has an id, a customer and a positive amount."""
-    return reduce(Column.__and__, [test(F.col(name)) for name, test in ORDER_VALIDATIONS.items()])
+    return reduce(Column.__and__, [F.expr(f"{name} {test}") for name, test in ORDER_VALIDATIONS.items()])
 
 
 def is_completed(status: ColumnLike = "status") -> Column:
@@ -191,8 +195,8 @@ def inventory_alert(qty: ColumnLike = "qty_available", safety: ColumnLike = "saf
                     reorder: ColumnLike = "reorder_point") -> Column:
     """Shared rule: thresholds are inclusive, healthy stock gives null."""
     available = as_col(qty)
-    limits = {"OUT_OF_STOCK": F.lit(0), "LOW_STOCK": as_col(safety), "REORDER": as_col(reorder)}
-    return F.coalesce(*[F.when(available <= limit, F.lit(label)) for label, limit in limits.items()])
+    limits = {None: F.lit(0), "safety": as_col(safety), "reorder": as_col(reorder)}
+    return F.coalesce(*[F.when(available <= limits[limit], F.lit(label)) for label, limit in STOCK_ALERTS.items()])
 
 
 # --- reconciliation ---------------------------------------------------------
@@ -200,11 +204,8 @@ def inventory_alert(qty: ColumnLike = "qty_available", safety: ColumnLike = "saf
 def reconciliation_alert(pct: ColumnLike = "discrepancy_pct",
                          threshold: float = RECONCILIATION_THRESHOLD_PCT) -> Column:
     drift = as_col(pct)
-    return F.coalesce(
-        F.when(drift > threshold * 3, F.lit("CRITICAL")),
-        F.when(drift > threshold, F.lit("WARNING")),
-        F.lit("OK"),
-    )
+    alerts = [F.when(drift > threshold * times, F.lit(label)) for label, times in RECONCILIATION_ALERTS.items()]
+    return F.coalesce(*alerts, F.lit(RECONCILIATION_FINE))
 
 
 def drift_pct(batch: ColumnLike, stream: ColumnLike) -> Column:

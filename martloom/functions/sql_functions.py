@@ -11,27 +11,30 @@ from martloom.functions import rules
 _QUOTED = {name: ", ".join(f"'{s}'" for s in values) for name, values in
            {"completed": rules.COMPLETED_STATUSES, "cancelled": rules.CANCELLED_STATUSES}.items()}
 
-
-
 def _text(value: str | None) -> str:
     return "NULL" if value is None else "'" + value.replace("'", "''") + "'"
 
 
+def _first(cases: list[tuple[str, str]], fallback: str | None) -> str:
+    """The label of the first test that holds, as one CASE."""
+    whens = " ".join(f"WHEN {test} THEN {_text(label)}" for test, label in cases)
+    return f"CASE {whens} ELSE {_text(fallback)} END"
+
+
 def _gateway(name: str) -> str:
     """The gateway's code table as one CASE."""
     codes, fallback = rules.GATEWAY_STATUS[name]
-    whens = " ".join(f"WHEN {_text(code)} THEN {_text(status)}" for code, status in codes.items())
-    return f"CASE code {whens} ELSE {_text(fallback)} END"
+    return _first([(f"code = {_text(code)}", status) for code, status in codes.items()], fallback)
 
 
 def _bands(bands: Mapping[str, tuple], scores: tuple[str, ...], fallback: str | None) -> str:
     """A table of score ranges as one CASE, first fit first."""
-    whens = []
+    cases = []
     for label, ranges in bands.items():
         tests = [f"{score} {sign} {end}" for score, ends in zip(scores, ranges) if ends
                  for sign, end in zip((">=", "<="), ends) if end is not None]
-        whens.append(f"WHEN {' AND '.join(tests)} THEN {_text(label)}")
-    return f"CASE {' '.join(whens)} ELSE {_text(fallback)} END"
+        cases.append((" AND ".join(tests), label))
+    return _first(cases, fallback)
 
 
 _SCORES = "r INT, f INT, m INT"
@@ -47,17 +50,15 @@ def _stock(labels: tuple[str, str, str, str]) -> str:
 SQL_FUNCTIONS = {
     "is_valid_order": (
         "order_id STRING, customer_id STRING, amount DECIMAL(18,2)", "BOOLEAN",
-        "order_id IS NOT NULL AND customer_id IS NOT NULL AND coalesce(amount > 0, false)"),
+        " AND ".join(f"coalesce({name} {test}, false)" for name, test in rules.ORDER_VALIDATIONS.items())),
     "is_completed": ("status STRING", "BOOLEAN", f"status IN ({_QUOTED['completed']})"),
     "is_cancelled": ("status STRING", "BOOLEAN", f"status IN ({_QUOTED['cancelled']})"),
     "inventory_alert": (
-        "qty INT, safety INT, reorder INT", "STRING",
-        "coalesce(if(qty <= 0, 'OUT_OF_STOCK', NULL), if(qty <= safety, 'LOW_STOCK', NULL), "
-        "if(qty <= reorder, 'REORDER', NULL))"),
+        _STOCK, "STRING", _first([(f"qty <= {limit or 0}", label) for label, limit in rules.STOCK_ALERTS.items()], None)),
     "reconciliation_alert": (
         "pct DOUBLE", "STRING",
-        f"coalesce(if(pct > {rules.RECONCILIATION_THRESHOLD_PCT * 3}, 'CRITICAL', NULL), "
-        f"if(pct > {rules.RECONCILIATION_THRESHOLD_PCT}, 'WARNING', NULL), 'OK')"),
+        _first([(f"pct > {rules.RECONCILIATION_THRESHOLD_PCT * times}D", label) for label, times in rules.RECONCILIATION_ALERTS.items()],
+               rules.RECONCILIATION_FINE)),
     "phone_digits": (
         "phone STRING", "STRING",
         "regexp_replace(regexp_replace(phone, '[^0-9]', ''), '^84', '0')"),

@@ -28,13 +28,15 @@ def spread_nulls(key: Column, *by: Column) -> Column:
     return F.coalesce(key.cast("string"), F.concat(F.lit("\u0000"), slot))
 
 
-def left_lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str, spread_by: str) -> DataFrame:
+def left_lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
+                spread_by: str | Sequence[str]) -> DataFrame:
     """Left equi-join on a nullable key; the right key column is not kept.
 
-    ``spread_by`` is a well-filled column of the left side that scatters its null keys.
+    ``spread_by`` is a well-filled column of the left side, or several, that scatter its null keys.
     """
+    spread = [spread_by] if isinstance(spread_by, str) else spread_by
     keyed = right.where(F.col(right_key).isNotNull()).withColumnRenamed(right_key, "_right_key")
-    match = spread_nulls(left[left_key], left[spread_by]) == keyed["_right_key"].cast("string")
+    match = spread_nulls(left[left_key], *[left[c] for c in spread]) == keyed["_right_key"].cast("string")
     return left.join(keyed, match, "left").drop("_right_key")
 
 
@@ -87,8 +89,12 @@ def left_join_any_key(left: DataFrame, right: DataFrame, keys: Sequence[tuple[st
 
 
 def with_dims(fact: DataFrame, *dims: tuple[DataFrame, str]) -> DataFrame:
-    """Left lookups of a fact in its dimensions, one shared key column each."""
-    return reduce(lambda df, dim: df.join(dim[0], dim[1], "left"), dims, fact)
+    """Left lookups of a fact in its dimensions, one shared key column each.
+
+    Rows without a key are scattered by what else they hold.
+    """
+    spread_by = [c for c, kind in fact.dtypes if "map<" not in kind]
+    return reduce(lambda df, dim: left_lookup(df, dim[0], dim[1], dim[1], spread_by), dims, fact)
 
 
 def orphans(fact: DataFrame, fk: str, dim: DataFrame, pk: str) -> DataFrame:

@@ -129,3 +129,22 @@ def test_any_key_join_shuffles_each_side_once(spark):
 def test_null_keys_are_scattered(spark):
     keys = spark.range(1000).select(joins.spread_nulls(F.lit(None).cast("string"), F.col("id")).alias("k"))
     assert keys.distinct().count() > 500
+
+
+def test_star_lookup_scatters_rows_without_a_key(spark):
+    limits = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold",
+              "spark.sql.adaptive.coalescePartitions.enabled")
+    before = {k: spark.conf.get(k, None) for k in limits}
+    for k, v in zip(limits, ("-1", "-1", "false")):
+        spark.conf.set(k, v)
+    try:
+        fact = spark.range(0, 900, 1, 4).select("id", F.when(F.col("id") % 3 != 0, (F.col("id") % 50).cast("string")).alias("store_id"))
+        stores = spark.range(40).select(F.col("id").cast("string").alias("store_id"), F.concat(F.lit("s"), "id").alias("store_name"))
+        stores = stores.unionByName(spark.createDataFrame([(None, "nobody's")], "store_id string, store_name string"))
+        found = joins.with_dims(fact, (stores, "store_id")).withColumn("part", F.spark_partition_id()).collect()
+        assert len(found) == 900
+        assert all(r.store_name == (f"s{r.store_id}" if r.store_id and int(r.store_id) < 40 else None) for r in found)
+        assert len({r.part for r in found if r.store_id is None}) > 1
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
