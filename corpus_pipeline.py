@@ -16,22 +16,27 @@ from martloom.session import write_once  # noqa: E402
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents not predicted toxic. Each row is judged by its own text, a null one as an empty one; an empty table gives none."""
     return channel_toxicity.accepted(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each component; rows without an id all stay, empty texts are copies of each other."""
     return simhash_blocks.one_of_each(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not contaminated; texts without words stay, and all rows if the benchmark is empty."""
     return fm_decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, each finding replaced; null texts stay null and no row is dropped."""
     return secret_cnn.redact(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every row, repeats included; a null or empty text has none."""
     return prefix_bpe.encode_documents(docs, BPE_RANKS, BPE_PATTERN, ("doc_id", "lang", "source", "n_chars"), with_ids=True)
 
 
