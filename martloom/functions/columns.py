@@ -47,6 +47,17 @@ def surrogate_key(*parts: ColumnLike) -> Column:
     return F.md5(F.concat_ws("-", *filled))
 
 
+def packed_key(key: ColumnLike) -> Column:
+    """A text key as bytes, half as long if it is an md5 in lower case; different keys stay different.
+
+    Only such a key has 16 bytes: all others get a tail that makes them longer.
+    """
+    text = as_col(key).cast("string")
+    raw = F.unhex(text)
+    is_md5 = (F.length(text) == 32) & (F.lower(F.hex(raw)) == text)
+    return F.when(is_md5, raw).otherwise(F.concat(text.cast("binary"), F.lit(bytes(17))))
+
+
 # --- arithmetic -------------------------------------------------------------
 
 def safe_ratio(numerator: ColumnLike, denominator: ColumnLike) -> Column:

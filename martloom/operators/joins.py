@@ -35,9 +35,10 @@ def left_lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str
     ``spread_by`` is a well-filled column of the left side, or several, that scatter its null keys.
     """
     spread = [spread_by] if isinstance(spread_by, str) else spread_by
-    keyed = right.where(F.col(right_key).isNotNull()).withColumnRenamed(right_key, "_right_key")
-    match = spread_nulls(left[left_key], *[left[c] for c in spread]) == keyed["_right_key"].cast("string")
-    return left.join(keyed, match, "left").drop("_right_key")
+    keyed = right.where(F.col(right_key).isNotNull()).withColumn(right_key, F.col(right_key).cast("string")).withColumnRenamed(right_key, "_right_key")
+    # A column of its own, so that neither the key nor what scatters it moves along unless it is asked for.
+    named = left.withColumn("_left_key", spread_nulls(F.col(left_key), *[F.col(c) for c in spread]))
+    return named.join(keyed, F.col("_left_key") == F.col("_right_key"), "left").drop("_left_key", "_right_key")
 
 
 def with_exists_flag(df: DataFrame, key: str, keys: DataFrame, keys_column: str, name: str, spread_by: str) -> DataFrame:

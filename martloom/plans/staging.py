@@ -25,6 +25,8 @@ def stg_pos_transactions(raw: DataFrame) -> DataFrame:
     if "items" not in raw.columns:  # a CSV drop cannot carry the array
         raw = raw.withColumn("items", F.lit(None).cast(schemas.ITEMS))
     valid = require_keys(raw, "txn_id").where("total_amount > 0")
+    # The day of a true time stamp follows from it, so it is not shuffled; a text may hold a day without a readable time.
+    follows = dict(raw.dtypes)["txn_timestamp"] == "timestamp"
     typed = select_typed(valid, [
         "txn_id", "store_id", "customer_phone", "cashier_id",
         ("total_amount", "total_amount_vnd", "bigint"),
@@ -32,9 +34,10 @@ def stg_pos_transactions(raw: DataFrame) -> DataFrame:
         ("tax_amount", "tax_amount_vnd", "bigint"),
         "payment_method", "num_items", "items",
         ("txn_timestamp", "txn_timestamp", "timestamp"),
-        ("txn_timestamp", "txn_date", "date"),
+        *([] if follows else [("txn_timestamp", "txn_date", "date")]),
     ])
-    return latest_per_key(typed, ["txn_id"], "txn_timestamp", pos_ties())
+    newest = latest_per_key(typed, ["txn_id"], "txn_timestamp", pos_ties())
+    return newest.withColumn("txn_date", F.to_date("txn_timestamp")) if follows else newest
 
 
 def pos_ties() -> list[Column | str]:
