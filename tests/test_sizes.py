@@ -62,6 +62,17 @@ def test_the_day_of_a_sale_is_not_shuffled_and_texts_keep_theirs(spark):
     assert row["txn_timestamp"] is None and row["txn_date"] == dt.date(2024, 1, 2)
 
 
+def test_ratios_follow_the_ranks(spark):
+    stores = spark.createDataFrame([("A", "a", "North", "n", "c", "big", 2, 10)], "store_id string, store_name string, region string, region_vi string, "
+                                   "city string, store_size string, staff_count int, sqm int")
+    scored = marts.fct_store_performance(marts.fct_revenue_daily(_orders(spark)), stores)
+    assert scored.columns[-5:] == [*marts.RATIOS, *marts.RANKS] and "sqm" not in scored.columns
+    (row,) = scored.collect()
+    assert (row["revenue_per_staff_vnd"], row["revenue_per_sqm_vnd"], row["rank_overall"]) == (30.0, 6.0, 1)
+    moved = _moved(scored)
+    assert "region_vi" in moved and not any(ratio in moved for ratio in marts.RATIOS)
+
+
 def test_a_lookup_moves_neither_the_key_nor_what_scatters_it(spark):
     left = spark.range(10).selectExpr("cast(id AS string) AS wide", "cast(id % 3 AS string) AS k", "id AS v")
     right = spark.range(3).selectExpr("cast(id AS string) AS r", "id AS w")
