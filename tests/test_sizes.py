@@ -52,6 +52,14 @@ def test_packed_keys_stay_apart(spark):
     assert len(set(map(bytes, packed[:-1]))) == len(texts) - 1 and packed[-1] is None and len(packed[0]) == 16
 
 
+def test_customer_metrics_need_one_shuffle_and_equal_those_by_day(spark):
+    orders, as_of = _orders(spark), F.lit(dt.date(2024, 2, 1))
+    got = intermediate.int_customer_metrics(orders, as_of)
+    assert _shuffles(got) == 1
+    by_day = intermediate.customer_metrics(intermediate.customer_days(orders), as_of)
+    assert got.schema == by_day.schema and sorted(got.collect(), key=str) == sorted(by_day.collect(), key=str)
+
+
 def test_the_day_of_a_sale_is_not_shuffled_and_texts_keep_theirs(spark):
     raw = spark.createDataFrame([], schemas.POS_TRANSACTIONS)
     moved = _moved(staging.stg_pos_transactions(raw))
