@@ -37,6 +37,17 @@ def _shuffles(df) -> int:
     return plan_of(df).split("\n\n")[0].count("Exchange")
 
 
+def test_packed_drops_are_compressed_bounded_and_read_back(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "PACKED_ROWS", 2)
+    rows = spark.createDataFrame([(i, "view", i) for i in range(5)], schemas.CLIENT_PAYLOAD).coalesce(1)
+    for fmt, read in (("json", landing.read_json_landing), ("csv", landing.read_csv_landing)):
+        path = tables.write_records(rows, str(tmp_path), fmt, "2024-01-01", fmt, packed=True)
+        files = [f for f in os.listdir(path) if f.startswith("part-")]
+        assert len(files) == 3 and all(f.endswith(f".{fmt}.gz") for f in files)
+        tables.write_records(rows, str(tmp_path), fmt, "2024-01-01", fmt)  # plain files beside them are read too
+        assert sorted(r["event_id"] for r in read(spark, str(tmp_path), fmt, "2024-01-01", schemas.CLIENT_PAYLOAD).collect()) == sorted([*range(5)] * 2)
+
+
 def test_daily_revenue_needs_one_shuffle(spark):
     daily = marts.fct_revenue_daily(_orders(spark))
     assert _shuffles(daily) == 1
