@@ -65,7 +65,7 @@ def declared_checks(lake: Lake, as_of: Column) -> dict[str, list[Check]]:
         "fct_revenue_daily": [
             Check.row_count(), Check.metric("min(total_revenue_vnd)", ">=", 0), Check.missing("date_key"),
             Check.missing("total_revenue_vnd"), Check.in_range("total_revenue_vnd", low=0),
-            Check.relationship("date_key", lake["dim_date"], "date_key")],
+            Check.relationship("date_key", lambda: lake["dim_date"], "date_key")],
         "fct_revenue_monthly": [Check.missing("month_key"), Check.duplicates("month_key")],
         "fct_reconciliation": [
             Check.row_count(), Check.missing("date_key"), Check.duplicates("date_key"),
@@ -77,7 +77,7 @@ def declared_checks(lake: Lake, as_of: Column) -> dict[str, list[Check]]:
         "fct_funnel_daily": [Check.missing("date_key"), Check.in_range("overall_conversion_rate", 0, 1)],
         "fct_store_performance": [
             Check.missing("store_id"), Check.missing("date_key"), Check.in_range("total_revenue_vnd", low=0),
-            Check.relationship("store_id", lake["dim_stores"], "store_id")],
+            Check.relationship("store_id", lambda: lake["dim_stores"], "store_id")],
         "fct_inventory_alerts": [
             Check.missing("store_id"), Check.missing("sku"), Check.accepted("stock_status", STOCK_STATUSES),
             Check.accepted("alert_severity", SEVERITIES)],

@@ -103,3 +103,11 @@ def test_a_lookup_moves_neither_the_key_nor_what_scatters_it(spark):
         assert sorted(map(tuple, joined.collect())) == [(i, i % 3) for i in range(10)]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_dimension_may_be_named_before_it_stands(spark):
+    held = {}
+    check = Check.relationship("k", lambda: held["dim"], "id")
+    held["dim"] = spark.range(2)
+    (row,) = run_checks(spark.range(3).toDF("k"), [check]).collect()
+    assert (row["measured"], row["status"]) == (1.0, "fail")
