@@ -111,3 +111,10 @@ def test_a_dimension_may_be_named_before_it_stands(spark):
     held["dim"] = spark.range(2)
     (row,) = run_checks(spark.range(3).toDF("k"), [check]).collect()
     assert (row["measured"], row["status"]) == (1.0, "fail")
+
+
+def test_monthly_revenue_over_daily_needs_two_shuffles(spark):
+    orders = _orders(spark)
+    assert _shuffles(marts.monthly_sums(marts.fct_revenue_daily(orders))) == 2
+    got = marts.fct_revenue_monthly(marts.fct_revenue_daily(orders), orders).collect()
+    assert {(r["month_key"], r["monthly_distinct_customers"]) for r in got} == {(dt.date(2024, 1, 1), 2), (None, None)}
