@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from martloom.operators.quality import Check, observed, observed_report, run_che
 from martloom.plans import daily
 from martloom.plans.daily import load_until
 from martloom.plans.lake import SAMPLE_AS_OF, Lake
+from martloom.session import side_by_side
 from martloom.sources import store as store_module
 from martloom.sources.sample import raw_view
 from martloom.sources.store import TableStore, Transaction, among
@@ -138,6 +140,36 @@ def test_a_source_is_read_above_its_mark_only(spark, tmp_path):
     assert rows(daily.arrived(spark.read.parquet(path), None, dt.date(2024, 1, 1))) == [(1,)]
 
 
+def test_a_merge_into_every_partition_does_not_look_for_keys(spark, tmp_path, monkeypatch):
+    store = TableStore(spark, str(tmp_path))
+    store.put("t", frame(spark, (1, 1, "p"), (2, 1, "q"), (3, 1, None)), "part")
+    looked = []
+    values_of = store_module.values_of
+    monkeypatch.setattr(store_module, "values_of", lambda df, column: looked.append(column) or values_of(df, column))
+    store.merge("t", frame(spark, (1, 2, "q"), (4, 2, "p"), (5, 2, None)), ["id"], "v", "part", ["id"])
+    assert len(looked) == 2  # of the updates, and of what was written
+    assert rows(store.read("t")) == rows(frame(spark, (1, 2, "q"), (2, 1, "q"), (3, 1, None), (4, 2, "p"), (5, 2, None)))
+
+
+def test_a_first_load_writes_its_staging_once_and_years_without_a_shuffle(spark, tmp_path, monkeypatch):
+    store = TableStore(spark, str(tmp_path))
+    nothing = spark.createDataFrame([], "id int, landed date")
+    load = daily.Load(store, lambda source: nothing, None, dt.date(2024, 1, 1), SAMPLE_AS_OF, grain="year")
+    monkeypatch.setattr(daily, "write_once", lambda *_: (_ for _ in ()).throw(Killed()))
+    sales = spark.range(8, numPartitions=4).selectExpr("cast(id AS string) AS txn_id", "make_date(2024 + int(id % 2), 1, 1) AS txn_date")
+    assert load.fold("stg_pos__transactions", sales, ["txn_id"], lambda rows: rows) == {"2024", "2025"}
+    assert rows(load.read("stg_pos__transactions")) == rows(sales)
+    assert len(list(tmp_path.rglob("*.parquet"))) == 8  # four tasks, two years; gathered, it would be one a year
+
+
+def test_steps_run_side_by_side_in_order_and_fail_together():
+    meet, ended = threading.Barrier(3, timeout=20), []
+    assert side_by_side(*[lambda i=i: (meet.wait(), i)[1] for i in range(3)]) == [0, 1, 2]
+    with pytest.raises(Killed):
+        side_by_side(lambda: (_ for _ in ()).throw(Killed()), lambda: ended.append(1))
+    assert ended == [1]
+
+
 def test_late_corrections_reach_their_day_and_a_dead_load_changes_nothing(spark, small, tmp_path, monkeypatch):
     """A sale that comes late, one that is corrected, one that moves to another year, and a customer who registers after buying."""
     sources = small_sources(spark, small, {"pos_transactions", "ecom_orders", "ecom_customers", "loyalty_members"})
