@@ -13,7 +13,9 @@ from martloom.functions.columns import packed_key
 from martloom.operators import joins
 from martloom.operators.quality import Check, run_checks
 from martloom.plans import intermediate, marts, staging
+from martloom.session import configure, workspace
 from martloom.sources import landing, tables
+from martloom.sources.sample import raw_stream
 from tests.conftest import plan_of
 
 ORDERS = ("order_id string, channel string, store_id string, customer_uid string, total_amount_vnd bigint, discount_amount_vnd bigint, "
@@ -118,3 +120,13 @@ def test_monthly_revenue_over_daily_needs_two_shuffles(spark):
     assert _shuffles(marts.monthly_sums(marts.fct_revenue_daily(orders))) == 2
     got = marts.fct_revenue_monthly(marts.fct_revenue_daily(orders), orders).collect()
     assert {(r["month_key"], r["monthly_distinct_customers"]) for r in got} == {(dt.date(2024, 1, 1), 2), (None, None)}
+
+
+def test_state_is_not_counted_at_every_write(spark, small):
+    """A stream over stored rows keeps them in state without the lookups that counting takes: the store reports no total."""
+    seen = raw_stream(spark, small, "order_events").select("order_id", "event_time").withWatermark("event_time", "1 hour").dropDuplicates()
+    stream = configure(spark) and seen.writeStream.format("noop").outputMode("append").option(
+        "checkpointLocation", workspace(spark, "uncounted")).trigger(availableNow=True).start()
+    stream.awaitTermination()
+    states = [state for progress in stream.recentProgress for state in progress["stateOperators"]]
+    assert sum(s["numRowsUpdated"] for s in states) > 0 and {s["numRowsTotal"] for s in states} == {0}
