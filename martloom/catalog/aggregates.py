@@ -11,7 +11,7 @@ from martloom.functions import rules
 from martloom.functions.columns import count_where, exact_mean
 from martloom.operators import quality, reconcile
 from martloom.operators.shaping import aggregate_rule, pivot_sum, union_all
-from martloom.plans.marts import fct_revenue_monthly
+from martloom.plans.marts import fct_revenue_monthly_distinct
 from martloom.sources.sample import raw_view, table
 
 
@@ -84,7 +84,7 @@ def _(lake):
                       count(DISTINCT customer_uid) AS monthly_distinct_customers
                FROM int_orders_all_channels WHERE status NOT IN ('cancelled', 'returned') GROUP BY 1) d USING (month_key)""")
 def _(lake):
-    return fct_revenue_monthly(lake["fct_revenue_daily"], lake["int_orders_all_channels"])
+    return fct_revenue_monthly_distinct(lake["int_orders_all_channels"])
 
 
 @query("a9_having_duplicates", """

@@ -130,3 +130,14 @@ def test_state_is_not_counted_at_every_write(spark, small):
     stream.awaitTermination()
     states = [state for progress in stream.recentProgress for state in progress["stateOperators"]]
     assert sum(s["numRowsUpdated"] for s in states) > 0 and {s["numRowsTotal"] for s in states} == {0}
+
+
+def test_true_monthly_customers_take_one_pass_over_the_orders(spark):
+    """Rows and columns of the rollup over the daily table, with one shuffle of orders; totals without a discount or a day included."""
+    orders = _orders(spark).union(spark.createDataFrame([
+        ("7", "pos", "B", "x", 7, None, 0, 1, dt.date(2024, 2, 1), "completed"), ("8", "pos", "B", None, 8, None, 0, 1, dt.date(2024, 2, 1), "completed"),
+        ("9", "pos", "B", "x", 9, 2, 0, 1, dt.date(2024, 2, 2), "completed"), ("10", "pos", "B", None, 9, 2, 0, 1, dt.date(2024, 3, 2), "completed")], ORDERS))
+    got, wanted = marts.fct_revenue_monthly_distinct(orders), marts.fct_revenue_monthly(marts.fct_revenue_daily(orders), orders)
+    assert got.dtypes == wanted.dtypes
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, wanted.collect()), key=str)
+    assert _shuffles(got) < _shuffles(wanted) and plan_of(got).split("\n\n")[0].count("Join") == 0
