@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,8 +41,24 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return prefix_bpe.encode_documents(docs, BPE_RANKS, BPE_PATTERN, ("doc_id", "lang", "source", "n_chars"), with_ids=True)
 
 
-STAGES = [("toxicity", drop_toxic), ("near_dedup", drop_near_copies), ("decontamination", drop_contaminated),
-          ("secrets", mask_secrets), ("encoding", encode)]
+# What an executor hands a Python worker at once. Without this, two tasks hold up to 64 MB of text each, several times over
+# (Arrow, strings, words, findings), in workers that stay from stage to stage.
+BATCH_BYTES = "4m"
+
+
+def bounded(stage):
+    """The stage with batches of at most ``BATCH_BYTES`` (a longer text is a batch of its own); its rows are the same."""
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+STAGES = [(name, bounded(stage)) for name, stage in (
+    ("toxicity", drop_toxic), ("near_dedup", drop_near_copies), ("decontamination", drop_contaminated),
+    ("secrets", mask_secrets), ("encoding", encode))]
 
 ORACLE_SQL = None  # classifiers and token ids are beyond SQL; tests compare each stage with a plain version
 

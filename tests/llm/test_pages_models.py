@@ -11,6 +11,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -472,6 +473,28 @@ def test_pipeline_stages_against_plain_versions(spark, small, toxic_tables):
     assert rows(corpus_pipeline.run(spark, folder), "doc_id", "ids_sha256") == rows(encoded, "doc_id", "ids_sha256")
 
 
+def test_pipeline_hands_over_small_batches(spark, monkeypatch):
+    """40 MB of text in one partition reach the encoder a few MB at a time, whatever the number of rows."""
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def sizes(docs, *_, **__):
+        def run(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_pydict({"rows": [batch.num_rows], "bytes": [sum(map(len, batch.column(0).to_pylist()))]})
+
+        return docs.select("text").mapInArrow(run, "rows long, bytes long")
+
+    monkeypatch.setattr(corpus_pipeline.prefix_bpe, "encode_documents", sizes)
+    before = spark.conf.get(limit)
+    try:
+        docs = spark.range(4000, numPartitions=1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 2000).alias("text"))
+        got = dict(corpus_pipeline.STAGES)["encoding"](spark, docs, "").collect()
+    finally:
+        spark.conf.set(limit, before)
+    assert sum(r.rows for r in got) == 4000
+    assert max(r.bytes for r in got) <= 6_000_000
+
+
 def test_all_ten_are_registered():
     import __spark_entry__
     names = __spark_entry__.queries()
