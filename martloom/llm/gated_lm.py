@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,8 +35,10 @@ SMOOTH = 0.1
 HEAD, CLASS, HEAVY = 1024, 32, 65_536
 BUCKETS = 1024  # inputs of words outside the head, by their last letters
 HIDDEN = 24
-LANES, WINDOW, LEARN_TOKENS = 128, 20, 300_000  # texts side by side, steps between updates, tokens laid out at a time while learning
+LANES, WINDOW, LEARN_TOKENS = 256, 20, 1_000_000  # texts side by side, steps between updates, tokens laid out at a time while learning
+LONGER = 8  # a window takes up to so many times its steps where few long texts still run
 SCORE_LANES, SCORE_WINDOW, CHUNK_TOKENS = 512, 32, 2_500_000
+CHUNK_CHARS = 4_000_000  # texts are split together up to this size
 # Of each round: one of how many training documents takes part (another each round), and the step size. The rounds
 # together take every training document once.
 ROUNDS = ((3, 0.01), (3, 0.006), (3, 0.003))
@@ -47,23 +50,53 @@ def _is_training():
     return crc_mod("doc_id", HELD_OUT) != 0
 
 
+def _in_chunks(texts: list[str | None]) -> Iterator[list[str | None]]:
+    """The texts in order, up to ``CHUNK_CHARS`` at a time; a longer one stands alone."""
+    begin, size = 0, 0
+    for i, text in enumerate(texts):
+        if i > begin and size + len(text or "") > CHUNK_CHARS:
+            yield texts[begin:i]
+            begin, size = i, 0
+        size += len(text or "")
+    if texts:
+        yield texts[begin:]
+
+
+def _split(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """All texts' tokens, ends included, as codes one after another; where each text ends; the distinct words by code.
+
+    The words are those of ``space_words``, split and numbered by Arrow. The end is code 0.
+    """
+    lists = pc.ascii_split_whitespace(pc.fill_null(pc.ascii_lower(pa.array(texts, pa.large_string())), ""))
+    encoded = lists.flatten().cast(pa.large_binary()).dictionary_encode()
+    codes, distinct = encoded.indices.to_numpy() + 1, encoded.dictionary
+    # White space at a text's border leaves an empty word, which is none.
+    empty = pc.index(distinct, pa.scalar(b"", pa.large_binary())).as_py()
+    real = codes != empty + 1 if empty >= 0 else np.ones(len(codes), bool)
+    bounds = lists.offsets.to_numpy().astype(np.int64)
+    before = np.concatenate([[0], np.cumsum(real)])
+    ends = before[bounds[1:] - bounds[0]] + np.arange(1, len(texts) + 1)  # each text's end takes a place
+    if empty >= 0:
+        codes, distinct = codes[real], pa.concat_arrays([distinct[:empty], distinct[empty + 1:]])
+        codes -= codes > empty
+    out = np.zeros(int(ends[-1]), np.int32)
+    inner = np.ones(len(out), bool)
+    inner[ends - 1] = False
+    out[inner] = codes
+    return out, ends, pa.concat_arrays([pa.array([b""], pa.large_binary()), distinct])
+
+
+def _strings(words: list[pa.Array]) -> pa.Array:
+    return pa.concat_arrays([w.cast(pa.binary()).cast(pa.string()) for w in words])
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """``word, n`` over the documents; the end of a text is the empty word. Tasks count before anything is moved."""
     def make():
-        held: Counter = Counter()
-
-        def emit():
-            out = {"word": [w.decode() for w in held], "n": list(held.values())}
-            held.clear()
-            return out
-
         def step(texts):
-            for text in texts:
-                held.update(space_words(text))
-            held[b""] += len(texts)
-            return emit() if len(held) > 400_000 else None
+            found = [(words, np.bincount(codes, minlength=len(words))) for codes, _, words in map(_split, _in_chunks(texts))]
+            return {"word": _strings([words for words, _ in found]), "n": np.concatenate([n for _, n in found])}
 
-        step.finish = lambda: emit() if held else None
         return step
 
     return map_batches(docs, ["text"], "word string, n bigint", make).groupBy("word").agg(F.sum("n").alias("n"))
@@ -76,6 +109,7 @@ class Words:
         ranked = [(END, end), *[x for x in heavy if x[0] != END]]
         self.tokens, self.distinct = tokens, distinct
         self.rank = {w.encode(): i for i, (w, _) in enumerate(ranked)}
+        self.heavy = pa.array(list(self.rank), pa.large_binary())
         self.counts = np.array([n for _, n in ranked], float)
         n, head = len(ranked), min(HEAD, len(ranked))
         self.head_classes = -(-head // CLASS)
@@ -128,6 +162,25 @@ class Text:
     inputs: np.ndarray
 
 
+def as_texts(texts: list[str | None], known: Words) -> Iterator[Text]:
+    """``as_text`` of each text's words; a word is looked up once for many texts."""
+    for some in _in_chunks(texts):
+        codes, ends, words = _split(some)
+        ranks, inputs = _looked_up(words, known)
+        ranks, inputs = ranks[codes], inputs[codes]
+        for begin, end in zip([0, *ends[:-1].tolist()], ends.tolist()):
+            yield Text(ranks[begin:end], inputs[begin:end])
+
+
+def _looked_up(words: pa.Array, known: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Rank and input row of each word."""
+    ranks = pc.fill_null(pc.index_in(words, known.heavy), -1).to_numpy(zero_copy_only=False)
+    inputs, rare = known.row_of[ranks], np.flatnonzero(ranks < 0)
+    ends = pc.binary_slice(words.take(pa.array(rare)).cast(pa.binary()), -3).dictionary_encode()  # few distinct ones
+    inputs[rare] = np.array([known._bucket(end) for end in ends.dictionary.to_pylist()], np.int32)[ends.indices.to_numpy()]
+    return ranks, inputs
+
+
 def as_text(words: list[bytes], known: Words) -> Text:
     words = [*words, b""]
     get = known.rank.get
@@ -163,9 +216,14 @@ class Lanes:
                 self.fresh[places[0]] = True
                 at += len(places)
 
-    def windows(self, steps: int) -> Iterator[range]:
-        for t in range(0, len(self.running), steps):
-            yield range(t, min(t + steps, len(self.running)))
+    def windows(self, steps: int, tokens: int = 0) -> Iterator[range]:
+        """Windows of so many steps; of up to ``LONGER`` times as many where fewer lanes run, until they hold ``tokens``."""
+        t = 0
+        while t < len(self.running):
+            enough = int(np.searchsorted(self.begins, self.begins[t] + tokens))
+            end = min(max(t + steps, min(enough, t + LONGER * steps)), len(self.running))
+            yield range(t, end)
+            t = end
 
     def flat(self, window: range) -> slice:
         return slice(int(self.begins[window.start]), int(self.begins[window.stop]))
@@ -175,6 +233,19 @@ def _sigmoid(x):
     return 0.5 * np.tanh(0.5 * x) + 0.5
 
 
+def _softmax(logits: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """In place of the logits, their exponents; each row's sum, and the log-probability of its chosen column."""
+    top = logits.max()
+    if top - logits.min() < 80:  # one shift serves all rows: nothing overflows, and no row vanishes
+        logits -= top
+    else:
+        logits -= logits.max(axis=1, keepdims=True)
+    score = logits[np.arange(len(logits)), chosen]
+    p = np.exp(logits, out=logits)
+    total = p @ np.ones(p.shape[1], p.dtype)
+    return p, total, score - np.log(total)
+
+
 class Model:
     """The network's weights; ``rows`` is the input table, already multiplied into the gates."""
 
@@ -205,27 +276,14 @@ class Model:
             at += size
         return Model(out, self.known)
 
-    def step(self, h: np.ndarray, inputs: np.ndarray, fresh: np.ndarray):
-        """One step of all running lanes; a fresh text starts from nothing."""
-        if fresh.any():
-            h = np.where(fresh[:, None], np.float32(0), h)
-        from_input, from_state = self.w["rows"][inputs], h @ self.w["rec"]
-        gates = _sigmoid(from_input[:, :2 * HIDDEN] + from_state[:, :2 * HIDDEN])
-        reset, keep = gates[:, :HIDDEN], gates[:, HIDDEN:]
-        state_part = from_state[:, 2 * HIDDEN:]
-        new = np.tanh(from_input[:, 2 * HIDDEN:] + reset * state_part)
-        return new + keep * (h - new), (h, reset, keep, new, state_part)
-
     def outputs(self, h: np.ndarray, ranks: np.ndarray, learn: bool = False):
         """Natural log-probabilities of the tokens after the states ``h`` (of a rare one: its class alone), and gradients."""
         known = self.known
         classes = np.where(ranks >= 0, known.class_of[ranks], known.rare_class)
-        logits = h @ self.w["to_class"] + self.w["class_bias"]
-        logits -= logits.max(axis=1, keepdims=True)
-        p = np.exp(logits)
-        total = p.sum(axis=1)
+        logits = h @ self.w["to_class"]
+        logits += self.w["class_bias"]
+        p, total, score = _softmax(logits, classes)
         rows = np.arange(len(h))
-        score = logits[rows, classes] - np.log(total)
         grads, dh = {}, None
         if learn:
             p /= total[:, None]
@@ -234,36 +292,65 @@ class Model:
             dh = p @ self.w["to_class"].T
         banded = (classes >= known.head_classes) & (ranks >= 0)
         score[banded] += known.share[ranks[banded]]
-        order = np.argsort(classes, kind="stable")
-        edges = np.searchsorted(classes[order], np.arange(known.head_classes + 1))
-        for c in range(known.head_classes):
-            at = order[edges[c]:edges[c + 1]]
-            if not len(at):
-                continue
-            logits = h[at] @ self.w["to_word"][c] + self.w["word_bias"][c]
-            logits -= logits.max(axis=1, keepdims=True)
-            q = np.exp(logits)
-            total = q.sum(axis=1)
-            place = ranks[at] - c * CLASS
-            score[at] += logits[np.arange(len(at)), place] - np.log(total)
-            if learn:
-                q /= total[:, None]
-                q[np.arange(len(at)), place] -= 1
-                grads["to_word"][c], grads["word_bias"][c] = h[at].T @ q, q.sum(axis=0)
-                dh[at] += q @ self.w["to_word"][c].T
+        # Words of the head stand by class, so that each class is one product and all else is done for all of them at once.
+        order = np.argsort(classes.astype(np.int16), kind="stable")
+        edges = np.searchsorted(classes[order], np.arange(known.head_classes + 1)).tolist()
+        order = order[:edges[-1]]
+        spans = [(c, slice(a, b)) for c, (a, b) in enumerate(zip(edges, edges[1:])) if a < b]
+        sorted_h, place, rows = h[order], ranks[order] % CLASS, rows[:len(order)]
+        logits = np.empty((len(order), CLASS), h.dtype)
+        for c, at in spans:
+            np.matmul(sorted_h[at], self.w["to_word"][c], out=logits[at])
+            logits[at] += self.w["word_bias"][c]
+        if len(order):
+            q, total, inside = _softmax(logits, place)
+            score[order] += inside
+        if learn and len(order):
+            q /= total[:, None]
+            q[rows, place] -= 1
+            back = np.empty_like(sorted_h)
+            for c, at in spans:
+                np.matmul(sorted_h[at].T, q[at], out=grads["to_word"][c])
+                q[at].sum(axis=0, out=grads["word_bias"][c])
+                np.matmul(q[at], self.w["to_word"][c].T, out=back[at])
+            dh[order] += back
         return score, grads, dh
 
     def window(self, lanes: Lanes, window: range, state: np.ndarray, learn: bool = False):
-        """States after each step of a window; the trace for learning; the state carried on."""
-        states, trace = [], []
-        for t in window:
-            n, begin = int(lanes.running[t]), int(lanes.begins[t])
-            h, kept = self.step(state[:n], lanes.inputs[begin:begin + n], lanes.fresh[begin:begin + n])
-            state = h
-            states.append(h)
-            if learn:
-                trace.append((n, begin, kept))
-        return states, trace, state
+        """States after each step of a window, one step's after another's; the trace for learning; the state carried on.
+
+        A fresh text starts from nothing. Half the gates' sums go into tanh, which gives the sigmoid.
+        """
+        at = lanes.flat(window)
+        size, kind = at.stop - at.start, self.w["rec"].dtype
+        from_input, fresh = self.w["rows"][lanes.inputs[at]], lanes.fresh[at]
+        to_gates, to_new = np.ascontiguousarray(from_input[:, :2 * HIDDEN]), np.ascontiguousarray(from_input[:, 2 * HIDDEN:])
+        to_gates *= 0.5
+        half, rest = self.w["rec"][:, :2 * HIDDEN] * kind.type(0.5), np.ascontiguousarray(self.w["rec"][:, 2 * HIDDEN:])
+        before, after, new = (np.empty((size, HIDDEN), kind) for _ in range(3))
+        part = np.empty((size, HIDDEN), kind)
+        starts = np.add.reduceat(fresh, lanes.begins[window.start:window.stop] - at.start) > 0
+        h = state
+        for t, any_fresh in zip(window, starts.tolist()):
+            n, begin = int(lanes.running[t]), int(lanes.begins[t]) - at.start
+            here = slice(begin, begin + n)
+            then = before[here]
+            then[...] = h[:n]
+            if any_fresh:
+                then[fresh[here]] = 0
+            gates = to_gates[here]
+            gates += then @ half
+            np.tanh(gates, out=gates)
+            gates *= 0.5
+            gates += 0.5
+            state_part = np.matmul(then, rest, out=part[here])
+            value = np.multiply(gates[:, :HIDDEN], state_part, out=new[here])
+            value += to_new[here]
+            np.tanh(value, out=value)
+            h = np.subtract(then, value, out=after[here])
+            h *= gates[:, HIDDEN:]
+            h += value
+        return after, (before, to_gates, new, part, fresh, starts) if learn else None, h
 
     def score(self, texts: list[Text]) -> np.ndarray:
         """Natural log-likelihood of each text, less the shares of its rare words inside their class."""
@@ -272,31 +359,43 @@ class Model:
             return total
         lanes = Lanes(texts, SCORE_LANES)
         state = np.zeros((lanes.running[0], HIDDEN), np.float32)
-        for window in lanes.windows(SCORE_WINDOW):
-            states, _, state = self.window(lanes, window, state)
+        for window in lanes.windows(SCORE_WINDOW, SCORE_LANES * SCORE_WINDOW // 4):
+            flat, _, state = self.window(lanes, window, state)
             at = lanes.flat(window)
-            score, _, _ = self.outputs(np.concatenate(states), lanes.ranks[at])
+            score, _, _ = self.outputs(flat, lanes.ranks[at])
             total += np.bincount(lanes.owner[at], score, len(texts))
         return total
 
     def gradients(self, lanes: Lanes, window: range, state: np.ndarray):
         """Scores and gradients of a window by backpropagation to its first step, the state carried on, the tokens."""
-        states, trace, carried = self.window(lanes, window, state, learn=True)
-        flat, at = np.concatenate(states), lanes.flat(window)
+        flat, (before, gates, new, part, fresh, starts), carried = self.window(lanes, window, state, learn=True)
+        at = lanes.flat(window)
         score, grads, dh_flat = self.outputs(flat, lanes.ranks[at], learn=True)
-        grads["rec"] = np.zeros_like(self.w["rec"])
-        to_rows, rec = np.zeros((len(flat), 3 * HIDDEN), np.float32), self.w["rec"]
-        dh = np.zeros((trace[0][0], HIDDEN), np.float32)
-        for n, begin, (before, reset, keep, new, state_part) in reversed(trace):
-            here = slice(begin - at.start, begin - at.start + n)
-            d = dh[:n] + dh_flat[here]
-            d_new = d * (1 - keep) * (1 - new * new)
-            d_keep = d * (before - new) * keep * (1 - keep)
-            d_reset = d_new * state_part * reset * (1 - reset)
-            to_rows[here] = np.concatenate([d_reset, d_keep, d_new], axis=1)
-            d_state = np.concatenate([d_reset, d_keep, d_new * reset], axis=1)
-            grads["rec"] += before.T @ d_state
-            dh[:n] = np.where(lanes.fresh[begin:begin + n, None], 0, d * keep + d_state @ rec.T)
+        # What a change of the state is multiplied by on its way to each sum, for the whole window at once.
+        reset, keep = np.ascontiguousarray(gates[:, :HIDDEN]), np.ascontiguousarray(gates[:, HIDDEN:])
+        by_new = (1 - keep) * (1 - new * new)
+        by_keep = (before - new) * keep * (1 - keep)
+        by_reset = by_new * part * reset * (1 - reset)
+        by_part = by_new * reset
+        d_state, back = np.empty((len(flat), 3 * HIDDEN), flat.dtype), np.ascontiguousarray(self.w["rec"].T)
+        dh = None
+        for t, any_fresh in zip(reversed(window), reversed(starts.tolist())):
+            begin, n = int(lanes.begins[t]) - at.start, int(lanes.running[t])
+            here = slice(begin, begin + n)
+            d = dh_flat[here]
+            if dh is not None:
+                d[:len(dh)] += dh
+            to = d_state[here]
+            np.multiply(d, by_reset[here], out=to[:, :HIDDEN])
+            np.multiply(d, by_keep[here], out=to[:, HIDDEN:2 * HIDDEN])
+            np.multiply(d, by_part[here], out=to[:, 2 * HIDDEN:])
+            dh = to @ back
+            dh += d * keep[here]
+            if any_fresh:
+                dh[fresh[here]] = 0
+        grads["rec"] = before.T @ d_state
+        to_rows = d_state
+        np.multiply(dh_flat, by_new, out=to_rows[:, 2 * HIDDEN:])
         inputs = lanes.inputs[at]
         order = np.argsort(inputs, kind="stable")
         which, starts = np.unique(inputs[order], return_index=True)
@@ -316,7 +415,7 @@ class Learner:
         """One pass over the texts; the mean natural log-probability of a token on the way."""
         lanes = Lanes(texts, LANES)
         state, total, tokens = np.zeros((lanes.running[0], HIDDEN), np.float32), 0.0, 0
-        for window in lanes.windows(WINDOW):
+        for window in lanes.windows(WINDOW, LANES * WINDOW):
             score, grads, state, n = self.model.gradients(lanes, window, state)
             total, tokens = total + float(score.sum()), tokens + n
             self.steps += 1
@@ -330,10 +429,20 @@ class Learner:
         return total / max(1, tokens)
 
     def _move(self, name: str, gradient: np.ndarray, at, rate: float) -> None:
-        first, second = self.first[name], self.second[name]
-        first[at] = 0.9 * first[at] + 0.1 * gradient
-        second[at] = 0.99 * second[at] + 0.01 * gradient * gradient
-        self.model.w[name][at] -= rate * first[at] / (np.sqrt(second[at]) + 1e-7)
+        first, second = self.first[name][at], self.second[name][at]
+        first *= 0.9
+        first += 0.1 * gradient
+        second *= 0.99
+        gradient = gradient * gradient
+        gradient *= 0.01
+        second += gradient
+        root = np.sqrt(second, out=gradient)
+        root += 1e-7
+        move = first / root
+        move *= rate
+        self.model.w[name][at] -= move
+        if not isinstance(at, slice):  # else they are the held arrays themselves
+            self.first[name][at], self.second[name][at] = first, second
 
 
 def _averaged(learned: DataFrame, fallback: bytes) -> bytes:
@@ -377,9 +486,9 @@ def train(docs: DataFrame, known: Words, rounds: tuple[tuple[int, float], ...] =
                     size[0] = 0
 
             def step(texts):
-                for text in texts:
-                    waiting.append(as_text(space_words(text), learner.model.known))
-                    size[0] += len(waiting[-1].ranks)
+                for text in as_texts(texts, learner.model.known):
+                    waiting.append(text)
+                    size[0] += len(text.ranks)
                     if size[0] >= LEARN_TOKENS:
                         use()
 
@@ -417,33 +526,37 @@ def score_documents(docs: DataFrame, rounds: tuple[tuple[int, float], ...] = ROU
         state = {"key": TaskContext.get().partitionId() << 40}
 
         def step(ids, texts):
-            out = {"key": [], "doc_id": ids, "held_out": [crc_of(i) % HELD_OUT == 0 for i in ids], "n_tokens": [], "n_heavy": [],
-                   "n_rare": [], "heavy_log": [], "model_log": []}
-            rare_words, rare_counts, rare_ends = [], [], [0]
+            parts: dict[str, list] = {k: [] for k in ("n_tokens", "n_heavy", "n_rare", "heavy_log", "model_log")}
+            rare_words, rare_counts, rare_ends, held = [], [], [np.zeros(1, np.int64)], 0
             waiting, size = [], 0
-            for text in texts:
-                words = space_words(text)
-                seen = as_text(words, known)
-                heavy = seen.ranks[seen.ranks >= 0]
-                out["key"].append(state["key"])
-                state["key"] += 1
-                out["n_tokens"].append(len(seen.ranks))
-                out["n_heavy"].append(int((known.counts[heavy] > 0).sum()))
-                out["n_rare"].append(len(seen.ranks) - len(heavy))
-                out["heavy_log"].append(float(logs[heavy].sum()))
-                rare = Counter(words[i] for i in np.flatnonzero(seen.ranks < 0).tolist())
-                rare_words += rare
-                rare_counts += rare.values()
-                rare_ends.append(len(rare_words))
-                waiting.append(seen)
-                size += len(seen.ranks)
+            for some in _in_chunks(texts):
+                codes, ends, words = _split(some)
+                rank_of, input_of = _looked_up(words, known)
+                ranks, inputs = rank_of[codes], input_of[codes]
+                begins = np.concatenate([[0], ends[:-1]])
+                heavy = ranks >= 0
+                parts["n_tokens"].append(ends - begins)
+                parts["n_heavy"].append(np.add.reduceat(heavy & (known.counts[ranks] > 0), begins, dtype=np.int64))
+                parts["n_rare"].append(ends - begins - np.add.reduceat(heavy, begins, dtype=np.int64))
+                parts["heavy_log"].append(np.add.reduceat(np.where(heavy, logs[ranks], 0.0), begins))
+                at = np.flatnonzero(~heavy)
+                pairs, times = np.unique(np.searchsorted(ends, at, "right") * len(words) + codes[at], return_counts=True)
+                rare_words.append(words.take(pa.array(pairs % len(words))))
+                rare_counts.append(times.astype(np.int64))
+                rare_ends.append(held + np.searchsorted(pairs // len(words), np.arange(len(some)), "right"))
+                held += len(pairs)
+                waiting += [Text(ranks[a:b], inputs[a:b]) for a, b in zip(begins.tolist(), ends.tolist())]
+                size += len(ranks)
                 if size >= CHUNK_TOKENS:
-                    out["model_log"] += (model.score(waiting) / LN10).tolist()
+                    parts["model_log"].append(model.score(waiting) / LN10)
                     waiting, size = [], 0
-            out["model_log"] += (model.score(waiting) / LN10).tolist()
-            ends = pa.array(rare_ends, pa.int32())
-            out["words"] = pa.ListArray.from_arrays(ends, pa.array(rare_words, pa.string()))
-            out["times"] = pa.ListArray.from_arrays(ends, pa.array(rare_counts, pa.int64()))
+            parts["model_log"].append(model.score(waiting) / LN10)
+            out = {k: np.concatenate(v) for k, v in parts.items()}
+            out |= {"key": np.arange(len(ids)) + state["key"], "doc_id": ids, "held_out": [crc_of(i) % HELD_OUT == 0 for i in ids]}
+            state["key"] += len(ids)
+            ends = pa.array(np.concatenate(rare_ends), pa.int32())
+            out["words"] = pa.ListArray.from_arrays(ends, _strings(rare_words))
+            out["times"] = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(rare_counts), pa.int64()))
             return out
 
         return step

@@ -441,6 +441,24 @@ def test_truncated_backpropagation_is_exact_inside_a_window():
             assert abs(-(up - down) / 2e-5 / n - full.flat[i]) < 1e-5 * max(1, abs(full.flat[i])) + 2e-6, name
 
 
+def test_texts_split_together_are_split_as_alone():
+    known = gated_lm.Words([("", 30), *[("w%d" % i, 50 - i) for i in range(40)]], 1500, 60, 30)
+    texts = ["", None, "  w1 zzz\x0bw39\x0cd\tW3\nf\rg ", "A\x1cb\x1dc \u00c9 \u00e9 x\xa0y  Z", " ", "\u0130 \u00df  q", "a\x00b \x85 c", "\U0001f600w w2"]
+    for some in ([None], ["", ""], ["w1"], texts, texts * 3):
+        got = list(gated_lm.as_texts(some, known))
+        want = [gated_lm.as_text(space_words(t), known) for t in some]
+        assert [(x.ranks.tolist(), x.inputs.tolist()) for x in got] == [(x.ranks.tolist(), x.inputs.tolist()) for x in want]
+
+
+def test_long_texts_alone_take_few_updates():
+    """Where one long text runs on, a window takes more steps, so its cost is shared by more tokens; each is learned once."""
+    known = gated_lm.Words([("", 30), *[("w%d" % i, 50 - i) for i in range(40)]], 1500, 60, 30)
+    text = gated_lm.as_text([b"w%d" % (i % 40) for i in range(4_999)], known)
+    learner = gated_lm.Learner(gated_lm.Model.fresh(known), 0.01)
+    learner.learn([text])
+    assert learner.tokens == 5_000 and learner.steps <= 5_000 // 100
+
+
 def test_scores_do_not_depend_on_the_company():
     known = gated_lm.Words([("", 30), *[("w%d" % i, 50 - i) for i in range(40)]], 1500, 60, 30)
     model, rng = gated_lm.Model.fresh(known), np.random.default_rng(1)
