@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import heapq
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import crc_mod, crc_of, map_batches, space_words
+from martloom.llm.common import crc_mod, crc_of, map_batches
 from martloom.session import write_once
 
 HELD_OUT = 10
@@ -35,9 +34,9 @@ SMOOTH = 0.1
 HEAD, CLASS, HEAVY = 1024, 32, 65_536
 BUCKETS = 1024  # inputs of words outside the head, by their last letters
 HIDDEN = 24
-LANES, WINDOW, LEARN_TOKENS = 256, 20, 1_000_000  # texts side by side, steps between updates, tokens laid out at a time while learning
+LANES, WINDOW, LEARN_TOKENS = 128, 20, 1_000_000  # texts side by side, steps between updates, tokens laid out at a time while learning
 LONGER = 8  # a window takes up to so many times its steps where few long texts still run
-SCORE_LANES, SCORE_WINDOW, CHUNK_TOKENS = 512, 32, 2_500_000
+SCORE_LANES, SCORE_WINDOW, CHUNK_TOKENS = 256, 32, 5_000_000
 CHUNK_CHARS = 4_000_000  # texts are split together up to this size
 # Of each round: one of how many training documents takes part (another each round), and the step size. The rounds
 # together take every training document once.
