@@ -1,6 +1,8 @@
 import datetime as dt
 import json
+import os
 import threading
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +13,7 @@ from martloom.operators.quality import Check, observed, observed_report, run_che
 from martloom.plans import daily
 from martloom.plans.daily import load_until
 from martloom.plans.lake import SAMPLE_AS_OF, Lake
-from martloom.session import side_by_side
+from martloom.session import configure, scratch_removed, side_by_side, write_once
 from martloom.sources import store as store_module
 from martloom.sources.sample import raw_view
 from martloom.sources.store import TableStore, Transaction, among
@@ -124,6 +126,43 @@ def test_retention_touches_no_file(spark, tmp_path):
         store.retain("u", dt.date(2025, 1, 1))
 
 
+def test_expiry_removes_what_no_kept_version_needs_and_nothing_else(spark, tmp_path):
+    store = TableStore(spark, f"{tmp_path}/store")
+    store.put("t", frame(spark, (1, 1, "p"), (2, 2, "q")), "part")
+    store.merge("t", frame(spark, (1, 5, "p")), ["id"], "v", "part", ["v"])  # q stays where it is
+    store.put("u", frame(spark, (1, 1, "p")))
+    store.put("u", frame(spark, (1, 2, "p")))
+    first = [f for f in store.unused() if "/u/" in f]
+    assert store.expire(keep=2) == [] and store.expire() == first and len(first) == 1 and not os.path.exists(first[0])
+    assert rows(store.read("t")) == [(1, 5, "p"), (2, 2, "q")] and rows(store.read("u")) == [(1, 2, "p")]
+    store.put("t", frame(spark, (3, 3, "p")), "part")
+    gone = store.expire()
+    assert len([f for f in gone if "/t/" in f]) == 2 and not any(os.path.exists(f) for f in gone) and store.unused() == gone
+    assert rows(store.read("t")) == [(3, 3, "p")]
+
+
+def test_tables_written_on_the_way_go_with_their_load(spark):
+    made = []
+    with scratch_removed(spark):
+        for df in side_by_side(*[lambda i=i: write_once(frame(spark, (i, i, "p")), "way") for i in range(2)]):
+            made += [f.removeprefix("file://").removeprefix("file:") for f in df.inputFiles()]
+        assert len(made) >= 2 and all(os.path.exists(f) and f.endswith(".zstd.parquet") for f in made)
+    assert not any(os.path.exists(f) for f in made)
+    kept = write_once(frame(spark, (1, 1, "p")), "kept")
+    assert rows(kept) == [(1, 1, "p")]
+
+
+def test_shuffle_files_go_when_their_query_ends(spark, tmp_path):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held = lambda: {x for x in blocks.getAllBlocks().mkString(" ").split(" ") if x.startswith("shuffle_")}
+    before = held()
+    configure(spark).range(1000).groupBy(F.col("id") % 7).count().write.parquet(f"{tmp_path}/t")
+    until = time.time() + 20
+    while held() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not held() - before
+
+
 # --- the daily load
 
 def small_sources(spark, folder, only=None):
