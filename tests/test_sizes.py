@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import gzip
 import os
 import re
+import zlib
 
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from martloom.functions.columns import packed_key
 from martloom.operators import joins
 from martloom.operators.quality import Check, run_checks
 from martloom.plans import intermediate, marts, staging
-from martloom.session import configure, workspace
+from martloom.session import configure, own_session, workspace
 from martloom.sources import landing, tables
 from martloom.sources.sample import raw_stream
 from tests.conftest import plan_of
@@ -50,6 +52,33 @@ def test_packed_drops_are_compressed_bounded_and_read_back(spark, tmp_path, monk
         assert sorted(r["event_id"] for r in read(spark, str(tmp_path), fmt, "2024-01-01", schemas.CLIENT_PAYLOAD).collect()) == sorted([*range(5)] * 2)
 
 
+def test_packed_drops_take_the_fast_level(spark, tmp_path):
+    rows = spark.range(20000).select(F.col("id").alias("event_id"), F.lit("view").alias("event_type"), (F.col("id") * 7919 % 1000).alias("user_id"))
+    path = tables.write_records(rows.coalesce(1), str(tmp_path), "json", "2024-01-01", "json", packed=True)
+    (name,) = [f for f in os.listdir(path) if f.startswith("part-")]
+    with open(f"{path}/{name}", "rb") as file:
+        packed = file.read()
+    assert len(packed) > 1.1 * len(zlib.compress(gzip.decompress(packed), 6))
+
+
+def test_new_files_of_many_days_are_ingested_without_a_sort_by_day(spark, tmp_path):
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    own = own_session(spark, landing.OPEN_DAYS)
+    assert int(own.conf.get(key)) > 0 and own.conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
+    days = ["2024-01-01", "2024-01-02", "2024-01-03", "none"]  # more than are open at once
+    for n, day in enumerate(days):
+        rows = spark.createDataFrame([(10 * n + i, "view", i) for i in range(5)], schemas.CLIENT_PAYLOAD)
+        tables.write_records(rows.coalesce(1), f"{tmp_path}/in", "clicks", day, "json", packed=True)
+    ingest = landing.ingest_new_files(spark, f"{tmp_path}/in", "clicks", schemas.CLIENT_PAYLOAD, "json", f"{tmp_path}/c", f"{tmp_path}/out")
+    ingest.awaitTermination()
+    assert spark.conf.get(key) == before
+    sink = ingest._jsq.streamingQuery() if hasattr(ingest._jsq, "streamingQuery") else ingest._jsq
+    assert sink.sparkSession().sessionState().conf().maxConcurrentOutputFileWriters() > 0
+    got = {(r.event_id, r.landing_date and r.landing_date.isoformat()) for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert got == {(10 * n + i, day if n < 3 else None) for n, day in enumerate(days) for i in range(5)}
+
+
 def test_daily_revenue_needs_one_shuffle(spark):
     daily = marts.fct_revenue_daily(_orders(spark))
     assert _shuffles(daily) == 1
