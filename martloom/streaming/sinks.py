@@ -8,9 +8,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from martloom.operators.dedup import latest_per_key
-from martloom.session import workspace, write_once
+from martloom.session import starting, workspace, write_once
 from martloom.sources.store import TableStore
 
+# For a stream that ends once it has taken everything: a state store is closed with its task instead of staying loaded, a join
+# keeps its state in one store a partition, not four, and the stores of an executor share their buffers and cache, which
+# otherwise are every store's own and outlive it.
+_STATE = "spark.sql.streaming.stateStore"
+STATE_OF_ONE_RUN = {f"{_STATE}.unloadOnCommit": "true", "spark.sql.streaming.join.stateFormatVersion": "3",
+                    f"{_STATE}.rocksdb.boundedMemoryUsage": "true", f"{_STATE}.rocksdb.maxMemoryUsageMB": "300"}
+
 
 def start(df: DataFrame, out: str, checkpoint: str, every: str | None = None,
           partition_by: Sequence[str] = ()) -> StreamingQuery:
@@ -28,7 +35,9 @@ def drain(df: DataFrame, label: str) -> DataFrame:
     """Run a stream over everything available and return the table it wrote."""
     spark = df.sparkSession
     folder = workspace(spark, label)
-    start(df, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    with starting(spark, STATE_OF_ONE_RUN):
+        stream = start(df, f"{folder}/out", f"{folder}/checkpoint")
+    stream.awaitTermination()
     return spark.read.schema(df.schema).parquet(f"{folder}/out")
 
 

@@ -18,6 +18,7 @@ from martloom.plans import intermediate, marts, staging
 from martloom.session import configure, own_session, workspace
 from martloom.sources import landing, tables
 from martloom.sources.sample import raw_stream
+from martloom.streaming import sinks
 from tests.conftest import plan_of
 
 ORDERS = ("order_id string, channel string, store_id string, customer_uid string, total_amount_vnd bigint, discount_amount_vnd bigint, "
@@ -161,6 +162,24 @@ def test_state_is_not_counted_at_every_write(spark, small):
     assert sum(s["numRowsUpdated"] for s in states) > 0 and {s["numRowsTotal"] for s in states} == {0}
 
 
+def test_a_drained_join_closes_its_stores_and_has_one_a_partition(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "workspace", lambda _spark, label: f"{tmp_path}/{label}")
+    day = dt.datetime(2024, 1, 1)
+    spark.createDataFrame([("o1", day), ("o2", day), ("o3", dt.datetime(2024, 1, 9))], "order_id string, ordered_at timestamp").write.parquet(f"{tmp_path}/o")
+    spark.createDataFrame([("p1", "o1", day + dt.timedelta(hours=1)), ("p2", "x", day), ("p3", None, dt.datetime(2024, 1, 9))],
+                          "payment_id string, order_ref string, paid_at timestamp").write.parquet(f"{tmp_path}/p")
+    configure(spark)
+    kept = {key: spark.conf.get(key, None) for key in sinks.STATE_OF_ONE_RUN}
+    orders, payments = (spark.readStream.schema(spark.read.parquet(f"{tmp_path}/{t}").schema).parquet(f"{tmp_path}/{t}") for t in "op")
+    got = sinks.drain(joins.match_settlements_stream(orders, payments, "12 hours"), "x")
+    assert {(r.order_id, r.payment_id, r.match_status) for r in got.collect()} == {
+        ("o1", "p1", "matched"), ("o2", None, "unpaid_order"), (None, "p2", "unmatched_payment")}
+    stores = {os.path.relpath(folder, f"{tmp_path}/x/checkpoint/state") for folder, _, _ in os.walk(f"{tmp_path}/x/checkpoint/state")}
+    assert any(re.match(r"\d+/\d+$", s) for s in stores) and not any("keyToNumValues" in s or "keyWithIndex" in s for s in stores)
+    assert {key: spark.conf.get(key, None) for key in sinks.STATE_OF_ONE_RUN} == kept  # a stream that goes on keeps its stores loaded
+    assert spark.conf.get("spark.sql.streaming.stateStore.rocksdb.allowFAllocate") == "false"
+
+
 def test_true_monthly_customers_take_one_pass_over_the_orders(spark):
     """Rows and columns of the rollup over the daily table, with one shuffle of orders; totals without a discount or a day included."""
     orders = _orders(spark).union(spark.createDataFrame([
